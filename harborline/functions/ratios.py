@@ -1,18 +1,18 @@
-"""Guarded decimal ratios."""
+"""Guarded decimal ratios as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+_OPERAND = "DECIMAL(22,2)"  # leaves 16 fractional digits for the quotient
 
-_OPERAND = "decimal(22,2)"  # keeps 16 fractional digits in a decimal quotient
 
-
-def ratio(numerator: Column, denominator: Column, digits: int = 2, times: int = 1) -> Column:
+def ratio(numerator: str, denominator: str, digits: int = 2, times: int = 1) -> str:
     """``round(times * numerator / denominator, digits)``, NULL when undefined.
 
     Decimal arithmetic end to end, so the result does not depend on the order
     in which partial sums arrive.
     """
-    top = (numerator.cast(_OPERAND) * F.lit(times)).cast(_OPERAND)
-    bottom = denominator.cast(_OPERAND)
-    return F.round(top / F.nullif(bottom, F.lit(0).cast(_OPERAND)), digits).cast(f"decimal(18,{digits})")
+    top = f"CAST({numerator} AS {_OPERAND})"
+    if times != 1:
+        top = f"CAST({times} * {top} AS {_OPERAND})"
+    bottom = f"NULLIF(CAST({denominator} AS {_OPERAND}), 0)"
+    return f"CAST(ROUND({top} / {bottom}, {digits}) AS DECIMAL(18,{digits}))"

@@ -1,44 +1,48 @@
-"""Text normalisation shared by cleaning and matching."""
+"""Text normalisation shared by cleaning and matching, as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 # Fixed value: what counts as a reachable e-mail address.  \z instead of $,
 # because $ also matches before a final line break on the JVM.
-EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}\z"
+EMAIL_PATTERN = r"^[^@\\s]+@[^@\\s]+\\.[A-Za-z]{2,}\\z"
 # Fixed values of reference matching.
 REF_PREFIX = "^GW-"
 MAX_REF_EDITS = 4
 
 
-def tidy_lower(c: str) -> Column:
-    return F.lower(F.trim(F.col(c)))
+def tidy_lower(c: str) -> str:
+    return f"LOWER(TRIM({c}))"
 
 
-def tidy_upper(c: str) -> Column:
-    return F.upper(F.trim(F.col(c)))
+def tidy_upper(c: str) -> str:
+    return f"UPPER(TRIM({c}))"
 
 
-def payment_ref(c: str) -> Column:
+def payment_ref(c: str) -> str:
     """Payment reference without case, padding and gateway prefix."""
-    return F.regexp_replace(tidy_upper(c), REF_PREFIX, "")
+    return f"REGEXP_REPLACE({tidy_upper(c)}, '{REF_PREFIX}', '')"
+
 
+def refs_look_related(left: str, right: str) -> str:
+    """One reference contains the other, or a few edits apart.
 
-def refs_look_related(left: Column, right: Column) -> Column:
-    """One reference contains the other, or a few edits apart."""
-    # levenshtein with a threshold stops early and answers -1 beyond it
+    levenshtein with a threshold stops early and answers -1 beyond it.
+    """
     return (
-        F.contains(left, right)
-        | F.contains(right, left)
-        | F.levenshtein(left, right, MAX_REF_EDITS).between(0, MAX_REF_EDITS)
+        f"(CONTAINS({left}, {right}) OR CONTAINS({right}, {left}) "
+        f"OR LEVENSHTEIN({left}, {right}, {MAX_REF_EDITS}) BETWEEN 0 AND {MAX_REF_EDITS})"
     )
 
 
-def alnum_key(c: Column) -> Column:
+def alnum_key(c: str) -> str:
     """Lower-case letters and digits only; the fallback campaign identity."""
-    return F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
+    return f"REGEXP_REPLACE(LOWER({c}), '[^a-z0-9]', '')"
+
+
+def one_of(c: str, values) -> str:
+    return f"{c} IN ({', '.join(quote(v) for v in values)})"
 
 
-def blank_as_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
+def quote(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

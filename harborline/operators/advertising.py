@@ -18,33 +18,27 @@ def clean_ads(raw: DataFrame, fx_rates: DataFrame) -> DataFrame:
     pass absorbs a hot group of copies before the shuffle.
     """
     conversions = casts.whole_number("conversions")
-    cleaned = (
-        raw.where(F.col("campaign_name").isNotNull())
-        .select(
-            casts.calendar_date("report_date").alias("report_date"),
-            "platform", "campaign_id", "ad_id",
-            F.trim("campaign_name").alias("campaign_name"),
-            casts.money(F.replace(F.col("spend"), F.lit(","), F.lit(""))).alias("spend_local"),
-            text.tidy_upper("currency").alias("currency"),
-            casts.whole_number("impressions").alias("impressions"),
-            casts.whole_number("clicks").alias("clicks"),
-            conversions.alias("conversions"),
-            (conversions.isNull() & F.col("conversions").isNotNull()).alias("conversions_missing"),
-        )
-        .distinct()
-    )
-    rates = fx_rates.select(F.col("fx_date").alias("report_date"), "usd_thb")
+    cleaned = raw.where("campaign_name IS NOT NULL").selectExpr(
+        f"{casts.calendar_date('report_date')} AS report_date",
+        "platform", "campaign_id", "ad_id",
+        "TRIM(campaign_name) AS campaign_name",
+        casts.money("REPLACE(spend, ',', '')") + " AS spend_local",
+        f"{text.tidy_upper('currency')} AS currency",
+        f"{casts.whole_number('impressions')} AS impressions",
+        f"{casts.whole_number('clicks')} AS clicks",
+        f"{conversions} AS conversions",
+        f"{conversions} IS NULL AND conversions IS NOT NULL AS conversions_missing",
+    ).distinct()
+    rates = fx_rates.withColumnRenamed("fx_date", "report_date")
     return to_thb(cleaned.join(rates, "report_date", "left"))
 
 
 def to_thb(priced: DataFrame) -> DataFrame:
     """THB stays; any other currency, also a missing one, counts as USD."""
-    spend_thb = F.when(F.col("currency") == "THB", F.col("spend_local")).otherwise(
-        F.round(F.col("spend_local") * F.col("usd_thb"), 2)
-    )
-    return priced.select(
+    return priced.selectExpr(
         "report_date", "platform", "campaign_id", "ad_id", "campaign_name", "spend_local", "currency",
-        spend_thb.cast("decimal(24,2)").alias("spend_thb"),
+        """CAST(CASE WHEN currency = 'THB' THEN spend_local
+                     ELSE ROUND(spend_local * usd_thb, 2) END AS DECIMAL(24,2)) AS spend_thb""",
         "impressions", "clicks", "conversions", "conversions_missing",
     )
 
@@ -55,18 +49,12 @@ def clean_touches(raw: DataFrame, source_seed: DataFrame) -> DataFrame:
     No source is ``organic``; a source the seed does not know keeps a NULL
     platform so that the unmapped check can see it.
     """
-    seed = F.broadcast(source_seed.select("utm_source_variant", F.col("platform").alias("seed_platform")))
-    source = F.trim("utm_source")
-    organic = F.col("utm_source").isNull() | (source == "")
-    return (
-        raw.where(F.col("order_id").isNotNull())
-        .join(seed, source == F.col("utm_source_variant"), "left")
-        .select(
-            "order_id", "utm_source", "utm_campaign",
-            F.when(organic, "organic").otherwise(F.col("seed_platform")).alias("platform"),
-        )
-        .distinct()
-    )
+    seed = F.broadcast(source_seed.selectExpr("utm_source_variant AS _variant", "platform AS _platform"))
+    joined = raw.where("order_id IS NOT NULL").join(seed, F.expr("TRIM(utm_source) = _variant"), "left")
+    return joined.selectExpr(
+        "order_id", "utm_source", "utm_campaign",
+        "CASE WHEN utm_source IS NULL OR TRIM(utm_source) = '' THEN 'organic' ELSE _platform END AS platform",
+    ).distinct()
 
 
 def with_canonical(df: DataFrame, campaign_seed: DataFrame, name: str) -> DataFrame:
@@ -77,26 +65,21 @@ def with_canonical(df: DataFrame, campaign_seed: DataFrame, name: str) -> DataFr
     place with the small seed, and nobody joins against the list of all
     campaigns ever seen.
     """
-    seed = F.broadcast(campaign_seed.select(
-        F.col("platform").alias("_seed_platform"),
-        F.col("campaign_name").alias("_seed_name"),
-        F.col("canonical").alias("_seed_canonical"),
+    seed = F.broadcast(campaign_seed.selectExpr(
+        "platform AS _platform", "campaign_name AS _name", "canonical AS _canonical"
     ))
-    joined = df.join(
-        seed, (df["platform"] == F.col("_seed_platform")) & (df[name] == F.col("_seed_name")), "left"
-    )
-    return joined.select(
-        *[df[c] for c in df.columns],
-        F.coalesce(F.col("_seed_canonical"), text.alnum_key(df[name])).alias("canonical"),
-        F.col("_seed_canonical").isNull().alias("is_unmapped"),
+    return df.join(seed, F.expr(f"platform = _platform AND {name} = _name"), "left").selectExpr(
+        *df.columns,
+        f"COALESCE(_canonical, {text.alnum_key(name)}) AS canonical",
+        "_canonical IS NULL AS is_unmapped",
     )
 
 
 def observed_campaigns(ads: DataFrame, touches: DataFrame) -> DataFrame:
     """Distinct (platform, campaign_name) seen in ads or in paid touches."""
     from_touches = touches.where(
-        F.col("utm_campaign").isNotNull() & F.col("platform").isNotNull() & (F.col("platform") != "organic")
-    ).select("platform", F.col("utm_campaign").alias("campaign_name"))
+        "utm_campaign IS NOT NULL AND platform != 'organic'"
+    ).selectExpr("platform", "utm_campaign AS campaign_name")
     return ads.select("platform", "campaign_name").unionByName(from_touches).distinct()
 
 
@@ -106,10 +89,10 @@ def campaign_mapping(ads: DataFrame, touches: DataFrame, campaign_seed: DataFram
 
 def unmapped(touches: DataFrame, mapping: DataFrame) -> DataFrame:
     """How many touches and campaigns the seeds do not know."""
-    sources = touches.agg(F.count_if(F.col("platform").isNull()).alias("unmapped"))
-    campaigns = mapping.agg(F.count_if(F.col("is_unmapped")).alias("unmapped"))
-    return sources.select(F.lit("utm_source").alias("kind"), "unmapped").unionByName(
-        campaigns.select(F.lit("campaign").alias("kind"), "unmapped")
+    sources = touches.agg(F.expr("COUNT_IF(platform IS NULL) AS unmapped"))
+    campaigns = mapping.agg(F.expr("COUNT_IF(is_unmapped) AS unmapped"))
+    return sources.selectExpr("'utm_source' AS kind", "unmapped").unionByName(
+        campaigns.selectExpr("'campaign' AS kind", "unmapped")
     )
 
 
@@ -120,7 +103,7 @@ def missing_deliveries(ads: DataFrame, platforms: Sequence[str] = AD_PLATFORMS)
     there are platforms - and the gap is a set difference; the ads are not
     joined with themselves.
     """
-    known = F.array(*[F.lit(p) for p in platforms])
-    delivered = F.collect_set(F.when(F.col("platform").isin(*platforms), F.col("platform")))
-    per_day = ads.where(F.col("report_date").isNotNull()).groupBy("report_date").agg(delivered.alias("delivered"))
-    return per_day.select("report_date", F.explode(F.array_except(known, F.col("delivered"))).alias("platform"))
+    known = f"ARRAY({', '.join(text.quote(p) for p in platforms)})"
+    delivered = f"COLLECT_SET(CASE WHEN {text.one_of('platform', platforms)} THEN platform END) AS delivered"
+    per_day = ads.where("report_date IS NOT NULL").groupBy("report_date").agg(F.expr(delivered))
+    return per_day.selectExpr("report_date", f"EXPLODE(ARRAY_EXCEPT({known}, delivered)) AS platform")

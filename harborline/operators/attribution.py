@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from harborline.functions.ratios import ratio
 from harborline.operators.advertising import with_canonical
-from harborline.operators.sales import is_net
+from harborline.operators.sales import IS_NET
 from harborline.operators.skew import join_unique
 
 
@@ -17,41 +17,36 @@ def attributed_revenue(touches: DataFrame, orders: DataFrame, campaign_seed: Dat
     revenue keeps its own bucket.  A touch whose platform is unknown has no
     campaign.
     """
-    net = orders.where(is_net()).select("order_id", "business_date", "total_amount")
+    net = orders.where(IS_NET).select("order_id", "business_date", "total_amount")
     joined = join_unique(touches, net, "order_id")
-    paid = (F.col("platform") != "organic") & F.col("utm_campaign").isNotNull()
-    return with_canonical(joined, campaign_seed, "utm_campaign").select(
+    return with_canonical(joined, campaign_seed, "utm_campaign").selectExpr(
         "business_date", "platform",
-        F.when(F.col("platform") == "organic", "organic").when(paid, F.col("canonical")).alias("campaign_canonical"),
+        """CASE WHEN platform = 'organic' THEN 'organic'
+                WHEN platform IS NOT NULL AND utm_campaign IS NOT NULL THEN canonical END AS campaign_canonical""",
         "order_id",
-        F.col("total_amount").alias("revenue_thb"),
+        "total_amount AS revenue_thb",
     )
 
 
-def _delivery() -> list:
-    return [
-        F.sum("spend_thb").alias("spend_thb"),
-        F.sum("impressions").alias("impressions"),
-        F.sum("clicks").alias("clicks"),
-        F.sum(F.coalesce("conversions", F.lit(0))).alias("platform_conversions"),
-    ]
-
-
-def _revenue() -> list:
-    return [
-        F.count(F.lit(1)).alias("attributed_orders"),
-        F.sum("revenue_thb").alias("attributed_revenue_thb"),
-    ]
-
-
+_DELIVERY = (
+    "SUM(spend_thb) AS spend_thb",
+    "SUM(impressions) AS impressions",
+    "SUM(clicks) AS clicks",
+    "SUM(COALESCE(conversions, 0)) AS platform_conversions",
+)
+_REVENUE = ("COUNT(*) AS attributed_orders", "SUM(revenue_thb) AS attributed_revenue_thb")
 _MEASURES = (
     "spend_thb", "impressions", "clicks", "platform_conversions",
     "attributed_orders", "attributed_revenue_thb",
 )
 
 
-def _or_zero(names) -> list:
-    return [F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names]
+def _or_zero(names) -> list[str]:
+    return [f"COALESCE({n}, 0) AS {n}" for n in names]
+
+
+def _exprs(expressions) -> list:
+    return [F.expr(e) for e in expressions]
 
 
 def channel_performance(ads: DataFrame, revenue: DataFrame) -> DataFrame:
@@ -60,34 +55,35 @@ def channel_performance(ads: DataFrame, revenue: DataFrame) -> DataFrame:
     Both sides are aggregated before they meet.  A NULL platform never matches
     and stays a row of its own.  A ratio without a denominator is NULL.
     """
-    spent = ads.groupBy(F.col("report_date").alias("activity_date"), "platform").agg(*_delivery())
-    earned = revenue.groupBy(F.col("business_date").alias("activity_date"), "platform").agg(*_revenue())
-    both = spent.join(earned, ["activity_date", "platform"], "full")
-    spend, income = F.col("spend_thb"), F.col("attributed_revenue_thb")
-    return both.select(
+    spent = ads.withColumnRenamed("report_date", "activity_date").groupBy("activity_date", "platform").agg(
+        *_exprs(_DELIVERY)
+    )
+    earned = revenue.withColumnRenamed("business_date", "activity_date").groupBy("activity_date", "platform").agg(
+        *_exprs(_REVENUE)
+    )
+    return spent.join(earned, ["activity_date", "platform"], "full").selectExpr(
         "activity_date", "platform", *_or_zero(_MEASURES),
-        ratio(income, spend).alias("roas"),
-        ratio(spend, F.col("clicks")).alias("cpc_thb"),
-        ratio(spend, F.col("attributed_orders")).alias("cpa_thb"),
-        ratio(F.col("clicks"), F.col("impressions"), times=100).alias("ctr_pct"),
+        f"{ratio('attributed_revenue_thb', 'spend_thb')} AS roas",
+        f"{ratio('spend_thb', 'clicks')} AS cpc_thb",
+        f"{ratio('spend_thb', 'attributed_orders')} AS cpa_thb",
+        f"{ratio('clicks', 'impressions', times=100)} AS ctr_pct",
     )
 
 
 def campaign_performance(ads: DataFrame, revenue: DataFrame, campaign_seed: DataFrame) -> DataFrame:
     """The same across platforms, one row per canonical campaign."""
-    named = with_canonical(ads.where(F.col("platform").isNotNull()), campaign_seed, "campaign_name")
+    named = with_canonical(ads.where("platform IS NOT NULL"), campaign_seed, "campaign_name")
     # a partial sum per platform first, so that counting platforms needs no distinct
-    per_platform = named.groupBy("canonical", "platform").agg(*_delivery())
+    per_platform = named.groupBy("canonical", "platform").agg(*_exprs(_DELIVERY))
     spent = per_platform.groupBy("canonical").agg(
-        F.count(F.lit(1)).alias("n_platforms"),
-        *[F.sum(n).alias(n) for n in _MEASURES[:4]],
+        *_exprs(["COUNT(*) AS n_platforms", *[f"SUM({n}) AS {n}" for n in _MEASURES[:4]]])
     )
     earned = (
-        revenue.where(F.col("campaign_canonical").isNotNull())
-        .groupBy(F.col("campaign_canonical").alias("canonical")).agg(*_revenue())
+        revenue.where("campaign_canonical IS NOT NULL")
+        .withColumnRenamed("campaign_canonical", "canonical")
+        .groupBy("canonical").agg(*_exprs(_REVENUE))
     )
-    both = spent.join(earned, "canonical", "full")
-    return both.select(
+    return spent.join(earned, "canonical", "full").selectExpr(
         "canonical", *_or_zero(["n_platforms", *_MEASURES]),
-        ratio(F.col("attributed_revenue_thb"), F.col("spend_thb")).alias("roas"),
+        f"{ratio('attributed_revenue_thb', 'spend_thb')} AS roas",
     )

@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 from harborline.functions import casts, text
-from harborline.schemas import REPORTING_ZONE
+from harborline.schemas import GROSS_STATUSES, REPORTING_ZONE
 
 
 def parse_orders(raw: DataFrame) -> DataFrame:
     """Typed order versions; the raw text of instants and amounts is kept."""
-    return raw.select(
+    return raw.selectExpr(
         "order_id",
         "customer_id",
-        F.col("order_ts").alias("order_ts_raw"),
-        F.col("total_amount").alias("total_amount_raw"),
-        casts.instant("order_ts").alias("order_ts"),
-        casts.instant("updated_at").alias("updated_at"),
-        text.tidy_lower("status").alias("status"),
-        casts.money("total_amount").alias("total_amount"),
-        text.tidy_lower("channel").alias("channel"),
+        "order_ts AS order_ts_raw",
+        "total_amount AS total_amount_raw",
+        f"{casts.instant('order_ts')} AS order_ts",
+        f"{casts.instant('updated_at')} AS updated_at",
+        f"{text.tidy_lower('status')} AS status",
+        f"{casts.money('total_amount')} AS total_amount",
+        f"{text.tidy_lower('channel')} AS channel",
         "_source_file",
         "_ingested_at",
     )
@@ -27,10 +27,10 @@ def parse_orders(raw: DataFrame) -> DataFrame:
 
 # Newest version first.  The content columns at the end make the order total:
 # two serialisations of one instant must not swap places between runs.
-_NEWEST_FIRST = (
+_NEWEST_FIRST = ", ".join(f"{c} DESC NULLS LAST" for c in (
     "updated_at", "_ingested_at", "order_ts_raw",
     "total_amount_raw", "status", "customer_id", "channel", "_source_file",
-)
+))
 
 
 def latest_versions(parsed: DataFrame) -> DataFrame:
@@ -40,8 +40,8 @@ def latest_versions(parsed: DataFrame) -> DataFrame:
     the shuffle (WindowGroupLimit), so an order resent a billion times, or a
     third of all rows without an id, still reaches the reducer as a few rows.
     """
-    newest = Window.partitionBy("order_id").orderBy(*[F.col(c).desc_nulls_last() for c in _NEWEST_FIRST])
-    return parsed.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") == 1).drop("_rn")
+    number = f"ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY {_NEWEST_FIRST}) AS _rn"
+    return parsed.selectExpr("*", number).where("_rn = 1").drop("_rn")
 
 
 def order_base(raw: DataFrame) -> DataFrame:
@@ -49,19 +49,18 @@ def order_base(raw: DataFrame) -> DataFrame:
     return latest_versions(parse_orders(raw))
 
 
-def _reject_reason() -> Column:
-    """First broken rule in precedence order, NULL for a clean row."""
-    return (
-        F.when(F.col("order_id").isNull(), "missing_order_id")
-        .when(F.col("order_ts").isNull() | F.col("updated_at").isNull(), "unparseable_timestamp")
-        .when(F.col("total_amount").isNull(), "amount_null_or_invalid")
-        .when(F.col("total_amount") < 0, "amount_negative")
-    )
+# First broken rule in precedence order, NULL for a clean row.
+_REJECT_REASON = """CASE
+    WHEN order_id IS NULL THEN 'missing_order_id'
+    WHEN order_ts IS NULL OR updated_at IS NULL THEN 'unparseable_timestamp'
+    WHEN total_amount IS NULL THEN 'amount_null_or_invalid'
+    WHEN total_amount < 0 THEN 'amount_negative'
+END"""
 
 
 def clean_orders(base: DataFrame) -> DataFrame:
     """Rows that break no rule.  Judged on the latest version only."""
-    return base.where(_reject_reason().isNull()).select(
+    return base.where(f"{_REJECT_REASON} IS NULL").select(
         "order_id", "customer_id", "order_ts", "updated_at", "status",
         "total_amount", "channel", "_source_file",
     )
@@ -69,66 +68,61 @@ def clean_orders(base: DataFrame) -> DataFrame:
 
 def rejected_orders(base: DataFrame) -> DataFrame:
     """The exact complement of :func:`clean_orders`, with the reason."""
-    return base.withColumn("reject_reason", _reject_reason()).where(F.col("reject_reason").isNotNull()).select(
+    return base.selectExpr(
         "order_id", "customer_id", "order_ts_raw", "total_amount_raw", "status",
-        "channel", "_source_file", "reject_reason",
-    )
+        "channel", "_source_file", f"{_REJECT_REASON} AS reject_reason",
+    ).where("reject_reason IS NOT NULL")
 
 
 def with_business_date(orders: DataFrame, zone: str = REPORTING_ZONE) -> DataFrame:
     """Add the calendar date of the order in the reporting zone."""
-    return orders.withColumn("business_date", casts.reporting_date("order_ts", zone))
+    return orders.selectExpr("*", f"{casts.reporting_date('order_ts', zone)} AS business_date")
 
 
 def money_orders(raw: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Current orders that moved money, optionally within inclusive UTC dates."""
-    from harborline.schemas import GROSS_STATUSES
-
-    current = latest_versions(parse_orders(raw))
-    moved = current.where(
-        F.col("status").isin(*GROSS_STATUSES) & (F.col("total_amount") > 0)
-    )
-    day = casts.utc_date("order_ts")
+    conditions = [text.one_of("status", GROSS_STATUSES), "total_amount > 0"]
     if start is not None:
-        moved = moved.where(day >= F.lit(start).cast("date"))
+        conditions.append(f"{casts.utc_date('order_ts')} >= DATE '{start}'")
     if end is not None:
-        moved = moved.where(day <= F.lit(end).cast("date"))
-    return moved.select("order_id", "order_ts", "total_amount")
-
-
-def clean_items(raw: DataFrame) -> DataFrame:
-    """Typed distinct order lines; the map-side pass of distinct absorbs hot copies."""
-    return typed_items(raw).distinct()
+        conditions.append(f"{casts.utc_date('order_ts')} <= DATE '{end}'")
+    current = latest_versions(parse_orders(raw))
+    return current.where(" AND ".join(conditions)).select("order_id", "order_ts", "total_amount")
 
 
 def typed_items(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "order_id",
         "product_id",
-        casts.whole_number("qty", "int").alias("qty"),
-        casts.money("unit_price", 12, 2).alias("unit_price"),
-    ).where(F.col("order_id").isNotNull() & (F.col("qty") > 0) & (F.col("unit_price") >= 0))
+        f"{casts.whole_number('qty', 'INT')} AS qty",
+        f"{casts.money('unit_price', 12, 2)} AS unit_price",
+    ).where("order_id IS NOT NULL AND qty > 0 AND unit_price >= 0")
+
+
+def clean_items(raw: DataFrame) -> DataFrame:
+    """Typed distinct order lines; the map-side pass of distinct absorbs hot copies."""
+    return typed_items(raw).distinct()
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
     """All customers with an id; a bad e-mail is flagged, not dropped."""
-    return raw.where(F.col("customer_id").isNotNull()).select(
+    return raw.where("customer_id IS NOT NULL").selectExpr(
         "customer_id",
         "email",
-        F.col("email").rlike(text.EMAIL_PATTERN).alias("email_is_valid"),
-        casts.calendar_date("signup_date").alias("signup_date"),
+        f"email RLIKE '{text.EMAIL_PATTERN}' AS email_is_valid",
+        f"{casts.calendar_date('signup_date')} AS signup_date",
         "region",
     )
 
 
 def clean_products(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col("product_id").isNotNull()).select(
-        "product_id", "name", "category", casts.money("cost", 12, 2).alias("cost")
+    return raw.where("product_id IS NOT NULL").selectExpr(
+        "product_id", "name", "category", f"{casts.money('cost', 12, 2)} AS cost"
     )
 
 
 def clean_fx_rates(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        casts.calendar_date("date").alias("fx_date"),
-        casts.money("usd_thb", 10, 4).alias("usd_thb"),
+    return raw.selectExpr(
+        f"{casts.calendar_date('`date`')} AS fx_date",
+        f"{casts.money('usd_thb', 10, 4)} AS usd_thb",
     )

@@ -2,37 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from harborline.functions import casts, text
 from harborline.operators.skew import ranked_sliced, split_hot
 
 
 def _versions(raw: DataFrame) -> DataFrame:
-    return (
-        raw.select(
-            "order_id",
-            text.tidy_lower("status").alias("status"),
-            casts.instant("updated_at").alias("valid_from"),
-        )
-        .where(F.col("order_id").isNotNull() & F.col("valid_from").isNotNull())
-        .distinct()
-    )
+    return raw.selectExpr(
+        "order_id",
+        f"{text.tidy_lower('status')} AS status",
+        f"{casts.instant('updated_at')} AS valid_from",
+    ).where("order_id IS NOT NULL AND valid_from IS NOT NULL").distinct()
 
 
-def _in_time() -> list[Column]:
-    """By instant; two statuses at one instant in alphabetical order."""
-    return [F.col("valid_from").asc(), F.col("status").asc_nulls_last()]
+# Two statuses at one instant are put in alphabetical order.
+_IN_TIME = ("valid_from ASC NULLS LAST", "status ASC NULLS LAST")
 
 
 def status_history(raw: DataFrame) -> DataFrame:
     """(order_id, status, valid_from, valid_to, is_current) per distinct version."""
     ordinary, hot = split_hot(raw, ["order_id"])
-    following = F.lead("valid_from").over(Window.partitionBy("order_id").orderBy(*_in_time()))
-    history = _versions(ordinary).withColumn("valid_to", following)
+    following = f"LEAD(valid_from) OVER (PARTITION BY order_id ORDER BY {', '.join(_IN_TIME)}) AS valid_to"
+    history = _versions(ordinary).selectExpr("*", following)
     if hot is not None:
         history = history.unionByName(_hot_history(hot))
-    return history.withColumn("is_current", F.col("valid_to").isNull())
+    return history.selectExpr("*", "valid_to IS NULL AS is_current")
 
 
 def _hot_history(raw: DataFrame) -> DataFrame:
@@ -41,10 +36,8 @@ def _hot_history(raw: DataFrame) -> DataFrame:
     Number the versions in slices, then join each with its successor: the key
     (order_id, number) is unique, so no task sees more than its share.
     """
-    numbered = ranked_sliced(_versions(raw), ["order_id"], _in_time(), "_n")
-    successor = numbered.select(
-        "order_id", (F.col("_n") - 1).alias("_n"), F.col("valid_from").alias("valid_to")
-    )
+    numbered = ranked_sliced(_versions(raw), ["order_id"], _IN_TIME, "_n")
+    successor = numbered.selectExpr("order_id", "_n - 1 AS _n", "valid_from AS valid_to")
     return numbered.join(successor, ["order_id", "_n"], "left").select(
         "order_id", "status", "valid_from", "valid_to"
     )
@@ -56,14 +49,14 @@ def days_to_refund(history: DataFrame) -> DataFrame:
     Only the dates matter, so refunds shrink to one row per order and day before
     they meet the order's first version.
     """
-    first_seen = history.groupBy("order_id").agg(F.min("valid_from").alias("first_seen"))
+    first_seen = history.groupBy("order_id").agg(F.expr("TO_DATE(MIN(valid_from)) AS first_day"))
     refunds = (
-        history.where(F.col("status") == "refunded")
-        .groupBy("order_id", F.to_date("valid_from").alias("refund_day"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        history.where("status = 'refunded'")
+        .selectExpr("order_id", "TO_DATE(valid_from) AS refund_day")
+        .groupBy("order_id", "refund_day").agg(F.expr("COUNT(*) AS n"))
     )
     return (
         refunds.join(first_seen, "order_id")
-        .groupBy(F.datediff("refund_day", F.to_date("first_seen")).alias("days_to_refund"))
-        .agg(F.sum("n").alias("orders"))
+        .selectExpr("DATEDIFF(refund_day, first_day) AS days_to_refund", "n")
+        .groupBy("days_to_refund").agg(F.expr("SUM(n) AS orders"))
     )

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from harborline.functions import casts
-from harborline.operators.sales import is_net, is_refund
+from harborline.functions.text import one_of
+from harborline.operators.sales import IS_NET, IS_REFUND
 from harborline.schemas import (
     AD_PLATFORMS, CHANNELS, MART_PLATFORMS, ORDER_STATUSES, REJECT_REASONS,
 )
@@ -54,26 +55,26 @@ RULES: dict[str, Rules] = {
 }
 
 
+def _count(df: DataFrame, expression: str) -> DataFrame:
+    return df.agg(F.expr(f"{expression} AS violations"))
+
+
 def column_checks(table: str, df: DataFrame, rules: Rules) -> DataFrame:
     """not_null and accepted_values of all columns in ONE pass over the table."""
-    counts = [
-        (f"not_null:{c}", F.count_if(F.col(c).isNull())) for c in rules.not_null
-    ] + [
-        (f"accepted_values:{c}", F.count_if(~F.col(c).isin(*values))) for c, values in rules.accepted.items()
-    ]
-    one_row = df.agg(*[expr.alias(f"c{i}") for i, (_, expr) in enumerate(counts)])
-    long = F.array(*[
-        F.struct(F.lit(name).alias("check"), F.col(f"c{i}").alias("violations"))
-        for i, (name, _) in enumerate(counts)
-    ])
-    return one_row.select(F.lit(table).alias("table_name"), F.inline(long))
+    counts = [(f"not_null:{c}", f"{c} IS NULL") for c in rules.not_null]
+    counts += [(f"accepted_values:{c}", f"NOT ({one_of(c, values)})") for c, values in rules.accepted.items()]
+    one_row = df.agg(*[F.expr(f"COUNT_IF({broken}) AS c{i}") for i, (_, broken) in enumerate(counts)])
+    rows = ", ".join(
+        f"NAMED_STRUCT('check', '{name}', 'violations', c{i})" for i, (name, _) in enumerate(counts)
+    )
+    return one_row.selectExpr(f"'{table}' AS table_name", f"INLINE(ARRAY({rows}))")
 
 
 def unique_check(table: str, df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once; NULLs do not count."""
-    repeated = df.where(F.col(column).isNotNull()).groupBy(column).count().where(F.col("count") > 1)
-    return repeated.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(table).alias("table_name"), F.lit(f"unique:{column}").alias("check"), "violations"
+    repeated = df.where(f"{column} IS NOT NULL").groupBy(column).count().where("count > 1")
+    return _count(repeated, "COUNT(*)").selectExpr(
+        f"'{table}' AS table_name", f"'unique:{column}' AS check", "violations"
     )
 
 
@@ -82,12 +83,10 @@ def relationship_check(table: str, df: DataFrame, column: str, target: DataFrame
 
     Counted per value first: a hot value reaches the join as one row.
     """
-    used = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("n"))
-    known = target.select(F.col(target_column).alias("_v"))
-    return used.join(known, "_v", "left_anti").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("violations")
-    ).select(
-        F.lit(table).alias("table_name"), F.lit(f"relationships:{column}").alias("check"), "violations"
+    used = df.where(f"{column} IS NOT NULL").groupBy(column).agg(F.expr("COUNT(*) AS n"))
+    known = target.selectExpr(f"{target_column} AS {column}")
+    return _count(used.join(known, column, "left_anti"), "COALESCE(SUM(n), 0)").selectExpr(
+        f"'{table}' AS table_name", f"'relationships:{column}' AS check", "violations"
     )
 
 
@@ -104,48 +103,44 @@ def check_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
-def named(check: str, violations: DataFrame) -> DataFrame:
-    """Wrap a one-row count as (check, violations)."""
-    column = violations.columns[0]
-    return violations.select(F.lit(check).alias("check"), F.col(column).cast("bigint").alias("violations"))
+def failed(checks: DataFrame) -> DataFrame:
+    """The checks that found something, worst first."""
+    return checks.where("violations > 0").orderBy("violations", ascending=False)
 
 
 # ----------------------------------------------------------- money and counts
 
+_CENT = "0.01"
+
+
+def _line_money(items: DataFrame) -> DataFrame:
+    return items.groupBy("order_id").agg(F.expr("SUM(qty * unit_price) AS line_total"))
+
+
 def net_is_gross_minus_refund(sales: DataFrame) -> DataFrame:
-    return sales.agg(
-        F.count_if(F.col("net_amount") != F.col("gross_amount") - F.col("refund_amount")).alias("violations")
-    )
+    return _count(sales, "COUNT_IF(net_amount != gross_amount - refund_amount)")
 
 
 def net_money_by_layer(sales: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """Net money in the fact and recomputed from the clean tables: (layer, net_amount)."""
-    per_order = items.groupBy("order_id").agg(F.sum(F.col("qty") * F.col("unit_price")).alias("amount"))
-    staging = orders.where(is_net()).select("order_id").join(per_order, "order_id")
-    return sales.agg(F.coalesce(F.sum("net_amount"), F.lit(0)).alias("net_amount")).select(
-        F.lit("mart").alias("layer"), "net_amount"
+    staging = orders.where(IS_NET).select("order_id").join(_line_money(items), "order_id")
+    return sales.agg(F.expr("COALESCE(SUM(net_amount), 0) AS net_amount")).selectExpr(
+        "'mart' AS layer", "net_amount"
     ).unionByName(
-        staging.agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("net_amount")).select(
-            F.lit("staging").alias("layer"), "net_amount"
-        )
+        staging.agg(F.expr("COALESCE(SUM(line_total), 0) AS net_amount")).selectExpr("'staging' AS layer", "net_amount")
     )
 
 
 def header_differs_from_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders whose header total is not the sum of their lines."""
-    per_order = items.groupBy("order_id").agg(F.sum(F.col("qty") * F.col("unit_price")).alias("line_total"))
-    return orders.select("order_id", "total_amount").join(per_order, "order_id").agg(
-        F.count_if(F.abs(F.col("total_amount") - F.col("line_total")) > F.lit(0.01).cast("decimal(3,2)"))
-        .alias("violations")
-    )
+    joined = orders.select("order_id", "total_amount").join(_line_money(items), "order_id")
+    return _count(joined, f"COUNT_IF(ABS(total_amount - line_total) > {_CENT})")
 
 
 def order_count_by_layer(daily: DataFrame, orders: DataFrame) -> DataFrame:
     """Net orders in the fact and in the clean table; a line-grain count would differ."""
-    return daily.agg(F.sum("net_orders").alias("net_orders")).select(
-        F.lit("mart").alias("layer"), "net_orders"
-    ).unionByName(
-        orders.agg(F.count_if(is_net()).alias("net_orders")).select(F.lit("staging").alias("layer"), "net_orders")
+    return daily.agg(F.expr("SUM(net_orders) AS net_orders")).selectExpr("'mart' AS layer", "net_orders").unionByName(
+        orders.agg(F.expr(f"COUNT_IF({IS_NET}) AS net_orders")).selectExpr("'staging' AS layer", "net_orders")
     )
 
 
@@ -155,28 +150,26 @@ def order_accounting(raw: DataFrame, clean: DataFrame, rejected: DataFrame) -> D
     Rows without an id count as one group and end as one reject, which the
     distinct count does not see; it is reported on its own.
     """
-    ids = raw.groupBy("order_id").agg(F.lit(1).alias("one")).agg(
-        F.count("order_id").alias("raw_ids"), F.count_if(F.col("order_id").isNull()).alias("without_id")
+    ids = raw.groupBy("order_id").count().agg(
+        F.expr("COUNT(order_id) AS raw_ids"), F.expr("COUNT_IF(order_id IS NULL) AS without_id"), F.expr("1 AS _one")
     )
-    return (
-        ids.withColumn("_k", F.lit(1))
-        .join(clean.agg(F.count(F.lit(1)).alias("clean")).withColumn("_k", F.lit(1)), "_k")
-        .join(rejected.agg(F.count(F.lit(1)).alias("rejected")).withColumn("_k", F.lit(1)), "_k")
-        .select(
-            "raw_ids", "without_id", "clean", "rejected",
-            (F.col("clean") + F.col("rejected") - F.col("raw_ids") - F.col("without_id")).alias("violations"),
-        )
+    kept = clean.agg(F.expr("COUNT(*) AS clean"), F.expr("1 AS _one"))
+    dropped = rejected.agg(F.expr("COUNT(*) AS rejected"), F.expr("1 AS _one"))
+    # three global aggregates of one row each
+    return ids.join(kept, "_one").join(dropped, "_one").selectExpr(
+        "raw_ids", "without_id", "clean", "rejected", "clean + rejected - raw_ids - without_id AS violations"
     )
 
 
 def refund_money_mismatch(lines: DataFrame, analysis: DataFrame) -> DataFrame:
     """Categories whose refunded money differs from a recount of the lines."""
-    expected = lines.where(is_refund()).groupBy("category").agg(F.sum("line_amount").alias("expected_refunded_amount"))
-    actual = analysis.select("category", F.col("refunded_amount").alias("actual_refunded_amount"), F.lit(True).alias("_in"))
-    joined = expected.withColumn("_out", F.lit(True)).join(actual, "category", "full")
-    gap = F.abs(F.col("expected_refunded_amount") - F.col("actual_refunded_amount"))
-    return joined.where(
-        F.col("_in").isNull() | F.col("_out").isNull() | (gap > F.lit(0.01).cast("decimal(3,2)"))
+    expected = lines.where(IS_REFUND).groupBy("category").agg(
+        F.expr("SUM(line_amount) AS expected_refunded_amount"), F.expr("TRUE AS _expected")
+    )
+    actual = analysis.selectExpr("category", "refunded_amount AS actual_refunded_amount", "TRUE AS _actual")
+    return expected.join(actual, "category", "full").where(
+        f"""_expected IS NULL OR _actual IS NULL
+            OR ABS(expected_refunded_amount - actual_refunded_amount) > {_CENT}"""
     ).select("category", "expected_refunded_amount", "actual_refunded_amount")
 
 
@@ -185,127 +178,105 @@ def restated_refund_mismatch(sales: DataFrame, orders: DataFrame, items: DataFra
 
     ``orders`` carries business_date.
     """
-    per_order = items.groupBy("order_id").agg(F.sum(F.col("qty") * F.col("unit_price")).alias("amount"))
-    expected = (
-        orders.where(is_refund()).select("order_id", "business_date").join(per_order, "order_id")
-        .groupBy("business_date").agg(F.sum("amount").alias("expected"))
-    )
-    actual = sales.groupBy("business_date").agg(F.sum("refund_amount").alias("actual"))
-    gap = F.abs(F.coalesce("expected", F.lit(0)) - F.coalesce("actual", F.lit(0)))
-    return expected.join(actual, "business_date", "full").agg(
-        F.count_if(gap > F.lit(0.01).cast("decimal(3,2)")).alias("violations")
+    refunds = orders.where(IS_REFUND).select("order_id", "business_date").join(_line_money(items), "order_id")
+    expected = refunds.groupBy("business_date").agg(F.expr("SUM(line_total) AS expected"))
+    actual = sales.groupBy("business_date").agg(F.expr("SUM(refund_amount) AS actual"))
+    return _count(
+        expected.join(actual, "business_date", "full"),
+        f"COUNT_IF(ABS(COALESCE(expected, 0) - COALESCE(actual, 0)) > {_CENT})",
     )
 
 
 def spend_by_layer(ads: DataFrame, channels: DataFrame) -> DataFrame:
     """Ad spend before and after the fact: (layer, spend_thb)."""
     def total(df: DataFrame, layer: str) -> DataFrame:
-        return df.agg(F.coalesce(F.sum("spend_thb"), F.lit(0)).alias("spend_thb")).select(
-            F.lit(layer).alias("layer"), "spend_thb"
-        )
+        return df.agg(F.expr("COALESCE(SUM(spend_thb), 0) AS spend_thb")).selectExpr(f"'{layer}' AS layer", "spend_thb")
 
     return total(ads, "staging").unionByName(total(channels, "mart"))
 
 
 def collapsed_resends(raw_ads: DataFrame, ads: DataFrame) -> DataFrame:
     """Per platform: delivered rows, rows kept, rows collapsed as resends."""
-    raw = raw_ads.groupBy("platform").agg(F.count(F.lit(1)).alias("delivered"))
-    kept = ads.groupBy("platform").agg(F.count(F.lit(1)).alias("kept"))
-    return raw.join(kept, raw["platform"].eqNullSafe(kept["platform"]), "left").select(
-        raw["platform"], "delivered", F.coalesce("kept", F.lit(0)).alias("kept"),
-        (F.col("delivered") - F.coalesce("kept", F.lit(0))).alias("collapsed"),
+    raw = raw_ads.groupBy("platform").agg(F.expr("COUNT(*) AS delivered"))
+    kept = ads.groupBy("platform").agg(F.expr("COUNT(*) AS kept")).withColumnRenamed("platform", "_platform")
+    return raw.join(kept, F.expr("platform <=> _platform"), "left").selectExpr(
+        "platform", "delivered", "COALESCE(kept, 0) AS kept", "delivered - COALESCE(kept, 0) AS collapsed"
     )
 
 
 def undefined_ratios(channels: DataFrame) -> DataFrame:
     """Ratio cells that are not finite; the guarded decimal ratios never are."""
-    def broken(name: str) -> Column:
-        value = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-        return F.isnan(value) | (F.abs(value) == float("inf"))
+    def broken(name: str) -> str:
+        value = f"CAST(COALESCE({name}, 0) AS DOUBLE)"
+        return f"ISNAN({value}) OR ABS({value}) = DOUBLE('Infinity')"
 
-    return channels.agg(F.count_if(
-        broken("roas") | broken("cpc_thb") | broken("cpa_thb") | broken("ctr_pct")
-    ).alias("violations"))
+    return _count(channels, f"COUNT_IF({' OR '.join(map(broken, ('roas', 'cpc_thb', 'cpa_thb', 'ctr_pct')))})")
 
 
 def attribution_completeness(touches: DataFrame, orders: DataFrame, attributed: DataFrame) -> DataFrame:
     """Touches of net orders, attributed rows, and the organic share."""
-    per_order = touches.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
-    expected = orders.where(is_net()).select("order_id").join(per_order, "order_id").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("expected")
+    per_order = touches.groupBy("order_id").agg(F.expr("COUNT(*) AS n"))
+    expected = orders.where(IS_NET).select("order_id").join(per_order, "order_id").agg(
+        F.expr("COALESCE(SUM(n), 0) AS expected"), F.expr("1 AS _one")
     )
     actual = attributed.agg(
-        F.count(F.lit(1)).alias("attributed"), F.count_if(F.col("platform") == "organic").alias("organic")
+        F.expr("COUNT(*) AS attributed"), F.expr("COUNT_IF(platform = 'organic') AS organic"), F.expr("1 AS _one")
     )
-    return expected.withColumn("_k", F.lit(1)).join(actual.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return expected.join(actual, "_one").drop("_one")
 
 
 def waterfall_completeness(gateway: DataFrame, ledger: DataFrame, results: DataFrame) -> DataFrame:
     """Rows in and rows placed per side: (side, received, placed)."""
-    received = gateway.agg(F.count(F.lit(1)).alias("received")).select(
-        F.lit("gateway").alias("side"), "received"
-    ).unionByName(ledger.agg(F.count(F.lit(1)).alias("received")).select(F.lit("ledger").alias("side"), "received"))
-    placed = results.agg(
-        F.count("txn_id").alias("g"), F.count("entry_id").alias("l")
-    ).select(F.inline(F.array(
-        F.struct(F.lit("gateway").alias("side"), F.col("g").alias("placed")),
-        F.struct(F.lit("ledger").alias("side"), F.col("l").alias("placed")),
-    )))
-    return received.join(placed, "side")
+    def received(df: DataFrame, side: str) -> DataFrame:
+        return df.agg(F.expr("COUNT(*) AS received")).selectExpr(f"'{side}' AS side", "received")
+
+    placed = results.agg(F.expr("COUNT(txn_id) AS g"), F.expr("COUNT(entry_id) AS l")).selectExpr(
+        "INLINE(ARRAY(NAMED_STRUCT('side', 'gateway', 'placed', g), NAMED_STRUCT('side', 'ledger', 'placed', l)))"
+    )
+    return received(gateway, "gateway").unionByName(received(ledger, "ledger")).join(placed, "side")
 
 
 def bucket_sum_mismatch(summary: DataFrame) -> DataFrame:
     """Days whose gateway buckets do not add up to the gateway count."""
-    total = sum(
-        (F.col(c) for c in (
-            "fee_timing", "rounding", "amount_other", "possible_ref_issue", "missing_in_ledger")),
-        F.col("matched"),
-    )
-    return summary.agg(F.count_if(total != F.col("gateway_count")).alias("violations"))
+    return _count(summary, """COUNT_IF(
+        matched + fee_timing + rounding + amount_other + possible_ref_issue + missing_in_ledger != gateway_count)""")
 
 
 # ------------------------------------------------------- volume and freshness
 
 def freshness(log: DataFrame) -> DataFrame:
     """Newest file date per table."""
-    return log.groupBy("table_name").agg(F.max("file_date").alias("latest_file_date"))
+    return log.groupBy("table_name").agg(F.expr("MAX(file_date) AS latest_file_date"))
 
 
 def daily_volume(log: DataFrame) -> DataFrame:
-    return log.where(F.col("file_date").isNotNull()).groupBy("table_name", "file_date").agg(
-        F.sum("row_count").alias("rows")
+    return log.where("file_date IS NOT NULL").groupBy("table_name", "file_date").agg(
+        F.expr("SUM(row_count) AS rows")
     )
 
 
-def volume_profile(volume: DataFrame, days: int = 7) -> DataFrame:
-    """Rows per table and day next to the average of the days before.
+def volume_anomalies(volume: DataFrame, days: int = 7) -> DataFrame:
+    """Days that deviate from the average of the days before by more than half of it.
 
     The input is the daily rollup of the load log: one row per table and day.
     """
-    before = Window.partitionBy("table_name").orderBy("file_date").rowsBetween(-days, -1)
-    sums = volume.select(
+    before = f"OVER (PARTITION BY table_name ORDER BY file_date ROWS BETWEEN {days} PRECEDING AND 1 PRECEDING)"
+    profile = volume.selectExpr(
         "table_name", "file_date", "rows",
-        F.sum("rows").over(before).alias("_sum"), F.count("rows").over(before).alias("_n"),
+        f"CAST(SUM(rows) {before} AS DECIMAL(20,2)) / COUNT(rows) {before} AS trailing",
     )
-    return sums.select(
-        "table_name", "file_date", "rows",
-        (F.col("_sum").cast("decimal(20,2)") / F.col("_n")).alias("trailing"),
+    return profile.where("ABS(rows - trailing) * 2 > trailing").selectExpr(
+        "table_name", "file_date", "rows", "CAST(ROUND(trailing, 0) AS BIGINT) AS trailing_avg"
     )
 
 
-def volume_anomalies(volume: DataFrame, days: int = 7) -> DataFrame:
-    """Days that deviate from their trailing average by more than half of it."""
-    trailing = F.col("trailing")
-    return volume_profile(volume, days).where(
-        trailing.isNotNull() & (F.abs(F.col("rows") - trailing) * 2 > trailing)
-    ).select("table_name", "file_date", "rows", F.round(trailing, 0).cast("bigint").alias("trailing_avg"))
+_FILE_DATE = r"REGEXP_EXTRACT(_source_file, '(\\d{4}-\\d{2}-\\d{2})', 1)"
 
 
 def off_schedule_files(orders: DataFrame) -> DataFrame:
-    """Orders whose file date is not their UTC order date, with the distance in days."""
-    file_date = F.regexp_extract("_source_file", r"(\d{4}-\d{2}-\d{2})", 1)
-    late = F.datediff(casts.calendar_date(file_date), casts.utc_date("order_ts"))
-    return orders.groupBy(late.alias("days_late")).agg(F.count(F.lit(1)).alias("orders"))
+    """Orders by the distance in days from their UTC date to their file's date."""
+    late = f"DATEDIFF({casts.calendar_date(_FILE_DATE)}, {casts.utc_date('order_ts')}) AS days_late"
+    return orders.selectExpr(late).groupBy("days_late").agg(F.expr("COUNT(*) AS orders"))
 
 
 # ---------------------------------------------------------- checksums, recall
@@ -315,13 +286,13 @@ VOLATILE = ("_ingested_at",)
 
 def checksum(table: str, df: DataFrame) -> DataFrame:
     """Order-independent fingerprint: row count and sum of row hashes."""
-    columns = [c for c in df.columns if c not in VOLATILE]
+    columns = [f"`{c}`" for c in df.columns if c not in VOLATILE]
     # the hash skips NULLs, so where they are is hashed as well
-    nulls = F.array(*[F.col(c).isNull() for c in columns])
-    row_hash = F.xxhash64(*[F.col(c) for c in columns], nulls).cast("decimal(38,0)")
+    nulls = f"ARRAY({', '.join(f'{c} IS NULL' for c in columns)})"
+    row_hash = f"CAST(XXHASH64({', '.join(columns)}, {nulls}) AS DECIMAL(38,0))"
     return df.agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_hash), F.lit(0).cast("decimal(38,0)")).alias("fingerprint")
-    ).select(F.lit(table).alias("table_name"), "rows", "fingerprint")
+        F.expr("COUNT(*) AS rows"), F.expr(f"COALESCE(SUM({row_hash}), CAST(0 AS DECIMAL(38,0))) AS fingerprint")
+    ).selectExpr(f"'{table}' AS table_name", "rows", "fingerprint")
 
 
 def checksums(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -332,12 +303,9 @@ def checksums(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
-def recall(expected_ids: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """How many of the expected ids were found: (expected, caught, missed)."""
-    wanted = expected_ids.select(key).distinct()
-    hits = found.select(key).distinct().withColumn("_hit", F.lit(True))
-    return wanted.join(hits, key, "left").agg(
-        F.count(F.lit(1)).alias("expected"),
-        F.count_if(F.col("_hit").isNotNull()).alias("caught"),
-        F.count_if(F.col("_hit").isNull()).alias("missed"),
+def recall(expected: DataFrame, caught: DataFrame) -> DataFrame:
+    """Per case: how many of the expected (case, id) were caught."""
+    hits = caught.distinct().selectExpr("case", "id", "1 AS _hit")
+    return expected.distinct().join(hits, ["case", "id"], "left").groupBy("case").agg(
+        F.expr("COUNT(*) AS injected"), F.expr("COUNT(_hit) AS caught")
     )

@@ -23,9 +23,7 @@ tier 4 shuffles.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from harborline.functions import casts, text
 from harborline.functions.ratios import ratio
@@ -34,8 +32,8 @@ from harborline.schemas import FOLLOW_UP_TYPES
 from harborline.session import materialize
 
 # Tolerances, confidences and alert thresholds.
-FEE_TOLERANCE = Decimal("0.005")
-ROUNDING_TOLERANCE = Decimal("0.05")
+FEE_TOLERANCE = "0.005"
+ROUNDING_TOLERANCE = "0.05"
 CONFIDENCE = {
     "exact": "1.00",
     "date_boundary": "0.95",
@@ -47,11 +45,11 @@ CONFIDENCE = {
     "missing_in_gateway": "1.00",
     "duplicate_posting": "1.00",
 }
-MATCH_RATE_FLOOR = Decimal("97.0")
-NET_DIFFERENCE_CEILING = Decimal("10000.0")
+MATCH_RATE_FLOOR = "97.0"
+NET_DIFFERENCE_CEILING = "10000.0"
 
-GATEWAY, LEDGER = "G", "L"
 _DUPLICATE = 0  # in the tier column; NULL means still open
+# The side column is 'G' or 'L'; gateway rows sort first.
 
 
 class ReconciliationError(RuntimeError):
@@ -61,32 +59,33 @@ class ReconciliationError(RuntimeError):
 # ---------------------------------------------------------------- normalising
 
 def normalize_gateway(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "txn_id",
-        text.payment_ref("gateway_ref").alias("ref"),
-        casts.money("amount").alias("amount"),
-        text.tidy_upper("currency").alias("currency"),
-        casts.money("fee").alias("fee"),
-        casts.utc_date(casts.instant("created_at")).alias("txn_date"),
+        f"{text.payment_ref('gateway_ref')} AS ref",
+        f"{casts.money('amount')} AS amount",
+        f"{text.tidy_upper('currency')} AS currency",
+        f"{casts.money('fee')} AS fee",
+        f"{casts.utc_date(casts.instant('created_at'))} AS txn_date",
     )
 
 
 def ledger_columns(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    """Typed ledger entries without the posting sequence."""
+    return raw.selectExpr(
         "entry_id",
-        text.payment_ref("external_ref").alias("ref"),
-        casts.money("amount").alias("amount"),
-        text.tidy_upper("currency").alias("currency"),
-        casts.utc_date(casts.instant("posted_at")).alias("entry_date"),
+        f"{text.payment_ref('external_ref')} AS ref",
+        f"{casts.money('amount')} AS amount",
+        f"{text.tidy_upper('currency')} AS currency",
+        f"{casts.utc_date(casts.instant('posted_at'))} AS entry_date",
         # repeats are recognised on the text as delivered: 1000.0 is not 1000.00
-        F.col("amount").alias("amount_text"),
+        "amount AS amount_text",
     )
 
 
 def normalize_ledger(raw: DataFrame) -> DataFrame:
     """Typed ledger entries; posting_seq > 1 marks a repeated posting."""
     return ranked(
-        ledger_columns(raw), ["ref", "amount_text"], [F.col("entry_id").asc_nulls_last()], "posting_seq"
+        ledger_columns(raw), ["ref", "amount_text"], ["entry_id ASC NULLS LAST"], "posting_seq"
     ).drop("amount_text")
 
 
@@ -99,59 +98,62 @@ _TIERS: tuple[tuple[int, tuple[str, ...], tuple[str, ...]], ...] = (
     (3, ("ref",), ("amount", "day", "id")),
 )
 
+# What tiers 1-3 carry per row besides tier and pair_no.
+_CARRIED = ("lane", "side", "id", "ref", "amount", "fee", "day")
+
 
 def _both_sides(raw_gateway: DataFrame, raw_ledger: DataFrame) -> DataFrame:
-    gateway = normalize_gateway(raw_gateway).select(
-        F.lit(GATEWAY).alias("side"), F.col("txn_id").alias("id"), "ref", "amount", "fee",
-        F.col("txn_date").alias("day"), F.lit(None).cast("string").alias("amount_text"),
-    )
-    ledger = ledger_columns(raw_ledger).select(
-        F.lit(LEDGER).alias("side"), F.col("entry_id").alias("id"), "ref", "amount",
-        F.lit(None).cast("decimal(14,2)").alias("fee"), F.col("entry_date").alias("day"), "amount_text",
+    """One frame with all transactions and entries.
+
+    The lane decides the task.  It is the reference.  Rows without one match
+    nobody in tiers 1-3 and spread out instead: entries by the amount text that
+    decides about repeats, transactions by their id.
+    """
+    gateway = normalize_gateway(raw_gateway).selectExpr(
+        "COALESCE(ref, '|' || txn_id, '|') AS lane", "'G' AS side", "txn_id AS id", "ref", "amount", "fee",
+        "txn_date AS day", "CAST(NULL AS STRING) AS amount_text",
     )
-    # The lane decides the task.  It is the reference.  Rows without one match
-    # nobody in tiers 1-3 and spread out instead: entries by the amount text that
-    # decides about repeats, transactions by their id.
-    return gateway.withColumn("lane", F.coalesce("ref", F.concat_ws("|", F.lit(""), "id"))).unionByName(
-        ledger.withColumn("lane", F.coalesce("ref", F.concat_ws("|", F.lit(""), "amount_text")))
+    ledger = ledger_columns(raw_ledger).selectExpr(
+        "COALESCE(ref, '|' || amount_text, '|') AS lane", "'L' AS side", "entry_id AS id", "ref", "amount",
+        "CAST(NULL AS DECIMAL(14,2)) AS fee", "entry_date AS day", "amount_text",
     )
+    return gateway.unionByName(ledger)
 
 
-def _in_order(columns: Sequence[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in columns]
+def _in_order(columns: Sequence[str]) -> list[str]:
+    return [f"{c} ASC NULLS LAST" for c in columns]
 
 
-def _eligible(keys: Sequence[str]) -> Column:
-    condition = F.col("tier").isNull()
-    for key in keys:
-        condition = condition & F.col(key).isNotNull()
-    return condition
+def _eligible(keys: Sequence[str]) -> str:
+    return " AND ".join(["tier IS NULL", *[f"{k} IS NOT NULL" for k in keys]])
 
 
-def _mark_duplicates(rows: DataFrame, seq: Column) -> DataFrame:
-    repeated = (F.col("side") == LEDGER) & (seq > 1)
-    return rows.select(
-        "*", F.when(repeated, F.lit(_DUPLICATE)).alias("tier"), F.lit(None).cast("int").alias("pair_no")
+def _mark_duplicates(rows: DataFrame, seq: str) -> DataFrame:
+    return rows.selectExpr(
+        *_CARRIED,
+        f"CASE WHEN side = 'L' AND {seq} > 1 THEN {_DUPLICATE} END AS tier",
+        "CAST(NULL AS BIGINT) AS pair_no",
     )
 
 
 def _take_ordinary(rows: DataFrame, tier: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One tier for ordinary references: windows on the existing partitioning."""
-    group = Window.partitionBy("lane", *keys, "_ok").orderBy("side", *_in_order(order))
-    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    numbered = rows.withColumn("_ok", _eligible(keys)).select(
+    group = f"PARTITION BY lane, {', '.join(keys)}, _ok ORDER BY side, {', '.join(_in_order(order))}"
+    whole = f"{group} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    numbered = rows.selectExpr("*", f"{_eligible(keys)} AS _ok").selectExpr(
         "*",
-        F.row_number().over(group).alias("_pos"),
-        F.count_if(F.col("side") == GATEWAY).over(whole).alias("_gateways"),
-        F.count(F.lit(1)).over(whole).alias("_all"),
+        f"ROW_NUMBER() OVER ({group}) AS _pos",
+        f"COUNT_IF(side = 'G') OVER ({whole}) AS _gateways",
+        f"COUNT(*) OVER ({whole}) AS _all",
     )
-    # gateway rows sort first, so a ledger row's number starts after them
-    number = F.when(F.col("side") == GATEWAY, F.col("_pos")).otherwise(F.col("_pos") - F.col("_gateways"))
-    taken = F.col("_ok") & (number <= F.least(F.col("_gateways"), F.col("_all") - F.col("_gateways")))
-    return numbered.select(
-        *[c for c in rows.columns if c not in ("tier", "pair_no")],
-        F.when(taken, F.lit(tier)).otherwise(F.col("tier")).alias("tier"),
-        F.when(taken, number.cast("int")).otherwise(F.col("pair_no")).alias("pair_no"),
+    # gateway rows sort first, so an entry's number starts after them
+    number = "CASE WHEN side = 'G' THEN _pos ELSE _pos - _gateways END"
+    return numbered.selectExpr("*", f"{number} AS _n").selectExpr(
+        "*", "_ok AND _n <= LEAST(_gateways, _all - _gateways) AS _taken"
+    ).selectExpr(
+        *_CARRIED,
+        f"CASE WHEN _taken THEN {tier} ELSE tier END AS tier",
+        "CASE WHEN _taken THEN _n ELSE pair_no END AS pair_no",
     )
 
 
@@ -164,77 +166,58 @@ def _take_hot(rows: DataFrame, tier: int, keys: Sequence[str], order: Sequence[s
     """
     ok = _eligible(keys)
     numbered = ranked_sliced(rows.where(ok), ["side", *keys], _in_order(order), "_n")
-    other = numbered.select(
-        *keys, "_n", F.lit(True).alias("_met"),
-        F.when(F.col("side") == GATEWAY, LEDGER).otherwise(GATEWAY).alias("side"),
-    )
-    met = numbered.join(other, ["side", *keys, "_n"], "left")
-    taken = F.col("_met").isNotNull()
-    updated = met.select(
-        *[c for c in rows.columns if c not in ("tier", "pair_no")],
-        F.when(taken, F.lit(tier)).otherwise(F.col("tier")).alias("tier"),
-        F.when(taken, F.col("_n")).otherwise(F.col("pair_no")).alias("pair_no"),
+    other = numbered.selectExpr(*keys, "_n", "CASE WHEN side = 'G' THEN 'L' ELSE 'G' END AS side", "TRUE AS _met")
+    met = numbered.join(other, ["side", *keys, "_n"], "left").selectExpr(
+        *_CARRIED,
+        f"CASE WHEN _met THEN {tier} ELSE tier END AS tier",
+        "CASE WHEN _met THEN _n ELSE pair_no END AS pair_no",
     )
-    return rows.where(~ok).unionByName(updated)
+    return rows.where(f"NOT ({ok})").unionByName(met)
 
 
 def _join_pairs(rows: DataFrame) -> DataFrame:
     """Put the two rows of a pair side by side; single rows pass unchanged."""
-    pair = Window.partitionBy(
-        "lane", "tier", "ref",
-        F.when(F.col("tier") <= 2, F.col("amount")),
-        F.when(F.col("tier") == 1, F.col("day")),
-        "pair_no",
-    ).orderBy("side")
-    in_pair = F.col("tier").isin(1, 2, 3)
-    partner = F.when(in_pair, F.lead(F.struct("id", "amount")).over(pair))
-    return (
-        rows.withColumn("_partner", partner)
-        .where(F.col("tier").isNull() | (F.col("tier") == _DUPLICATE) | (F.col("side") == GATEWAY))
-        .transform(_as_state)
+    pair = (
+        "PARTITION BY lane, tier, ref, CASE WHEN tier <= 2 THEN amount END, CASE WHEN tier = 1 THEN day END, pair_no "
+        "ORDER BY side"
     )
+    return rows.selectExpr(
+        "*",
+        f"CASE WHEN tier > {_DUPLICATE} THEN LEAD(id) OVER ({pair}) END AS _entry_id",
+        f"CASE WHEN tier > {_DUPLICATE} THEN LEAD(amount) OVER ({pair}) END AS _entry_amount",
+    ).where(f"tier IS NULL OR tier = {_DUPLICATE} OR side = 'G'").transform(_as_state)
 
 
 def _as_state(rows: DataFrame) -> DataFrame:
-    gateway = F.col("side") == GATEWAY
-    return rows.select(
-        F.when(gateway, F.col("id")).alias("txn_id"),
-        F.when(gateway, F.col("_partner.id")).otherwise(F.col("id")).alias("entry_id"),
+    return rows.selectExpr(
+        "CASE WHEN side = 'G' THEN id END AS txn_id",
+        "CASE WHEN side = 'G' THEN _entry_id ELSE id END AS entry_id",
         "ref",
-        F.when(gateway, F.col("amount")).alias("gateway_amount"),
-        F.when(gateway, F.col("_partner.amount")).otherwise(F.col("amount")).alias("ledger_amount"),
-        "fee",
-        F.col("day").alias("txn_date"),
-        "tier",
-        "side",
+        "CASE WHEN side = 'G' THEN amount END AS gateway_amount",
+        "CASE WHEN side = 'G' THEN _entry_amount ELSE amount END AS ledger_amount",
+        "fee", "day AS txn_date", "tier", "side",
     )
 
 
 def _settle_ordinary(rows: DataFrame) -> DataFrame:
-    placed = rows.repartition("lane")
-    seq = F.row_number().over(
-        Window.partitionBy("lane", "side", "ref", "amount_text").orderBy(F.col("id").asc_nulls_last())
-    )
-    state = _mark_duplicates(placed.withColumn("_seq", seq), F.col("_seq")).drop("_seq")
+    seq = "ROW_NUMBER() OVER (PARTITION BY lane, side, ref, amount_text ORDER BY id ASC NULLS LAST)"
+    state = _mark_duplicates(rows.repartition("lane"), seq)
     for tier, keys, order in _TIERS:
         state = _take_ordinary(state, tier, keys, order)
     return _join_pairs(state)
 
 
 def _settle_hot(rows: DataFrame) -> DataFrame:
-    gateway = rows.where(F.col("side") == GATEWAY).withColumn("_seq", F.lit(1))
-    ledger = ranked_sliced(
-        rows.where(F.col("side") == LEDGER), ["ref", "amount_text"], _in_order(["id"]), "_seq"
-    )
-    state = _mark_duplicates(gateway.unionByName(ledger), F.col("_seq")).drop("_seq")
+    gateway = rows.where("side = 'G'").selectExpr("*", "CAST(1 AS BIGINT) AS _seq")
+    ledger = ranked_sliced(rows.where("side = 'L'"), ["ref", "amount_text"], _in_order(["id"]), "_seq")
+    state = _mark_duplicates(gateway.unionByName(ledger), "_seq")
     for tier, keys, order in _TIERS:
         state = materialize(_take_hot(state, tier, keys, order), f"tier{tier}")
-    no_partner = F.lit(None).cast("struct<id:string,amount:decimal(14,2)>").alias("_partner")
-    alone = F.col("tier").isNull() | (F.col("tier") == _DUPLICATE)
     # open rows stay out of the pairing window: they would form one large group
-    return _join_pairs(state.where(~alone)).unionByName(
-        state.where(alone).select("*", no_partner).transform(_as_state)
+    alone = state.where(f"tier IS NULL OR tier = {_DUPLICATE}").selectExpr(
+        "*", "CAST(NULL AS STRING) AS _entry_id", "CAST(NULL AS DECIMAL(14,2)) AS _entry_amount"
     )
+    return _join_pairs(state.where(f"tier > {_DUPLICATE}")).unionByName(_as_state(alone))
 
 
 # --------------------------------------------------------------------- tier 4
@@ -245,71 +228,56 @@ def _settle_by_money(open_rows: DataFrame) -> DataFrame:
     Only rows with the same number meet; a look-alike at another number stays
     unmatched, which keeps the pairing one to one without comparing all pairs.
     """
-    gateway = F.col("side") == GATEWAY
-    amount = F.coalesce("gateway_amount", "ledger_amount")
-    rows = open_rows.select(
-        "side", F.coalesce("txn_id", "entry_id").alias("id"), "ref",
-        amount.alias("amount"), F.col("txn_date").alias("day"),
+    rows = open_rows.selectExpr(
+        "side", "COALESCE(txn_id, entry_id) AS id", "ref",
+        "COALESCE(gateway_amount, ledger_amount) AS amount", "txn_date AS day",
     )
-    comparable = F.col("amount").isNotNull() & F.col("day").isNotNull()
+    comparable = "amount IS NOT NULL AND day IS NOT NULL"
     numbered = ranked(rows.where(comparable), ["side", "amount", "day"], _in_order(["id"]), "_n")
     met = numbered.groupBy("amount", "day", "_n").agg(
-        F.max(F.when(gateway, F.struct("id", "ref"))).alias("g"),
-        F.max(F.when(~gateway, F.struct("id", "ref"))).alias("l"),
+        F.expr("MAX(CASE WHEN side = 'G' THEN STRUCT(id, ref) END) AS g"),
+        F.expr("MAX(CASE WHEN side = 'L' THEN STRUCT(id, ref) END) AS l"),
     )
-    g, l = F.col("g"), F.col("l")
-    nothing = F.lit(None).cast("string")
-    no_money = F.lit(None).cast("decimal(14,2)")
-
-    def row(txn: Column, entry: Column, ref: Column, left: Column, right: Column, label: str) -> Column:
-        return F.struct(
-            txn.alias("txn_id"), entry.alias("entry_id"), ref.alias("ref"),
-            left.alias("gateway_amount"), right.alias("ledger_amount"),
-            F.col("day").alias("txn_date"), F.lit(label).alias("match_type"),
-        )
 
-    money = F.col("amount")
-    paired = row(g["id"], l["id"], g["ref"], money, money, "possible_ref_issue")
-    lone_gateway = row(g["id"], nothing, g["ref"], money, no_money, "missing_in_ledger")
-    lone_ledger = row(nothing, l["id"], l["ref"], no_money, money, "missing_in_gateway")
-    outcome = (
-        F.when(g.isNull(), F.array(lone_ledger))
-        .when(l.isNull(), F.array(lone_gateway))
-        .when(text.refs_look_related(g["ref"], l["ref"]), F.array(paired))
-        .otherwise(F.array(lone_gateway, lone_ledger))
-    )
-    settled = met.select(F.inline(outcome))
+    def row(txn: str, entry: str, ref: str, left: str, right: str, label: str) -> str:
+        return (
+            f"NAMED_STRUCT('txn_id', {txn}, 'entry_id', {entry}, 'ref', {ref}, 'gateway_amount', {left}, "
+            f"'ledger_amount', {right}, 'txn_date', day, 'match_type', '{label}')"
+        )
 
-    incomparable = rows.where(~comparable).select(
-        F.when(gateway, F.col("id")).alias("txn_id"),
-        F.when(~gateway, F.col("id")).alias("entry_id"),
+    no_id, no_money = "CAST(NULL AS STRING)", "CAST(NULL AS DECIMAL(14,2))"
+    paired = row("g.id", "l.id", "g.ref", "amount", "amount", "possible_ref_issue")
+    lone_gateway = row("g.id", no_id, "g.ref", "amount", no_money, "missing_in_ledger")
+    lone_ledger = row(no_id, "l.id", "l.ref", no_money, "amount", "missing_in_gateway")
+    settled = met.selectExpr(f"""INLINE(CASE
+        WHEN g IS NULL THEN ARRAY({lone_ledger})
+        WHEN l IS NULL THEN ARRAY({lone_gateway})
+        WHEN {text.refs_look_related('g.ref', 'l.ref')} THEN ARRAY({paired})
+        ELSE ARRAY({lone_gateway}, {lone_ledger}) END)""")
+    incomparable = rows.where(f"NOT ({comparable})").selectExpr(
+        "CASE WHEN side = 'G' THEN id END AS txn_id",
+        "CASE WHEN side = 'L' THEN id END AS entry_id",
         "ref",
-        F.when(gateway, money).alias("gateway_amount"),
-        F.when(~gateway, money).alias("ledger_amount"),
-        F.col("day").alias("txn_date"),
-        F.when(gateway, "missing_in_ledger").otherwise("missing_in_gateway").alias("match_type"),
+        "CASE WHEN side = 'G' THEN amount END AS gateway_amount",
+        "CASE WHEN side = 'L' THEN amount END AS ledger_amount",
+        "day AS txn_date",
+        "CASE WHEN side = 'G' THEN 'missing_in_ledger' ELSE 'missing_in_gateway' END AS match_type",
     )
     return settled.unionByName(incomparable)
 
 
 # -------------------------------------------------------------------- results
 
-def _amount_verdict() -> Column:
-    gap = F.col("gateway_amount") - F.col("ledger_amount")
-    return (
-        F.when(F.abs(gap - F.col("fee")) < F.lit(FEE_TOLERANCE), "fee_timing")
-        .when(F.abs(gap) <= F.lit(ROUNDING_TOLERANCE), "rounding")
-        .otherwise("amount_other")
-    )
+_LABEL = f"""CASE
+    WHEN tier = {_DUPLICATE} THEN 'duplicate_posting'
+    WHEN tier = 1 THEN 'exact'
+    WHEN tier = 2 THEN 'date_boundary'
+    WHEN ABS(gateway_amount - ledger_amount - fee) < {FEE_TOLERANCE} THEN 'fee_timing'
+    WHEN ABS(gateway_amount - ledger_amount) <= {ROUNDING_TOLERANCE} THEN 'rounding'
+    ELSE 'amount_other'
+END"""
 
-
-def _label(tier: Column) -> Column:
-    return (
-        F.when(tier == _DUPLICATE, "duplicate_posting")
-        .when(tier == 1, "exact")
-        .when(tier == 2, "date_boundary")
-        .when(tier == 3, _amount_verdict())
-    )
+_CONFIDENCE = "CASE match_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in CONFIDENCE.items()) + " END"
 
 
 def reconcile(raw_gateway: DataFrame, raw_ledger: DataFrame) -> DataFrame:
@@ -320,22 +288,20 @@ def reconcile(raw_gateway: DataFrame, raw_ledger: DataFrame) -> DataFrame:
         state = state.unionByName(_settle_hot(hot))
     state = materialize(state, "recon-state")
 
-    columns = ["txn_id", "entry_id", "ref", "gateway_amount", "ledger_amount", "txn_date", "match_type"]
-    settled = state.where(F.col("tier").isNotNull()).withColumn("match_type", _label(F.col("tier"))).select(*columns)
-    results = settled.unionByName(_settle_by_money(state.where(F.col("tier").isNull())).select(*columns))
-
-    confidence = F.create_map(*[F.lit(x) for pair in CONFIDENCE.items() for x in pair])[F.col("match_type")]
-    return results.select(
+    columns = ["txn_id", "entry_id", "ref", "gateway_amount", "ledger_amount", "txn_date"]
+    settled = state.where("tier IS NOT NULL").selectExpr(*columns, f"{_LABEL} AS match_type")
+    results = settled.unionByName(_settle_by_money(state.where("tier IS NULL")))
+    return results.selectExpr(
         "txn_id", "entry_id", "ref", "gateway_amount", "ledger_amount",
-        (F.coalesce("gateway_amount", F.lit(0)) - F.coalesce("ledger_amount", F.lit(0))).alias("amount_diff"),
+        "COALESCE(gateway_amount, 0) - COALESCE(ledger_amount, 0) AS amount_diff",
         "txn_date", "match_type",
-        confidence.cast("decimal(3,2)").alias("match_confidence"),
+        f"CAST({_CONFIDENCE} AS DECIMAL(3,2)) AS match_confidence",
     )
 
 
 def follow_ups(results: DataFrame) -> DataFrame:
     """The rows a person has to look at."""
-    return results.where(F.col("match_type").isin(*FOLLOW_UP_TYPES))
+    return results.where(text.one_of("match_type", FOLLOW_UP_TYPES))
 
 
 def invariant_violations(results: DataFrame) -> DataFrame:
@@ -347,27 +313,27 @@ def invariant_violations(results: DataFrame) -> DataFrame:
     """
     def repeated(id_column: str) -> DataFrame:
         return (
-            results.where(F.col(id_column).isNotNull()).groupBy(id_column).count()
-            .where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("violations"))
+            results.where(f"{id_column} IS NOT NULL").groupBy(id_column).count().where("count > 1")
+            .agg(F.expr("COUNT(*) AS violations"))
         )
 
-    twice = repeated("txn_id").unionByName(repeated("entry_id")).agg(F.sum("violations").alias("violations"))
+    twice = repeated("txn_id").unionByName(repeated("entry_id")).agg(F.expr("SUM(violations) AS violations"))
     left = (
-        results.where(F.col("ref").isNotNull() & F.col("match_type").isin("missing_in_ledger", "missing_in_gateway"))
+        results.where("ref IS NOT NULL AND match_type IN ('missing_in_ledger', 'missing_in_gateway')")
         .groupBy("ref").agg(
-            F.count_if(F.col("match_type") == "missing_in_ledger").alias("g"),
-            F.count_if(F.col("match_type") == "missing_in_gateway").alias("l"),
+            F.expr("COUNT_IF(match_type = 'missing_in_ledger') AS g"),
+            F.expr("COUNT_IF(match_type = 'missing_in_gateway') AS l"),
         )
-        .agg(F.coalesce(F.sum(F.col("g").cast("decimal(19,0)") * F.col("l")), F.lit(0)).alias("violations"))
+        .agg(F.expr("COALESCE(SUM(CAST(g AS DECIMAL(19,0)) * l), 0) AS violations"))
     )
-    return twice.select(F.lit("assigned_twice").alias("rule"), F.col("violations").cast("bigint").alias("violations")).unionByName(
-        left.select(F.lit("matchable_left").alias("rule"), F.col("violations").cast("bigint").alias("violations"))
+    return twice.selectExpr("'assigned_twice' AS rule", "violations").unionByName(
+        left.selectExpr("'matchable_left' AS rule", "CAST(violations AS BIGINT) AS violations")
     )
 
 
 def check_invariants(results: DataFrame) -> DataFrame:
     """Raise when a guarantee is broken, else hand the results back."""
-    broken = invariant_violations(results).where(F.col("violations") > 0).collect()  # two rows at most
+    broken = invariant_violations(results).where("violations > 0").collect()  # two rows at most
     if broken:
         raise ReconciliationError("; ".join(f"{r.rule}: {r.violations}" for r in broken))
     return results
@@ -383,58 +349,57 @@ _SUMMARY_BUCKETS = (
 
 def gateway_daily(gateway: DataFrame) -> DataFrame:
     return gateway.groupBy("txn_date").agg(
-        F.count(F.lit(1)).alias("gateway_count"), F.sum("amount").alias("gateway_amount")
+        F.expr("COUNT(*) AS gateway_count"), F.expr("SUM(amount) AS gateway_amount")
     )
 
 
 def ledger_daily(ledger: DataFrame) -> DataFrame:
-    return ledger.groupBy(F.col("entry_date").alias("txn_date")).agg(
-        F.count(F.lit(1)).alias("ledger_count"), F.sum("amount").alias("ledger_amount")
+    return ledger.withColumnRenamed("entry_date", "txn_date").groupBy("txn_date").agg(
+        F.expr("COUNT(*) AS ledger_count"), F.expr("SUM(amount) AS ledger_amount")
     )
 
 
 def bucket_counts(results: DataFrame) -> DataFrame:
-    kind = F.col("match_type")
     return results.groupBy("txn_date").agg(
-        F.count_if(kind.isin("exact", "date_boundary")).alias("matched"),
-        *[F.count_if(kind == name).alias(name) for name in _SUMMARY_BUCKETS],
+        F.expr("COUNT_IF(match_type IN ('exact', 'date_boundary')) AS matched"),
+        *[F.expr(f"COUNT_IF(match_type = '{name}') AS {name}") for name in _SUMMARY_BUCKETS],
     )
 
 
 def daily_summary(gateway: DataFrame, ledger: DataFrame, results: DataFrame) -> DataFrame:
     """One row per gateway day; days only the ledger knows do not appear."""
-    explained = F.col("matched") + F.col("fee_timing") + F.col("rounding") + F.col("possible_ref_issue")
     joined = (
         gateway_daily(gateway)
         .join(ledger_daily(ledger), "txn_date", "left")
         .join(bucket_counts(results), "txn_date", "left")
     )
-    ledger_amount = F.coalesce("ledger_amount", F.lit(0))
-    return joined.select(
+    explained = "matched + fee_timing + rounding + possible_ref_issue"
+    return joined.selectExpr(
         "txn_date", "gateway_count", "gateway_amount",
-        F.coalesce("ledger_count", F.lit(0)).alias("ledger_count"),
-        ledger_amount.alias("ledger_amount"),
+        "COALESCE(ledger_count, 0) AS ledger_count",
+        "COALESCE(ledger_amount, 0) AS ledger_amount",
         "matched", *_SUMMARY_BUCKETS,
-        ratio(explained, F.col("gateway_count"), times=100).alias("match_rate_pct"),
-        (F.col("gateway_amount") - ledger_amount).alias("net_difference"),
+        f"{ratio(explained, 'gateway_count', times=100)} AS match_rate_pct",
+        "gateway_amount - COALESCE(ledger_amount, 0) AS net_difference",
     )
 
 
 def alerts(summary: DataFrame) -> DataFrame:
     """(txn_date, severity, rule, detail) for every threshold a day crosses."""
-    def alert(condition: Column, severity: str, rule: str, detail: Column) -> Column:
-        return F.when(condition, F.struct(
-            F.lit(severity).alias("severity"), F.lit(rule).alias("rule"), detail.alias("detail")
-        ))
-
-    net = F.col("net_difference").cast("decimal(38,2)")
-    raised = F.array(
-        alert(F.col("match_rate_pct") < F.lit(MATCH_RATE_FLOOR), "CRITICAL", "match_rate",
-              F.concat(F.lit("match rate "), F.col("match_rate_pct").cast("string"), F.lit("% below threshold"))),
-        alert(F.abs(net) > F.lit(NET_DIFFERENCE_CEILING), "CRITICAL", "net_difference",
-              F.concat(F.lit("net difference "), net.cast("string"), F.lit(" THB exceeds threshold"))),
-        alert(F.col("duplicate_posting") > 0, "WARNING", "duplicate_posting",
-              F.concat(F.col("duplicate_posting").cast("string"), F.lit(" duplicate ledger postings"))),
-    )
+    def alert(condition: str, severity: str, rule: str, detail: str) -> str:
+        return (
+            f"CASE WHEN {condition} THEN "
+            f"NAMED_STRUCT('severity', '{severity}', 'rule', '{rule}', 'detail', {detail}) END"
+        )
+
+    net = "CAST(net_difference AS DECIMAL(38,2))"
+    raised = ", ".join([
+        alert(f"match_rate_pct < {MATCH_RATE_FLOOR}", "CRITICAL", "match_rate",
+              "CONCAT('match rate ', match_rate_pct, '% below threshold')"),
+        alert(f"ABS({net}) > {NET_DIFFERENCE_CEILING}", "CRITICAL", "net_difference",
+              f"CONCAT('net difference ', {net}, ' THB exceeds threshold')"),
+        alert("duplicate_posting > 0", "WARNING", "duplicate_posting",
+              "CONCAT(duplicate_posting, ' duplicate ledger postings')"),
+    ])
     # one pass over the summary instead of a union of three filtered scans
-    return summary.select("txn_date", F.inline(F.filter(raised, lambda a: a.isNotNull())))
+    return summary.selectExpr("txn_date", f"INLINE(ARRAY_COMPACT(ARRAY({raised})))")

@@ -2,131 +2,114 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from harborline.functions.ratios import ratio
-from harborline.operators.sales import is_net
+from harborline.operators.sales import IS_NET
 
-# A rollup by day has as many rows as the calendar has days (times channels),
-# whatever the size of the fact; a window without a key is fine on it.
+
+def _agg(df: DataFrame, keys: list[str], *expressions: str) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(e) for e in expressions])
 
 
 def weekday_compare(sales: DataFrame) -> DataFrame:
-    """Latest day against the same weekday a week earlier, per channel."""
-    daily = sales.groupBy("channel", "business_date").agg(F.sum("net_amount").alias("net_amount"))
-    latest = F.max("business_date").over(Window.partitionBy(F.lit(1)))
-    aged = daily.select("channel", "net_amount", F.datediff(latest, "business_date").alias("age"))
-    sums = aged.groupBy("channel").agg(
-        F.sum(F.when(F.col("age") == 0, F.col("net_amount"))).alias("yesterday"),
-        F.sum(F.when(F.col("age") == 7, F.col("net_amount"))).alias("same_day_last_week"),
+    """Latest day against the same weekday a week earlier, per channel.
+
+    The rollup by day has as many rows as the calendar has days (times
+    channels), whatever the size of the fact, so a window without a key is fine.
+    """
+    daily = _agg(sales, ["channel", "business_date"], "SUM(net_amount) AS net_amount")
+    aged = daily.selectExpr(
+        "channel", "net_amount", "DATEDIFF(MAX(business_date) OVER (PARTITION BY 1), business_date) AS age"
     )
-    change = F.col("yesterday") - F.col("same_day_last_week")
-    return sums.select(
-        "channel", "yesterday", "same_day_last_week",
-        ratio(change, F.col("same_day_last_week"), digits=1, times=100).alias("pct_change"),
+    sums = _agg(
+        aged, ["channel"],
+        "SUM(CASE WHEN age = 0 THEN net_amount END) AS yesterday",
+        "SUM(CASE WHEN age = 7 THEN net_amount END) AS same_day_last_week",
     )
+    change = ratio("yesterday - same_day_last_week", "same_day_last_week", digits=1, times=100)
+    return sums.selectExpr("channel", "yesterday", "same_day_last_week", f"{change} AS pct_change")
 
 
 def top_categories(sales: DataFrame, n: int = 10) -> DataFrame:
     """Top categories by net revenue with the refunded share of gross."""
-    sums = sales.groupBy("category").agg(
-        F.sum("net_amount").alias("net_revenue"),
-        F.sum("refund_amount").alias("refunded"),
-        F.sum("gross_amount").alias("gross"),
+    sums = _agg(
+        sales, ["category"],
+        "SUM(net_amount) AS net_revenue", "SUM(refund_amount) AS refunded", "SUM(gross_amount) AS gross",
     )
-    return (
-        sums.orderBy(F.col("net_revenue").desc_nulls_last(), F.col("category").asc_nulls_last()).limit(n)
-        .select(
-            "category", "net_revenue", "refunded",
-            ratio(F.col("refunded"), F.col("gross"), times=100).alias("refund_pct_of_gross"),
-        )
+    return best_first(sums, "net_revenue", "category").limit(n).selectExpr(
+        "category", "net_revenue", "refunded",
+        f"{ratio('refunded', 'gross', times=100)} AS refund_pct_of_gross",
     )
 
 
 def regional_revenue(enriched: DataFrame) -> DataFrame:
     """Net orders and revenue per region; orphans show as ``unknown``."""
-    return (
-        enriched.where(is_net())
-        .groupBy(F.coalesce("region", F.lit("unknown")).alias("region"))
-        .agg(
-            F.count_distinct("order_id").alias("orders"),
-            F.sum("total_amount").alias("revenue"),
-        )
-    )
+    net = enriched.where(IS_NET).selectExpr("COALESCE(region, 'unknown') AS region", "order_id", "total_amount")
+    return _agg(net, ["region"], "COUNT(DISTINCT order_id) AS orders", "SUM(total_amount) AS revenue")
 
 
 def quarantine_health(rejected: DataFrame) -> DataFrame:
     """Rejects per reason with one example file."""
-    return rejected.groupBy("reject_reason").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("_source_file").alias("example_file")
-    )
+    return _agg(rejected, ["reject_reason"], "COUNT(*) AS rows", "MIN(_source_file) AS example_file")
 
 
 def headline(sales: DataFrame, orders: DataFrame) -> DataFrame:
     """One row: period, money, order counts, refund rate."""
-    money = sales.agg(
-        F.min("business_date").alias("first_date"), F.max("business_date").alias("last_date"),
-        F.sum("net_amount").alias("net_revenue"), F.sum("gross_amount").alias("gross_revenue"),
-        F.sum("refund_amount").alias("refunded_revenue"),
+    money = _agg(
+        sales, [],
+        "MIN(business_date) AS first_date", "MAX(business_date) AS last_date",
+        "SUM(net_amount) AS net_revenue", "SUM(gross_amount) AS gross_revenue",
+        "SUM(refund_amount) AS refunded_revenue", "1 AS _one",
     )
-    counts = orders.agg(
-        F.sum("net_orders").alias("net_orders"), F.sum("refunded_orders").alias("refunded_orders")
-    )
-    # two global aggregates, one row each
-    both = money.withColumn("_k", F.lit(1)).join(counts.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    return both.select(
-        "*",
-        ratio(F.col("refunded_orders"), F.col("net_orders") + F.col("refunded_orders"), times=100)
-        .alias("refund_rate_pct"),
+    counts = _agg(
+        orders, [],
+        "SUM(net_orders) AS net_orders", "SUM(refunded_orders) AS refunded_orders", "1 AS _one",
     )
+    rate = ratio("refunded_orders", "net_orders + refunded_orders", times=100)
+    # two global aggregates of one row each
+    return money.join(counts, "_one").drop("_one").selectExpr("*", f"{rate} AS refund_rate_pct")
 
 
 def daily_trend(sales: DataFrame, orders: DataFrame) -> DataFrame:
     """Net orders, net and refunded money per date; dates both facts know."""
-    money = sales.groupBy("business_date").agg(
-        F.sum("net_amount").alias("net_amount"), F.sum("refund_amount").alias("refund_amount")
-    )
-    counts = orders.groupBy("business_date").agg(F.sum("net_orders").alias("net_orders"))
-    return money.join(counts, "business_date").select(
-        "business_date", "net_orders", "net_amount", "refund_amount"
+    money = _agg(
+        sales, ["business_date"], "SUM(net_amount) AS net_amount", "SUM(refund_amount) AS refund_amount"
     )
+    counts = _agg(orders, ["business_date"], "SUM(net_orders) AS net_orders")
+    return money.join(counts, "business_date").select("business_date", "net_orders", "net_amount", "refund_amount")
 
 
 def by_category(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("category").agg(F.sum("net_amount").alias("net_amount"))
+    return _agg(sales, ["category"], "SUM(net_amount) AS net_amount")
 
 
 def by_channel(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("channel").agg(
-        F.sum("net_orders").alias("net_orders"), F.sum("net_amount").alias("net_amount")
-    )
+    return _agg(orders, ["channel"], "SUM(net_orders) AS net_orders", "SUM(net_amount) AS net_amount")
 
 
 def reject_counts(rejected: DataFrame) -> DataFrame:
-    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+    return _agg(rejected, ["reject_reason"], "COUNT(*) AS rows")
+
+
+_ROAS = ratio("attributed_revenue_thb", "spend_thb")
 
 
 def channel_scoreboard(channels: DataFrame) -> DataFrame:
     """Per platform over all days."""
-    sums = channels.groupBy("platform").agg(
-        F.sum("spend_thb").alias("spend_thb"),
-        F.sum("attributed_orders").alias("attributed_orders"),
-        F.sum("attributed_revenue_thb").alias("attributed_revenue_thb"),
-    )
-    return sums.select(
-        "*", ratio(F.col("attributed_revenue_thb"), F.col("spend_thb")).alias("roas")
-    )
+    return _agg(
+        channels, ["platform"],
+        "SUM(spend_thb) AS spend_thb", "SUM(attributed_orders) AS attributed_orders",
+        "SUM(attributed_revenue_thb) AS attributed_revenue_thb",
+    ).selectExpr("*", f"{_ROAS} AS roas")
 
 
 def blended_roas(channels: DataFrame) -> DataFrame:
     """Paid channels together; organic and unknown platforms stay out."""
-    sums = channels.where(F.col("platform") != "organic").agg(
-        F.sum("spend_thb").alias("spend_thb"),
-        F.sum("attributed_revenue_thb").alias("attributed_revenue_thb"),
-    )
-    return sums.select(
-        "*", ratio(F.col("attributed_revenue_thb"), F.col("spend_thb")).alias("blended_roas")
-    )
+    return _agg(
+        channels.where("platform != 'organic'"), [],
+        "SUM(spend_thb) AS spend_thb", "SUM(attributed_revenue_thb) AS attributed_revenue_thb",
+    ).selectExpr("*", f"{_ROAS} AS blended_roas")
 
 
 def campaign_scoreboard(campaigns: DataFrame) -> DataFrame:
@@ -136,11 +119,11 @@ def campaign_scoreboard(campaigns: DataFrame) -> DataFrame:
 
 
 def missing_conversion_rows(ads: DataFrame) -> DataFrame:
-    return ads.agg(F.count_if("conversions_missing").alias("rows"))
+    return _agg(ads, [], "COUNT_IF(conversions_missing) AS rows")
 
 
 def follow_up_count(follow_ups: DataFrame) -> DataFrame:
-    return follow_ups.agg(F.count(F.lit(1)).alias("rows"))
+    return _agg(follow_ups, [], "COUNT(*) AS rows")
 
 
 # Presentation order.  A sort is the last step before showing or writing.

@@ -2,35 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from harborline.functions.ratios import ratio
+from harborline.functions.text import one_of
 from harborline.operators.cleaning import typed_items, with_business_date
 from harborline.operators.skew import hot_keys, join_hot, only_keys
 from harborline.schemas import GROSS_STATUSES, NET_STATUSES, UNKNOWN_CUSTOMER
 
+IS_NET = one_of("status", NET_STATUSES)
+IS_GROSS = one_of("status", GROSS_STATUSES)
+IS_REFUND = "status = 'refunded'"
 
-def is_net() -> Column:
-    return F.col("status").isin(*NET_STATUSES)
 
-
-def is_gross() -> Column:
-    return F.col("status").isin(*GROSS_STATUSES)
-
-
-def is_refund() -> Column:
-    return F.col("status") == "refunded"
-
-
-def sum_where(condition: Column, value: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0))
+def sum_where(condition: str, value: str, out: str):
+    return F.expr(f"COALESCE(SUM(CASE WHEN {condition} THEN {value} END), 0) AS {out}")
 
 
 def line_totals(items: DataFrame) -> DataFrame:
     """Lines and money per order; partial sums shrink a hot order before the shuffle."""
     return items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.col("qty") * F.col("unit_price")).alias("items_amount"),
+        F.expr("COUNT(*) AS n_lines"), F.expr("SUM(qty * unit_price) AS items_amount")
     )
 
 
@@ -40,28 +32,24 @@ def enriched_orders(orders: DataFrame, customers: DataFrame, items: DataFrame) -
     Orphan customers become ``unknown`` and are never dropped.  No broadcast is
     forced: the customer table grows, so the runtime size decides.
     """
-    known = customers.select(F.col("customer_id").alias("known_id"), "region")
+    known = customers.selectExpr("customer_id AS known_id", "region")
     # Line totals first: both sides are already spread by order_id.
     joined = with_business_date(orders).join(line_totals(items), "order_id", "left")
-    joined = joined.join(known, F.col("customer_id") == F.col("known_id"), "left")
-    return joined.select(
+    return joined.join(known, F.expr("customer_id = known_id"), "left").selectExpr(
         "order_id", "order_ts", "updated_at", "status", "total_amount", "channel", "business_date",
-        F.coalesce("known_id", F.lit(UNKNOWN_CUSTOMER)).alias("customer_id"),
-        F.col("customer_id").alias("source_customer_id"),
+        f"COALESCE(known_id, '{UNKNOWN_CUSTOMER}') AS customer_id",
+        "customer_id AS source_customer_id",
         "region",
-        F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
-        F.coalesce("items_amount", F.lit(0)).alias("items_amount"),
+        "COALESCE(n_lines, 0) AS n_lines",
+        "COALESCE(items_amount, 0) AS items_amount",
     )
 
 
 def customer_dimension(customers: DataFrame) -> DataFrame:
     """Customers plus one member that orphan orders can point to."""
-    unknown = customers.sparkSession.range(1).select(
-        F.lit(UNKNOWN_CUSTOMER).alias("customer_id"),
-        F.lit(None).cast("string").alias("email"),
-        F.lit(False).alias("email_is_valid"),
-        F.lit(None).cast("date").alias("signup_date"),
-        F.lit(None).cast("string").alias("region"),
+    unknown = customers.sparkSession.range(1).selectExpr(
+        f"'{UNKNOWN_CUSTOMER}' AS customer_id", "CAST(NULL AS STRING) AS email", "FALSE AS email_is_valid",
+        "CAST(NULL AS DATE) AS signup_date", "CAST(NULL AS STRING) AS region",
     )
     return customers.select(*unknown.columns).unionByName(unknown)
 
@@ -77,9 +65,9 @@ def daily_orders(orders: DataFrame) -> DataFrame:
     narrower frame gives the same fact without its joins.
     """
     return orders.groupBy("business_date", "channel").agg(
-        F.count_if(is_net()).alias("net_orders"),
-        F.count_if(is_refund()).alias("refunded_orders"),
-        sum_where(is_net(), F.col("total_amount")).alias("net_amount"),
+        F.expr(f"COUNT_IF({IS_NET}) AS net_orders"),
+        F.expr(f"COUNT_IF({IS_REFUND}) AS refunded_orders"),
+        sum_where(IS_NET, "total_amount", "net_amount"),
     )
 
 
@@ -98,9 +86,8 @@ def order_lines(orders: DataFrame, raw_items: DataFrame, products: DataFrame) ->
     if hot is not None:
         hot_lines = typed_items(only_keys(raw_items, hot, ["order_id"])).distinct()
         lines = lines.unionByName(join_hot(hot_lines, header, hot, "order_id"))
-    return lines.join(products.select("product_id", "category"), "product_id").select(
-        "order_id", "business_date", "channel", "status", "category",
-        (F.col("qty") * F.col("unit_price")).alias("line_amount"),
+    return lines.join(products.select("product_id", "category"), "product_id").selectExpr(
+        "order_id", "business_date", "channel", "status", "category", "qty * unit_price AS line_amount"
     )
 
 
@@ -110,11 +97,10 @@ def daily_sales(lines: DataFrame) -> DataFrame:
     Status is the order's current status, so a late refund moves money on the
     order's original business date.  Money only: counts are not additive here.
     """
-    amount = F.col("line_amount")
     return lines.groupBy("business_date", "channel", "category").agg(
-        sum_where(is_gross(), amount).alias("gross_amount"),
-        sum_where(is_refund(), amount).alias("refund_amount"),
-        sum_where(is_net(), amount).alias("net_amount"),
+        sum_where(IS_GROSS, "line_amount", "gross_amount"),
+        sum_where(IS_REFUND, "line_amount", "refund_amount"),
+        sum_where(IS_NET, "line_amount", "net_amount"),
     )
 
 
@@ -124,18 +110,16 @@ def refund_analysis(lines: DataFrame) -> DataFrame:
     Collapsing to (category, order) first turns two distinct counts into plain
     ones; a status belongs to the order, so it is constant within the group.
     """
-    per_order = (
-        lines.where(is_gross())
-        .groupBy("category", "order_id", "status")
-        .agg(F.sum("line_amount").alias("amount"))
+    per_order = lines.where(IS_GROSS).groupBy("category", "order_id", "status").agg(
+        F.expr("SUM(line_amount) AS amount")
     )
     facts = per_order.groupBy("category").agg(
-        F.count(F.lit(1)).alias("paid_orders"),
-        F.count_if(is_refund()).alias("refunded_orders"),
-        sum_where(is_refund(), F.col("amount")).alias("refunded_amount"),
+        F.expr("COUNT(*) AS paid_orders"),
+        F.expr(f"COUNT_IF({IS_REFUND}) AS refunded_orders"),
+        sum_where(IS_REFUND, "amount", "refunded_amount"),
     )
-    return facts.select(
+    return facts.selectExpr(
         "category", "paid_orders", "refunded_orders",
-        ratio(F.col("refunded_orders"), F.col("paid_orders"), times=100).alias("refund_rate_pct"),
+        f"{ratio('refunded_orders', 'paid_orders', times=100)} AS refund_rate_pct",
         "refunded_amount",
     )

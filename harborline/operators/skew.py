@@ -1,9 +1,9 @@
-"""Exact windows for groups of any size.
+"""Exact windows and joins for groups of any size.
 
 A window puts one whole group into one task.  That is right for ordinary keys
 and fatal for a key that holds a third of the table.  The helpers here route the
 few hot groups through a range-partitioned path and leave everything else on the
-plain window; both paths give the same row numbers.
+plain operator; both paths give the same rows.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from harborline.session import materialize
 
@@ -33,20 +33,20 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     limit = int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
     fraction = float(spark.conf.get(HOT_SAMPLE_CONF, str(DEFAULT_SAMPLE)))
     probe = df.select(*keys)
-    if fraction < 1.0:
-        probe = probe.sample(False, fraction, seed=17)
+    counted = probe.sample(False, fraction, seed=17) if fraction < 1.0 else probe
     rows = (
-        probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= max(1, math.ceil(limit * fraction)))
-        .orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS)
+        counted.groupBy(*keys).agg(F.expr("COUNT(*) AS _n"))
+        .where(f"_n >= {max(1, math.ceil(limit * fraction))}")
+        .orderBy("_n", ascending=False).limit(MAX_HOT_KEYS)
         .select(*keys).collect()
     )
     return spark.createDataFrame(rows, probe.schema) if rows else None
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
+    """NULL-safe equality on all keys; a window treats NULL as a group as well."""
+    condition = left[keys[0]].eqNullSafe(right[keys[0]])
+    for key in keys[1:]:
         condition = condition & left[key].eqNullSafe(right[key])
     return condition
 
@@ -82,18 +82,27 @@ def join_hot(hot_rows: DataFrame, one: DataFrame, hot: DataFrame, key: str) -> D
     return hot_rows.join(F.broadcast(only_keys(one, hot, [key])), key)
 
 
-def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
-    """``row_number() over (partition by keys order by order)`` at any group size."""
+def _row_number(keys: Sequence[str], order: Sequence[str]) -> str:
+    return f"CAST(ROW_NUMBER() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)}) AS BIGINT)"
+
+
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """``row_number() over (partition by keys order by order)`` at any group size.
+
+    ``order`` holds sort expressions such as ``"day ASC NULLS LAST"``.
+    """
     cold, hot = split_hot(df, keys)
-    result = ranked_window(cold, keys, order, out)
+    result = cold.selectExpr("*", f"{_row_number(keys, order)} AS {out}")
     return result if hot is None else result.unionByName(ranked_sliced(hot, keys, order, out))
 
 
-def ranked_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+def _sort_column(text: str) -> Column:
+    """``"day ASC NULLS LAST"`` as a Column, for the range partitioning."""
+    name, direction = text.split(" ", 1)
+    return {"ASC NULLS LAST": F.col(name).asc_nulls_last, "DESC NULLS LAST": F.col(name).desc_nulls_last}[direction]()
 
 
-def ranked_sliced(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+def ranked_sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
     """The same row numbers, with every group spread over many tasks.
 
     Range partitioning on keys and order cuts a large group into consecutive
@@ -101,25 +110,23 @@ def ranked_sliced(df: DataFrame, keys: Sequence[str], order: Sequence[Column], o
     group's earlier slices.  The written copy pins each row to its slice.
     """
     sliced = materialize(
-        df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], *order)
-        .withColumn("_slice", F.spark_partition_id()),
+        df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], *[_sort_column(o) for o in order])
+        .selectExpr("*", "SPARK_PARTITION_ID() AS _slice"),
         "slices",
     )
-    local = sliced.withColumn(
-        "_place", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order))
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    local = sliced.selectExpr("*", f"{_row_number([*keys, '_slice'], order)} AS _place")
     offsets = (
-        sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.sum("_n").over(earlier))
-        .where(F.col("_offset") > 0)
-        .drop("_n")
+        sliced.groupBy(*keys, "_slice").agg(F.expr("COUNT(*) AS _n"))
+        .selectExpr(
+            *keys, "_slice",
+            f"SUM(_n) OVER (PARTITION BY {', '.join(keys)} ORDER BY _slice "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _offset",
+        )
+        .where("_offset > 0")
     )
     # Only a group cut by a slice border has an offset, and each border cuts at
     # most one group: there are fewer offsets than slices.
-    joined = local.join(
-        F.broadcast(offsets), _same(local, offsets, [*keys, "_slice"]), "left"
-    ).select(*[local[c] for c in local.columns], offsets["_offset"])
-    return joined.withColumn(
-        out, (F.col("_place") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int")
-    ).drop("_slice", "_place", "_offset")
+    joined = local.join(F.broadcast(offsets), _same(local, offsets, [*keys, "_slice"]), "left")
+    return joined.select(*[local[c] for c in df.columns], local["_place"], offsets["_offset"]).selectExpr(
+        *df.columns, f"_place + COALESCE(_offset, 0) AS {out}"
+    )

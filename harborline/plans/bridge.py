@@ -9,271 +9,217 @@ like rows that came from files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from harborline.functions.text import quote
 from harborline.operators.cleaning import money_orders
+from harborline.schemas import AD_PLATFORMS
 from harborline.sources import seeds
 
-_TEXT = "yyyy-MM-dd HH:mm:ss"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _plus(ts: Column, seconds: Column) -> Column:
-    return F.timestamp_seconds(F.unix_seconds(ts) + seconds)
+def _plus(ts: str, seconds: str) -> str:
+    return f"TIMESTAMP_SECONDS(UNIX_SECONDS({ts}) + {seconds})"
 
 
-def _with_offset(ts: Column, east: Column) -> Column:
+def _with_offset(ts: str, east: str) -> str:
     """Instant as text, in +07:00 where ``east`` holds, else in +00:00."""
-    return F.when(
-        east, F.concat(F.date_format(_plus(ts, F.lit(7 * 3600)), _TEXT), F.lit("+07:00"))
-    ).otherwise(F.concat(F.date_format(ts, _TEXT), F.lit("+00:00")))
+    pattern = "'yyyy-MM-dd HH:mm:ss'"
+    return (
+        f"CASE WHEN {east} THEN DATE_FORMAT({ts} + INTERVAL '7' HOUR, {pattern}) || '+07:00' "
+        f"ELSE DATE_FORMAT({ts}, {pattern}) || '+00:00' END"
+    )
 
 
-def _money_text(value: Column) -> Column:
-    return value.cast("decimal(14,2)").cast("string")
+def _money_text(value: str) -> str:
+    return f"CAST(CAST({value} AS DECIMAL(14,2)) AS STRING)"
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    even = k % 2 == 0
-    priority = F.col("o_orderpriority")
-    source = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
-        _plus(F.col("o_orderdate").cast("timestamp"), k * 7919 % 86400).alias("ts"),
-    )
-    status = (
-        F.when(F.col("o_orderstatus") == "F", " Delivered ")
-        .when(F.col("o_orderstatus") == "O", "shipped")
-        .when(priority == "1-URGENT", "pending")
-        .when(priority == "2-HIGH", "cancelled")
-        .otherwise("paid")
+    source = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k", "o_custkey AS cust",
+        f"{_plus('CAST(o_orderdate AS TIMESTAMP)', 'o_orderkey * 7919 % 86400')} AS ts",
+        """CASE WHEN o_orderstatus = 'F' THEN ' Delivered '
+                WHEN o_orderstatus = 'O' THEN 'shipped'
+                WHEN o_orderpriority = '1-URGENT' THEN 'pending'
+                WHEN o_orderpriority = '2-HIGH' THEN 'cancelled'
+                ELSE 'paid' END AS state""",
+        f"""CASE WHEN o_orderkey % 200 = 3 THEN NULL
+                 WHEN o_orderkey % 200 = 5 THEN '-' || {_money_text('o_totalprice')}
+                 WHEN o_orderkey % 200 = 9 THEN 'N/A'
+                 ELSE {_money_text('o_totalprice')} END AS total_amount""",
     )
-    amount = (
-        F.when(k % 200 == 3, F.lit(None).cast("string"))
-        .when(k % 200 == 5, F.concat(F.lit("-"), _money_text(F.col("o_totalprice"))))
-        .when(k % 200 == 9, "N/A")
-        .otherwise(_money_text(F.col("o_totalprice")))
-    )
-    ts = F.col("ts")
-    updated = _plus(ts, k * 31 % 7200)
-    refunded = _plus(ts, (1 + k % 7) * 86400 + 7200)
-
-    def version(when: Column, event: Column, changed: Column, east: Column, state: Column) -> Column:
-        return F.when(when, F.struct(
-            event.alias("event"), _with_offset(ts, east).alias("order_ts"),
-            _with_offset(changed, east).alias("updated_at"), state.alias("status"),
-        ))
-
     # the versions of an order come out of one scan, not out of a union of three
-    versions = F.array_compact(F.array(
-        version(F.lit(True), ts, updated, even, status),
-        version(k % 50 == 13, ts, updated, ~even, status),
-        version(k % 33 == 4, refunded, refunded, even, F.lit("refunded")),
-    ))
-    exploded = source.select("o_orderkey", "o_custkey", amount.alias("total_amount"), F.inline(versions))
-    file_date = F.date_add(F.to_date("event"), F.when(k % 100 == 11, 1).otherwise(0))
-    return exploded.select(
-        F.concat(F.lit("O-"), k).alias("order_id"),
-        F.concat(F.when(k % 100 == 7, "CX").otherwise("C"), F.col("o_custkey")).alias("customer_id"),
-        "order_ts", "updated_at", "status", "total_amount",
-        F.when(k % 3 == 0, "web").when(k % 3 == 1, "Shopee ").otherwise("lazada").alias("channel"),
-        F.concat(F.lit("orders_"), file_date.cast("string"), F.lit(".csv")).alias("_source_file"),
-        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("_ingested_at"),
+    versions = source.selectExpr("*", f"""INLINE(ARRAY_COMPACT(ARRAY(
+        NAMED_STRUCT('event', ts, 'changed', {_plus('ts', 'k * 31 % 7200')}, 'status', state, 'east', k % 2 = 0),
+        CASE WHEN k % 50 = 13 THEN NAMED_STRUCT(
+            'event', ts, 'changed', {_plus('ts', 'k * 31 % 7200')}, 'status', state, 'east', k % 2 = 1) END,
+        CASE WHEN k % 33 = 4 THEN NAMED_STRUCT(
+            'event', {_plus('ts', '(1 + k % 7) * 86400 + 7200')},
+            'changed', {_plus('ts', '(1 + k % 7) * 86400 + 7200')}, 'status', 'refunded', 'east', k % 2 = 0) END
+    )))""")
+    return versions.selectExpr(
+        "'O-' || k AS order_id",
+        "IF(k % 100 = 7, 'CX', 'C') || cust AS customer_id",
+        f"{_with_offset('ts', 'east')} AS order_ts",
+        f"{_with_offset('changed', 'east')} AS updated_at",
+        "status", "total_amount",
+        "CASE k % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'Shopee ' ELSE 'lazada' END AS channel",
+        "'orders_' || DATE_ADD(TO_DATE(event), IF(k % 100 = 11, 1, 0)) || '.csv' AS _source_file",
+        "TIMESTAMP '2024-01-01 00:00:00' AS _ingested_at",
     )
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("O-"), "l_orderkey").alias("order_id"),
-        F.concat(F.lit("P"), "l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").cast("string").alias("qty"),
-        F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("unit_price"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "'O-' || l_orderkey AS order_id",
+        "'P' || l_partkey AS product_id",
+        "CAST(CAST(l_quantity AS INT) AS STRING) AS qty",
+        "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) AS unit_price",
     )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.concat(F.lit("P"), "p_partkey").alias("product_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        _money_text(F.col("p_retailprice")).alias("cost"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "'P' || p_partkey AS product_id", "p_name AS name", "p_type AS category",
+        f"{_money_text('p_retailprice')} AS cost",
     )
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    user = F.concat(F.lit("customer"), k)
-    broken = (
-        F.when(k % 4 == 0, F.concat(user, F.lit("@@gmail..com")))
-        .when(k % 4 == 1, F.concat(user, F.lit(".gmail.com")))
-        .when(k % 4 == 2, F.concat(user, F.lit("@")))
-        .otherwise(F.concat(user, F.lit(" @hotmail.com")))
-    )
     places = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
     )
-    return table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.concat(F.lit("C"), k).alias("customer_id"),
-        F.when(k % 33 == 5, broken).otherwise(F.concat(user, F.lit("@example.com"))).alias("email"),
-        F.date_add(F.lit("1994-01-01").cast("date"), (k % 365).cast("int")).cast("string").alias("signup_date"),
-        F.col("r_name").alias("region"),
+    return table(spark, sf_dir, "customer").join(places, F.expr("c_nationkey = n_nationkey")).selectExpr(
+        "'C' || c_custkey AS customer_id",
+        """'customer' || c_custkey || CASE
+               WHEN c_custkey % 33 != 5 THEN '@example.com'
+               WHEN c_custkey % 4 = 0 THEN '@@gmail..com'
+               WHEN c_custkey % 4 = 1 THEN '.gmail.com'
+               WHEN c_custkey % 4 = 2 THEN '@'
+               ELSE ' @hotmail.com' END AS email""",
+        "CAST(DATE_ADD(DATE '1994-01-01', CAST(c_custkey % 365 AS INT)) AS STRING) AS signup_date",
+        "r_name AS region",
     )
 
 
 def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    moved = money_orders(raw_orders(spark, sf_dir))
-    k = F.substring_index("order_id", "-", -1).cast("bigint")
-    return moved.select(
-        "order_id", k.alias("k"), (k % 1000).alias("b"), F.col("total_amount").alias("amount"),
-        F.round(F.col("total_amount") * F.lit("0.029").cast("decimal(4,3)"), 2).cast("decimal(14,2)").alias("fee"),
-        _plus(F.col("order_ts"), k * 17 % 1800).alias("created"),
+    keyed = money_orders(raw_orders(spark, sf_dir)).selectExpr(
+        "order_id", "order_ts", "total_amount AS amount", "CAST(SUBSTRING_INDEX(order_id, '-', -1) AS BIGINT) AS k"
+    )
+    return keyed.selectExpr(
+        "order_id", "k", "k % 1000 AS b", "amount",
+        "CAST(ROUND(amount * 0.029, 2) AS DECIMAL(14,2)) AS fee",
+        f"{_plus('order_ts', 'k * 17 % 1800')} AS created",
     )
 
 
 def raw_gateway_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _payments(spark, sf_dir).select(
-        F.concat(F.lit("T-"), "k").alias("txn_id"),
-        F.concat(F.lit("GW-"), "order_id").alias("gateway_ref"),
-        F.col("amount").cast("string").alias("amount"),
-        F.lit("THB").alias("currency"),
-        F.col("fee").cast("string").alias("fee"),
-        F.lit("captured").alias("status"),
-        _with_offset(F.col("created"), F.lit(False)).alias("created_at"),
-        F.lit("M001").alias("merchant_id"),
-        F.lit("card").alias("payment_method"),
+    return _payments(spark, sf_dir).selectExpr(
+        "'T-' || k AS txn_id", "'GW-' || order_id AS gateway_ref",
+        "CAST(amount AS STRING) AS amount", "'THB' AS currency", "CAST(fee AS STRING) AS fee",
+        "'captured' AS status", f"{_with_offset('created', 'FALSE')} AS created_at",
+        "'M001' AS merchant_id", "'card' AS payment_method",
     )
 
 
 def raw_ledger_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b, k, order_id = F.col("b"), F.col("k"), F.col("order_id")
-    amount = (
-        F.when(b.between(15, 34), F.col("amount") + (F.lit(1) + k % 5).cast("decimal(3,0)") * F.lit("0.01").cast("decimal(3,2)"))
-        .when(b.between(35, 44), F.col("amount") - F.col("fee"))
-        .when(b.between(116, 118), F.col("amount") - F.lit(100).cast("decimal(5,2)"))
-        .otherwise(F.col("amount"))
-    )
-    full_ref = F.concat(F.lit("GW-"), order_id)
-    ref = (
-        F.when(b.between(48, 97), order_id)
-        .when(b.between(113, 115), full_ref.substr(F.lit(1), F.length(full_ref) - 1))
-        .otherwise(full_ref)
-    )
-
-    def entry(when: Column, prefix: str, reference: Column) -> Column:
-        return F.when(when, F.struct(
-            F.concat(F.lit(prefix), k).alias("entry_id"), reference.alias("external_ref")
-        ))
-
-    entries = F.array_compact(F.array(
-        entry(b > 14, "L-", ref),
-        entry(b.between(98, 102), "LD-", ref),
-        entry(b.between(103, 112), "LX-", F.concat(F.lit("GW-X-"), k * 7919)),
-    ))
-    posted = _plus(F.col("created"), F.lit(60) + k * 13 % 3540)
-    return _payments(spark, sf_dir).select("*", F.inline(entries)).select(
-        "entry_id", "external_ref",
-        _money_text(amount).alias("amount"),
-        F.when(b.between(45, 47), " thb").otherwise("THB").alias("currency"),
-        _with_offset(posted, F.lit(True)).alias("posted_at"),
-        F.lit("1102").alias("account_code"),
-        F.lit("debit").alias("entry_type"),
-    )
-
-
-def _names_by_platform() -> Column:
+    entries = _payments(spark, sf_dir).selectExpr("*", """INLINE(ARRAY_COMPACT(ARRAY(
+        CASE WHEN b > 14 THEN NAMED_STRUCT('entry_id', 'L-' || k, 'external_ref', CASE
+            WHEN b BETWEEN 48 AND 97 THEN order_id
+            WHEN b BETWEEN 113 AND 115 THEN SUBSTRING('GW-' || order_id, 1, LENGTH(order_id) + 2)
+            ELSE 'GW-' || order_id END) END,
+        CASE WHEN b BETWEEN 98 AND 102 THEN NAMED_STRUCT(
+            'entry_id', 'LD-' || k, 'external_ref', 'GW-' || order_id) END,
+        CASE WHEN b BETWEEN 103 AND 112 THEN NAMED_STRUCT(
+            'entry_id', 'LX-' || k, 'external_ref', 'GW-X-' || (k * 7919)) END
+    )))""")
+    amount = """CASE WHEN b BETWEEN 15 AND 34 THEN amount + (1 + k % 5) * 0.01
+                     WHEN b BETWEEN 35 AND 44 THEN amount - fee
+                     WHEN b BETWEEN 116 AND 118 THEN amount - 100
+                     ELSE amount END"""
+    return entries.selectExpr(
+        "entry_id", "external_ref", f"{_money_text(amount)} AS amount",
+        "IF(b BETWEEN 45 AND 47, ' thb', 'THB') AS currency",
+        f"{_with_offset(_plus('created', '60 + k * 13 % 3540'), 'TRUE')} AS posted_at",
+        "'1102' AS account_code", "'debit' AS entry_type",
+    )
+
+
+def _names_by_platform() -> str:
     """Map from platform to its campaign names in seed order."""
-    pairs = []
-    for platform in ("facebook", "google", "tiktok"):
-        names = [name for p, name, _ in seeds.CAMPAIGNS if p == platform]
-        pairs += [F.lit(platform), F.array(*[F.lit(n) for n in names])]
-    return F.create_map(*pairs)
-
-
-def _platform(index: Column) -> Column:
-    return F.when(index == 0, "facebook").when(index == 1, "google").otherwise("tiktok")
+    return "MAP(" + ", ".join(
+        f"'{p}', ARRAY(" + ", ".join(quote(name) for owner, name, _ in seeds.CAMPAIGNS if owner == p) + ")"
+        for p in AD_PLATFORMS
+    ) + ")"
 
 
-_DAY_SHIFT = 9496  # puts the days of the event stream among the order dates
+_SHIFTED_DAY = "DATE_SUB(TO_DATE(ts), 9496)"  # puts the event days among the order dates
 
 
 def raw_ad_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("event_type")
     daily = (
         table(spark, sf_dir, "events")
-        .select(
-            F.date_sub(F.to_date(F.col("ts").cast("timestamp")), _DAY_SHIFT).alias("day"),
-            _platform(F.col("user_id") % 3).alias("platform"),
-            (F.get_json_object("props", "$.k").cast("bigint") % 8).cast("int").alias("campaign"),
+        .selectExpr(
+            f"{_SHIFTED_DAY} AS day",
+            "CASE user_id % 3 WHEN 0 THEN 'facebook' WHEN 1 THEN 'google' ELSE 'tiktok' END AS platform",
+            "CAST(GET_JSON_OBJECT(props, '$.k') AS BIGINT) % 8 AS campaign",
             "event_type",
-            F.col("value").cast("decimal(12,2)").alias("value"),
+            "CAST(value AS DECIMAL(12,2)) AS value",
         )
         .groupBy("day", "platform", "campaign")
         .agg(
-            (F.sum("value") * 100).cast("decimal(18,2)").alias("spend"),
-            (F.count_if(kind == "view") * 100).alias("views"),
-            (F.count_if(kind == "click") * 10).alias("clicks"),
-            F.count_if(kind == "purchase").alias("purchases"),
+            F.expr("CAST(SUM(value) * 100 AS DECIMAL(18,2)) AS spend"),
+            F.expr("COUNT_IF(event_type = 'view') * 100 AS views"),
+            F.expr("COUNT_IF(event_type = 'click') * 10 AS clicks"),
+            F.expr("COUNT_IF(event_type = 'purchase') AS purchases"),
         )
     )
-    google = F.col("platform") == "google"
-    dom = F.dayofmonth("day")
-    resent = google & (dom % 10 == 0)
-    no_answer = (F.col("platform") != "facebook") & (F.col("campaign") == 3) & (dom % 7 == 0)
-    no_views = (F.col("platform") == "facebook") & (F.col("campaign") == 5) & (dom % 9 == 0)
-    undelivered = (F.col("platform") == "tiktok") & (dom == 30)
-    nothing = F.lit(None).cast("string")
-    return daily.where(~undelivered).select(
-        F.col("day").cast("string").alias("report_date"),
-        "platform",
-        nothing.alias("campaign_id"),
-        nothing.alias("ad_id"),
-        F.element_at(_names_by_platform(), F.col("platform"))[F.col("campaign")].alias("campaign_name"),
-        F.when(google, F.format_number("spend", 2)).otherwise(F.col("spend").cast("string")).alias("spend"),
-        F.when(google, "THB").otherwise("USD").alias("currency"),
-        F.when(no_views, "0").otherwise(F.col("views").cast("string")).alias("impressions"),
-        F.col("clicks").cast("string").alias("clicks"),
-        F.when(no_answer, "N/A").otherwise(F.col("purchases").cast("string")).alias("conversions"),
-        F.explode(F.when(resent, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy"),
+    return daily.where("NOT (platform = 'tiktok' AND DAY(day) = 30)").selectExpr(
+        "CAST(day AS STRING) AS report_date", "platform",
+        "CAST(NULL AS STRING) AS campaign_id", "CAST(NULL AS STRING) AS ad_id",
+        f"{_names_by_platform()}[platform][CAST(campaign AS INT)] AS campaign_name",
+        "IF(platform = 'google', FORMAT_NUMBER(spend, 2), CAST(spend AS STRING)) AS spend",
+        "IF(platform = 'google', 'THB', 'USD') AS currency",
+        "IF(platform = 'facebook' AND campaign = 5 AND DAY(day) % 9 = 0, '0', CAST(views AS STRING)) AS impressions",
+        "CAST(clicks AS STRING) AS clicks",
+        """IF(platform != 'facebook' AND campaign = 3 AND DAY(day) % 7 = 0, 'N/A', CAST(purchases AS STRING))
+           AS conversions""",
+        "EXPLODE(ARRAY_REPEAT(1, IF(platform = 'google' AND DAY(day) % 10 = 0, 2, 1))) AS _copy",
     ).drop("_copy")
 
 
 def raw_utm_touches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    variants = F.array(*[
-        F.struct(F.lit(v).alias("variant"), F.lit(p).alias("platform")) for v, p in seeds.UTM_SOURCES
-    ])
-    keyed = table(spark, sf_dir, "orders").select("o_orderkey", variants[(k % 10).cast("int")].alias("seed"))
-    campaign = F.element_at(_names_by_platform(), F.col("seed.platform"))[
-        (F.floor(k / 10) % 8).cast("int")
-    ]
-    none = k % 4 == 0
-    return keyed.select(
-        F.concat(F.lit("O-"), k).alias("order_id"),
-        F.when(none, F.lit(None)).when(k % 97 == 0, "bing").otherwise(F.col("seed.variant")).alias("utm_source"),
-        F.when(none, F.lit(None)).otherwise(campaign).alias("utm_campaign"),
+    variants = ", ".join(f"STRUCT({quote(v)} AS variant, {quote(p)} AS platform)" for v, p in seeds.UTM_SOURCES)
+    keyed = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k", f"ARRAY({variants})[CAST(o_orderkey % 10 AS INT)] AS seed"
+    )
+    return keyed.selectExpr(
+        "'O-' || k AS order_id",
+        "CASE WHEN k % 4 = 0 THEN NULL WHEN k % 97 = 0 THEN 'bing' ELSE seed.variant END AS utm_source",
+        f"IF(k % 4 = 0, NULL, {_names_by_platform()}[seed.platform][CAST(k DIV 10 % 8 AS INT)]) AS utm_campaign",
     )
 
 
 def raw_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = table(spark, sf_dir, "events").select(
-        F.date_sub(F.to_date(F.col("ts").cast("timestamp")), _DAY_SHIFT).alias("day")
-    ).distinct()
-    rate = F.lit("35.5").cast("decimal(10,4)") + (F.dayofmonth("day") % 15).cast("decimal(3,0)") * F.lit("0.1").cast("decimal(3,2)")
-    return days.select(
-        F.col("day").cast("string").alias("date"), rate.cast("decimal(10,4)").cast("string").alias("usd_thb")
+    days = table(spark, sf_dir, "events").selectExpr(f"{_SHIFTED_DAY} AS day").distinct()
+    return days.selectExpr(
+        "CAST(day AS STRING) AS `date`",
+        "CAST(CAST(35.5 + (DAY(day) % 15) * 0.1 AS DECIMAL(10,4)) AS STRING) AS usd_thb",
     )
 
 
+_FILE_DATE = r"REGEXP_EXTRACT(_source_file, '(\\d{4}-\\d{2}-\\d{2})', 1)"
+
+
 def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load log those order files would have left behind."""
-    return raw_orders(spark, sf_dir).groupBy("_source_file").agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.col("_source_file").alias("file_name"),
-        F.lit("orders").alias("table_name"),
-        F.regexp_extract("_source_file", r"(\d{4}-\d{2}-\d{2})", 1).cast("date").alias("file_date"),
-        "row_count",
+    files = raw_orders(spark, sf_dir).groupBy("_source_file").agg(F.expr("COUNT(*) AS row_count"))
+    return files.selectExpr(
+        "_source_file AS file_name", "'orders' AS table_name", f"CAST({_FILE_DATE} AS DATE) AS file_date", "row_count"
     )
 
 
@@ -281,38 +227,29 @@ def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def injected_order_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(case, id) of all dirt the formulas above put into orders and customers."""
-    k = F.col("o_orderkey")
-    bad_amount = (k % 200).isin(3, 5, 9)
-    refunded = k % 33 == 4
-
-    def case(label: str, when: Column) -> Column:
-        return F.when(when, F.lit(label))
-
-    labels = F.array_compact(F.array(
-        case("duplicate", k % 50 == 13),
-        case("late_refund", refunded),
-        case("late_arrival", (k % 100 == 11) & ~bad_amount & ~refunded),
-        case("bad_amount", bad_amount),
-        case("orphan_customer", (k % 100 == 7) & ~bad_amount),
-    ))
-    orders = table(spark, sf_dir, "orders").select(
-        F.explode(labels).alias("case"), F.concat(F.lit("O-"), "o_orderkey").alias("id")
-    )
-    customers = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 33 == 5).select(
-        F.lit("invalid_email").alias("case"), F.concat(F.lit("C"), "c_custkey").alias("id")
+    bad_amount, refunded = "k % 200 IN (3, 5, 9)", "k % 33 = 4"
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k").selectExpr(
+        f"""EXPLODE(ARRAY_COMPACT(ARRAY(
+            IF(k % 50 = 13, 'duplicate', NULL),
+            IF({refunded}, 'late_refund', NULL),
+            IF(k % 100 = 11 AND NOT {bad_amount} AND NOT {refunded}, 'late_arrival', NULL),
+            IF({bad_amount}, 'bad_amount', NULL),
+            IF(k % 100 = 7 AND NOT {bad_amount}, 'orphan_customer', NULL)))) AS case""",
+        "'O-' || k AS id",
+    )
+    customers = table(spark, sf_dir, "customer").where("c_custkey % 33 = 5").selectExpr(
+        "'invalid_email' AS case", "'C' || c_custkey AS id"
     )
     return orders.unionByName(customers)
 
 
 def injected_payment_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(case, id) of the ledger mismatches; the id is the reference without prefix."""
-    b = F.col("b")
-    label = (
-        F.when(b <= 14, "missing_in_ledger")
-        .when(b.between(15, 34), "rounding")
-        .when(b.between(35, 44), "fee_timing")
-        .when(b.between(98, 102), "duplicate_posting")
-        .when(b.between(103, 112), "missing_in_gateway")
-    )
-    ref = F.when(b.between(103, 112), F.concat(F.lit("X-"), F.col("k") * 7919)).otherwise(F.col("order_id"))
-    return _payments(spark, sf_dir).where(label.isNotNull()).select(label.alias("case"), ref.alias("id"))
+    return _payments(spark, sf_dir).selectExpr(
+        """CASE WHEN b <= 14 THEN 'missing_in_ledger'
+                WHEN b BETWEEN 15 AND 34 THEN 'rounding'
+                WHEN b BETWEEN 35 AND 44 THEN 'fee_timing'
+                WHEN b BETWEEN 98 AND 102 THEN 'duplicate_posting'
+                WHEN b BETWEEN 103 AND 112 THEN 'missing_in_gateway' END AS case""",
+        "IF(b BETWEEN 103 AND 112, 'X-' || (k * 7919), order_id) AS id",
+    ).where("case IS NOT NULL")

@@ -33,15 +33,16 @@ def present(df: DataFrame) -> DataFrame:
     """Output types that read the same everywhere: naive UTC instants, wide numbers."""
     columns = []
     for field in df.schema.fields:
-        column = F.col(field.name)
-        if isinstance(field.dataType, TimestampType):
-            column = column.cast("timestamp_ntz")
-        elif isinstance(field.dataType, DecimalType):
-            column = column.cast(f"decimal(38,{field.dataType.scale})")
-        elif isinstance(field.dataType, IntegerType):
-            column = column.cast("bigint")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+        kind = field.dataType
+        if isinstance(kind, TimestampType):
+            columns.append(f"CAST({field.name} AS TIMESTAMP_NTZ) AS {field.name}")
+        elif isinstance(kind, DecimalType):
+            columns.append(f"CAST({field.name} AS DECIMAL(38,{kind.scale})) AS {field.name}")
+        elif isinstance(kind, IntegerType):
+            columns.append(f"CAST({field.name} AS BIGINT) AS {field.name}")
+        else:
+            columns.append(field.name)
+    return df.selectExpr(*columns)
 
 
 def _query(build: Callable[[Warehouse], DataFrame]) -> Query:
@@ -74,26 +75,18 @@ def _invariants(w: Warehouse) -> DataFrame:
 def _caught_orders(w: Warehouse) -> DataFrame:
     """(case, id) of the order dirt as the operators dealt with it."""
     def caught(case: str, df: DataFrame, column: str) -> DataFrame:
-        return df.select(F.lit(case).alias("case"), F.col(column).alias("id"))
+        return df.selectExpr(f"'{case}' AS case", f"{column} AS id")
 
-    amount_rejects = w.rejected_orders.where(
-        F.col("reject_reason").isin("amount_null_or_invalid", "amount_negative")
-    )
+    amount_rejects = w.rejected_orders.where("reject_reason IN ('amount_null_or_invalid', 'amount_negative')")
     late = w.stg_orders.where(
-        F.regexp_extract("_source_file", r"(\d{4}-\d{2}-\d{2})", 1).cast("date")
-        == F.date_add(F.to_date("order_ts"), 1)
-    )
-    once = w.order_base.groupBy("order_id").count().where(F.col("count") == 1)
-    refunded = (
-        w.order_status_history.groupBy("order_id")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("is_current") & (F.col("status") == "refunded")).alias("now_refunded"),
-        )
-        .where((F.col("n") >= 2) & (F.col("now_refunded") == 1))
+        r"CAST(REGEXP_EXTRACT(_source_file, '(\\d{4}-\\d{2}-\\d{2})', 1) AS DATE) = DATE_ADD(TO_DATE(order_ts), 1)"
     )
-    orphans = w.orders_enriched.where(F.col("customer_id") == UNKNOWN_CUSTOMER)
-    bad_emails = w.stg_customers.where(~F.col("email_is_valid"))
+    once = w.order_base.groupBy("order_id").count().where("count = 1")
+    refunded = w.order_status_history.groupBy("order_id").agg(
+        F.expr("COUNT(*) AS n"), F.expr("COUNT_IF(is_current AND status = 'refunded') AS now_refunded")
+    ).where("n >= 2 AND now_refunded = 1")
+    orphans = w.orders_enriched.where(f"customer_id = '{UNKNOWN_CUSTOMER}'")
+    bad_emails = w.stg_customers.where("NOT email_is_valid")
     return (
         caught("duplicate", once, "order_id")
         .unionByName(caught("late_refund", refunded, "order_id"))
@@ -104,20 +97,13 @@ def _caught_orders(w: Warehouse) -> DataFrame:
     )
 
 
-def _recall(expected: DataFrame, caught: DataFrame) -> DataFrame:
-    hits = caught.distinct().withColumn("_hit", F.lit(1))
-    return expected.distinct().join(hits, ["case", "id"], "left").groupBy("case").agg(
-        F.count(F.lit(1)).alias("injected"), F.count("_hit").alias("caught")
-    )
-
-
 def _recall_orders(w: Warehouse) -> DataFrame:
-    return _recall(bridge.injected_order_cases(w.spark, w.sf_dir), _caught_orders(w))
+    return quality.recall(bridge.injected_order_cases(w.spark, w.sf_dir), _caught_orders(w))
 
 
 def _recall_payments(w: Warehouse) -> DataFrame:
-    caught = w.recon_results.select(F.col("match_type").alias("case"), F.col("ref").alias("id"))
-    return _recall(bridge.injected_payment_cases(w.spark, w.sf_dir), caught)
+    caught = w.recon_results.selectExpr("match_type AS case", "ref AS id")
+    return quality.recall(bridge.injected_payment_cases(w.spark, w.sf_dir), caught)
 
 
 BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {

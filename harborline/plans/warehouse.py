@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame
 
@@ -26,7 +26,7 @@ class Warehouse:
         utm_sources: DataFrame,
         campaigns: DataFrame,
     ):
-        self.landing = landing
+        self.landing = cache(landing)
         self.utm_source_seed = utm_sources
         self.campaign_seed = campaigns
 
