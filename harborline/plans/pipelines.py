@@ -1,0 +1,141 @@
+"""The three jobs end to end: load files, rebuild tables, report.
+
+Each job loads what was delivered, rebuilds its tables from the landing tables
+and returns what a person looks at.  A missing daily file is returned as a row,
+never an error; a missing snapshot is an error.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Sequence
+from datetime import date
+
+from pyspark.sql import DataFrame
+
+from harborline.operators import advertising, quality, reconciliation, reports
+from harborline.plans.warehouse import Warehouse
+from harborline.session import configure, materialize
+from harborline.sources import discovery, seeds, sinks
+from harborline.sources.ad_exports import read_deliveries
+from harborline.sources.landing import Lake
+
+# Tables of a job in the order they build on each other.
+ORDER_TABLES = (
+    "stg_orders", "rejected_orders", "stg_order_items", "stg_customers", "stg_products",
+    "order_status_history", "orders_enriched", "order_lines",
+    "daily_orders", "daily_sales", "refund_analysis", "dim_customers", "dim_products",
+)
+RECON_TABLES = ("norm_gateway", "norm_ledger", "recon_results", "recon_summary", "recon_alerts")
+MARKETING_TABLES = (
+    "stg_fx_rates", "stg_ad_performance", "stg_utm_touches", "campaign_mapping",
+    "attributed_revenue", "channel_performance", "campaign_performance",
+)
+
+
+def warehouse(lake: Lake, utm_sources: DataFrame | None = None, campaigns: DataFrame | None = None) -> Warehouse:
+    """The warehouse over the committed landing tables of a lake."""
+    spark = configure(lake.spark)
+    return Warehouse(
+        lake.table,
+        utm_sources if utm_sources is not None else seeds.utm_sources(spark),
+        campaigns if campaigns is not None else seeds.campaigns(spark),
+    )
+
+
+def build(tables: Warehouse, root: str, names: Sequence[str]) -> Warehouse:
+    """Rebuild tables in order; each is written once and later ones read the copy."""
+    if "stg_orders" in names:
+        # clean and rejected orders share one parse and dedup
+        tables.__dict__["order_base"] = materialize(tables.order_base, "order-base")
+    for name in names:
+        tables.__dict__[name] = sinks.replace_table(getattr(tables, name), f"{root.rstrip('/')}/tables/{name}")
+    return tables
+
+
+# --------------------------------------------------------------------- loading
+
+def _load(lake: Lake, folder: str, names: Sequence[str], dates: Iterable[date]) -> DataFrame:
+    dates = list(dates)
+    expected = []
+    for table in names:
+        deliveries = discovery.find_deliveries(
+            lake.spark, [folder], table, discovery.DAILY_PATTERNS[table], dates
+        )
+        lake.load_daily(table, deliveries)
+        expected += deliveries
+    return discovery.missing(lake.spark, expected)
+
+
+def ingest_orders(lake: Lake, folder: str, dates: Iterable[date]) -> DataFrame:
+    """Snapshots and daily order files; returns the files that were not there."""
+    for table in ("products", "customers"):
+        lake.load_snapshot(table, folder)
+    return _load(lake, folder, ("orders", "order_items"), dates)
+
+
+def ingest_payments(lake: Lake, folder: str, dates: Iterable[date]) -> DataFrame:
+    return _load(lake, folder, ("gateway_txns", "ledger_entries"), dates)
+
+
+def ingest_marketing(lake: Lake, folder: str, dates: Iterable[date], include_late: bool = False) -> DataFrame:
+    """Rates, ad exports and touches; late files are taken from late_arrivals/ on request."""
+    dates = list(dates)
+    lake.load_snapshot("fx_rates", folder)
+    roots = [folder] + ([f"{folder.rstrip('/')}/late_arrivals"] if include_late else [])
+    ads = [
+        delivery
+        for pattern in discovery.AD_PATTERNS.values()
+        for delivery in discovery.find_deliveries(lake.spark, roots, "ad_performance", pattern, dates)
+    ]
+    lake.load_frame("ad_performance", ads, read_deliveries)
+    return discovery.missing(lake.spark, ads).unionByName(_load(lake, folder, ("utm_touches",), dates))
+
+
+# ---------------------------------------------------------------------- running
+
+def run_orders(lake: Lake, root: str) -> dict[str, DataFrame]:
+    """Rebuild the order tables; returns the sections of the business report."""
+    w = build(warehouse(lake), root, ORDER_TABLES)
+    return {
+        "headline": reports.headline(w.daily_sales, w.daily_orders),
+        "by_category": reports.best_first(reports.by_category(w.daily_sales), "net_amount", "category"),
+        "by_channel": reports.best_first(reports.by_channel(w.daily_orders), "net_amount", "channel"),
+        "refunds": reports.best_first(w.refund_analysis, "refund_rate_pct", "category"),
+        "daily_trend": reports.in_order(reports.daily_trend(w.daily_sales, w.daily_orders), "business_date"),
+        "rejected": reports.best_first(reports.reject_counts(w.rejected_orders), "rows", "reject_reason"),
+        "checks": quality.check_tables({n: getattr(w, n) for n in ORDER_TABLES if n in quality.RULES}),
+    }
+
+
+def run_reconciliation(lake: Lake, root: str) -> dict[str, DataFrame]:
+    """Match, verify, summarise, alert, and write the follow-up list as CSV.
+
+    Alerts are business signals and never fail the job; a broken guarantee does.
+    """
+    w = warehouse(lake)
+    build(w, root, ("norm_gateway", "norm_ledger", "recon_results"))
+    reconciliation.check_invariants(w.recon_results)
+    build(w, root, ("recon_summary", "recon_alerts"))
+    follow_ups = reconciliation.follow_ups(w.recon_results)
+    sinks.write_csv(follow_ups, f"{root.rstrip('/')}/reports/recon_follow_ups", "txn_date", "match_type", "ref")
+    return {
+        "daily": reports.in_order(w.recon_summary, "txn_date"),
+        "alerts": reports.in_order(w.recon_alerts, "txn_date", "severity", "rule"),
+        "follow_up_count": reports.follow_up_count(follow_ups),
+    }
+
+
+def run_marketing(lake: Lake, root: str) -> dict[str, DataFrame]:
+    """Rebuild the marketing tables on top of the current orders."""
+
+
+    w = build(warehouse(lake), root, ("stg_orders", *MARKETING_TABLES))
+    return {
+        "blended": reports.blended_roas(w.channel_performance),
+        "channels": reports.best_first(reports.channel_scoreboard(w.channel_performance), "roas", "platform"),
+        "campaigns": reports.best_first(reports.campaign_scoreboard(w.campaign_performance), "roas", "canonical"),
+        "gaps": advertising.missing_deliveries(w.stg_ad_performance),
+        "missing_conversions": reports.missing_conversion_rows(w.stg_ad_performance),
+        "unmapped": advertising.unmapped(w.stg_utm_touches, w.campaign_mapping),
+        "checks": quality.check_tables({n: getattr(w, n) for n in MARKETING_TABLES if n in quality.RULES}),
+    }
