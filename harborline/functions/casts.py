@@ -34,8 +34,12 @@ def money(text: str, precision: int = 14, scale: int = 2) -> str:
 
 
 def whole_number(text: str, kind: str = "BIGINT") -> str:
-    """Integer text; fractions and exponents round half up instead of failing."""
-    return f"TRY_CAST(ROUND(TRY_CAST({text} AS DECIMAL(38,18)), 0) AS {kind})"
+    """Integer text; fractions and exponents round half up instead of failing.
+
+    Plain digits take the cheap cast; only what it refuses is read as a decimal.
+    """
+    rounded = f"TRY_CAST(ROUND(TRY_CAST({text} AS DECIMAL(38,18)), 0) AS {kind})"
+    return f"COALESCE(TRY_CAST({text} AS {kind}), {rounded})"
 
 
 def utc_date(ts: str) -> str:

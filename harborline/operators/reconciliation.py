@@ -282,7 +282,10 @@ _CONFIDENCE = "CASE match_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in C
 
 def reconcile(raw_gateway: DataFrame, raw_ledger: DataFrame) -> DataFrame:
     """Every transaction and every entry in exactly one result row."""
-    ordinary, hot = split_hot(_both_sides(raw_gateway, raw_ledger), ["lane"])
+    # Written once: the check for hot lanes then reads one narrow column instead of
+    # parsing all text a second time.
+    sides = materialize(_both_sides(raw_gateway, raw_ledger), "recon-sides")
+    ordinary, hot = split_hot(sides, ["lane"])
     state = _settle_ordinary(ordinary)
     if hot is not None:
         state = state.unionByName(_settle_hot(hot))

@@ -43,9 +43,9 @@ def top_categories(sales: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def regional_revenue(enriched: DataFrame) -> DataFrame:
+def regional_revenue(located: DataFrame) -> DataFrame:
     """Net orders and revenue per region; orphans show as ``unknown``."""
-    net = enriched.where(IS_NET).selectExpr("COALESCE(region, 'unknown') AS region", "order_id", "total_amount")
+    net = located.where(IS_NET).selectExpr("COALESCE(region, 'unknown') AS region", "order_id", "total_amount")
     return _agg(net, ["region"], "COUNT(DISTINCT order_id) AS orders", "SUM(total_amount) AS revenue")
 
 

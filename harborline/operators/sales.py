@@ -26,20 +26,30 @@ def line_totals(items: DataFrame) -> DataFrame:
     )
 
 
-def enriched_orders(orders: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
-    """Current orders with business date, customer and line totals.
+def with_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Add the known customer and region; an orphan becomes ``unknown``, never dropped.
 
-    Orphan customers become ``unknown`` and are never dropped.  No broadcast is
-    forced: the customer table grows, so the runtime size decides.
+    The id as sent stays in source_customer_id.  No broadcast is forced: the
+    customer table grows, so its measured size decides, and a customer with a
+    third of all orders is split by the adaptive skew join.
     """
-    known = customers.selectExpr("customer_id AS known_id", "region")
-    # Line totals first: both sides are already spread by order_id.
-    joined = with_business_date(orders).join(line_totals(items), "order_id", "left")
-    return joined.join(known, F.expr("customer_id = known_id"), "left").selectExpr(
-        "order_id", "order_ts", "updated_at", "status", "total_amount", "channel", "business_date",
-        f"COALESCE(known_id, '{UNKNOWN_CUSTOMER}') AS customer_id",
+    known = customers.selectExpr("customer_id AS _known_id", "region")
+    others = [c for c in orders.columns if c != "customer_id"]
+    return orders.join(known, F.expr("customer_id = _known_id"), "left").selectExpr(
+        *others,
+        f"COALESCE(_known_id, '{UNKNOWN_CUSTOMER}') AS customer_id",
         "customer_id AS source_customer_id",
         "region",
+    )
+
+
+def enriched_orders(orders: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
+    """Current orders with business date, customer and line totals."""
+    # line totals first: both sides are already spread by order_id
+    totalled = with_business_date(orders).join(line_totals(items), "order_id", "left")
+    return with_customer(totalled, customers).selectExpr(
+        "order_id", "order_ts", "updated_at", "status", "total_amount", "channel", "business_date",
+        "customer_id", "source_customer_id", "region",
         "COALESCE(n_lines, 0) AS n_lines",
         "COALESCE(items_amount, 0) AS items_amount",
     )

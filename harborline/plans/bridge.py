@@ -52,21 +52,26 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                  WHEN o_orderkey % 200 = 9 THEN 'N/A'
                  ELSE {_money_text('o_totalprice')} END AS total_amount""",
     )
-    # the versions of an order come out of one scan, not out of a union of three
-    versions = source.selectExpr("*", f"""INLINE(ARRAY_COMPACT(ARRAY(
-        NAMED_STRUCT('event', ts, 'changed', {_plus('ts', 'k * 31 % 7200')}, 'status', state, 'east', k % 2 = 0),
-        CASE WHEN k % 50 = 13 THEN NAMED_STRUCT(
-            'event', ts, 'changed', {_plus('ts', 'k * 31 % 7200')}, 'status', state, 'east', k % 2 = 1) END,
-        CASE WHEN k % 33 = 4 THEN NAMED_STRUCT(
-            'event', {_plus('ts', '(1 + k % 7) * 86400 + 7200')},
-            'changed', {_plus('ts', '(1 + k % 7) * 86400 + 7200')}, 'status', 'refunded', 'east', k % 2 = 0) END
-    )))""")
+    # The versions of an order come out of one scan, not out of a union of three:
+    # 0 is the order as first sent, 1 a resend in the other offset, 2 a refund.
+    versions = source.selectExpr("*", """EXPLODE(CASE
+        WHEN k % 50 = 13 AND k % 33 = 4 THEN ARRAY(0, 1, 2)
+        WHEN k % 50 = 13 THEN ARRAY(0, 1)
+        WHEN k % 33 = 4 THEN ARRAY(0, 2)
+        ELSE ARRAY(0) END) AS v""").selectExpr(
+        "*",
+        f"CASE WHEN v = 2 THEN {_plus('ts', '(1 + k % 7) * 86400 + 7200')} ELSE ts END AS event",
+        f"""CASE WHEN v = 2 THEN {_plus('ts', '(1 + k % 7) * 86400 + 7200')}
+                 ELSE {_plus('ts', 'k * 31 % 7200')} END AS changed""",
+        "(k + CASE WHEN v = 1 THEN 1 ELSE 0 END) % 2 = 0 AS east",
+    )
     return versions.selectExpr(
         "'O-' || k AS order_id",
         "IF(k % 100 = 7, 'CX', 'C') || cust AS customer_id",
         f"{_with_offset('ts', 'east')} AS order_ts",
         f"{_with_offset('changed', 'east')} AS updated_at",
-        "status", "total_amount",
+        "CASE WHEN v = 2 THEN 'refunded' ELSE state END AS status",
+        "total_amount",
         "CASE k % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'Shopee ' ELSE 'lazada' END AS channel",
         "'orders_' || DATE_ADD(TO_DATE(event), IF(k % 100 = 11, 1, 0)) || '.csv' AS _source_file",
         "TIMESTAMP '2024-01-01 00:00:00' AS _ingested_at",
@@ -127,16 +132,18 @@ def raw_gateway_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_ledger_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = _payments(spark, sf_dir).selectExpr("*", """INLINE(ARRAY_COMPACT(ARRAY(
-        CASE WHEN b > 14 THEN NAMED_STRUCT('entry_id', 'L-' || k, 'external_ref', CASE
-            WHEN b BETWEEN 48 AND 97 THEN order_id
-            WHEN b BETWEEN 113 AND 115 THEN SUBSTRING('GW-' || order_id, 1, LENGTH(order_id) + 2)
-            ELSE 'GW-' || order_id END) END,
-        CASE WHEN b BETWEEN 98 AND 102 THEN NAMED_STRUCT(
-            'entry_id', 'LD-' || k, 'external_ref', 'GW-' || order_id) END,
-        CASE WHEN b BETWEEN 103 AND 112 THEN NAMED_STRUCT(
-            'entry_id', 'LX-' || k, 'external_ref', 'GW-X-' || (k * 7919)) END
-    )))""")
+    # L is the regular entry, LD a second posting of it, LX one without a transaction
+    entries = _payments(spark, sf_dir).selectExpr("*", """EXPLODE(CASE
+        WHEN b <= 14 THEN CAST(ARRAY() AS ARRAY<STRING>)
+        WHEN b BETWEEN 98 AND 102 THEN ARRAY('L-', 'LD-')
+        WHEN b BETWEEN 103 AND 112 THEN ARRAY('L-', 'LX-')
+        ELSE ARRAY('L-') END) AS kind""").selectExpr(
+        "*", "kind || k AS entry_id",
+        """CASE WHEN kind = 'LX-' THEN 'GW-X-' || (k * 7919)
+                WHEN b BETWEEN 48 AND 97 THEN order_id
+                WHEN b BETWEEN 113 AND 115 THEN SUBSTRING('GW-' || order_id, 1, LENGTH(order_id) + 2)
+                ELSE 'GW-' || order_id END AS external_ref""",
+    )
     amount = """CASE WHEN b BETWEEN 15 AND 34 THEN amount + (1 + k % 5) * 0.01
                      WHEN b BETWEEN 35 AND 44 THEN amount - fee
                      WHEN b BETWEEN 116 AND 118 THEN amount - 100
@@ -237,9 +244,9 @@ def injected_order_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
             IF(k % 100 = 7 AND NOT {bad_amount}, 'orphan_customer', NULL)))) AS case""",
         "'O-' || k AS id",
     )
-    customers = table(spark, sf_dir, "customer").where("c_custkey % 33 = 5").selectExpr(
-        "'invalid_email' AS case", "'C' || c_custkey AS id"
-    )
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "IF(c_custkey % 33 = 5, 'invalid_email', NULL) AS case", "'C' || c_custkey AS id"
+    ).where("case IS NOT NULL")
     return orders.unionByName(customers)
 
 

@@ -93,9 +93,18 @@ def ingest_marketing(lake: Lake, folder: str, dates: Iterable[date], include_lat
 
 # ---------------------------------------------------------------------- running
 
-def run_orders(lake: Lake, root: str) -> dict[str, DataFrame]:
-    """Rebuild the order tables; returns the sections of the business report."""
+def _checks(w: Warehouse, names: Sequence[str], strict: bool) -> DataFrame:
+    checks = quality.check_tables({n: getattr(w, n) for n in names if n in quality.RULES})
+    return quality.require(checks) if strict else checks
+
+
+def run_orders(lake: Lake, root: str, strict: bool = True) -> dict[str, DataFrame]:
+    """Rebuild the order tables; returns the sections of the business report.
+
+    A strict run raises when a table breaks one of its rules.
+    """
     w = build(warehouse(lake), root, ORDER_TABLES)
+    checks = _checks(w, ORDER_TABLES, strict)
     return {
         "headline": reports.headline(w.daily_sales, w.daily_orders),
         "by_category": reports.best_first(reports.by_category(w.daily_sales), "net_amount", "category"),
@@ -103,7 +112,7 @@ def run_orders(lake: Lake, root: str) -> dict[str, DataFrame]:
         "refunds": reports.best_first(w.refund_analysis, "refund_rate_pct", "category"),
         "daily_trend": reports.in_order(reports.daily_trend(w.daily_sales, w.daily_orders), "business_date"),
         "rejected": reports.best_first(reports.reject_counts(w.rejected_orders), "rows", "reject_reason"),
-        "checks": quality.check_tables({n: getattr(w, n) for n in ORDER_TABLES if n in quality.RULES}),
+        "checks": checks,
     }
 
 
@@ -125,11 +134,12 @@ def run_reconciliation(lake: Lake, root: str) -> dict[str, DataFrame]:
     }
 
 
-def run_marketing(lake: Lake, root: str) -> dict[str, DataFrame]:
+def run_marketing(lake: Lake, root: str, strict: bool = True) -> dict[str, DataFrame]:
     """Rebuild the marketing tables on top of the current orders."""
 
 
     w = build(warehouse(lake), root, ("stg_orders", *MARKETING_TABLES))
+    checks = _checks(w, MARKETING_TABLES, strict)
     return {
         "blended": reports.blended_roas(w.channel_performance),
         "channels": reports.best_first(reports.channel_scoreboard(w.channel_performance), "roas", "platform"),
@@ -137,5 +147,5 @@ def run_marketing(lake: Lake, root: str) -> dict[str, DataFrame]:
         "gaps": advertising.missing_deliveries(w.stg_ad_performance),
         "missing_conversions": reports.missing_conversion_rows(w.stg_ad_performance),
         "unmapped": advertising.unmapped(w.stg_utm_touches, w.campaign_mapping),
-        "checks": quality.check_tables({n: getattr(w, n) for n in MARKETING_TABLES if n in quality.RULES}),
+        "checks": checks,
     }

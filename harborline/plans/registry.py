@@ -62,7 +62,7 @@ def _checked_tables(w: Warehouse) -> dict[str, DataFrame]:
 
 def _relationships(w: Warehouse) -> DataFrame:
     return quality.relationship_check(
-        "orders_enriched", w.orders_enriched, "customer_id", w.dim_customers, "customer_id"
+        "orders_enriched", w.located_orders, "customer_id", w.dim_customers, "customer_id"
     ).unionByName(quality.relationship_check(
         "stg_order_items", w.stg_order_items, "product_id", w.dim_products, "product_id"
     ))
@@ -85,7 +85,7 @@ def _caught_orders(w: Warehouse) -> DataFrame:
     refunded = w.order_status_history.groupBy("order_id").agg(
         F.expr("COUNT(*) AS n"), F.expr("COUNT_IF(is_current AND status = 'refunded') AS now_refunded")
     ).where("n >= 2 AND now_refunded = 1")
-    orphans = w.orders_enriched.where(f"customer_id = '{UNKNOWN_CUSTOMER}'")
+    orphans = w.located_orders.where(f"customer_id = '{UNKNOWN_CUSTOMER}'")
     bad_emails = w.stg_customers.where("NOT email_is_valid")
     return (
         caught("duplicate", once, "order_id")
@@ -129,7 +129,7 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "weekday_compare": lambda w: reports.weekday_compare(w.daily_sales),
     "top_categories": lambda w: reports.top_categories(w.daily_sales),
     "days_to_refund": lambda w: history.days_to_refund(w.order_status_history),
-    "regional_revenue": lambda w: reports.regional_revenue(w.orders_enriched),
+    "regional_revenue": lambda w: reports.regional_revenue(w.located_orders),
     "quarantine_health": lambda w: reports.quarantine_health(w.rejected_orders),
     "headline": lambda w: reports.headline(w.daily_sales, w.daily_orders),
     "daily_trend": lambda w: reports.in_order(reports.daily_trend(w.daily_sales, w.daily_orders), "business_date"),

@@ -67,6 +67,11 @@ class Warehouse:
     def orders_enriched(self) -> DataFrame:
         return sales.enriched_orders(self.stg_orders, self.stg_customers, self.stg_order_items)
 
+    @cached_property
+    def located_orders(self) -> DataFrame:
+        """Orders with customer and region only, for questions that need no lines."""
+        return sales.with_customer(self.dated_orders, self.stg_customers)
+
     @cached_property
     def order_lines(self) -> DataFrame:
         return sales.order_lines(self.dated_orders, self.landing("order_items"), self.stg_products)
@@ -106,8 +111,11 @@ class Warehouse:
 
     @cached_property
     def recon_summary(self) -> DataFrame:
-        # the daily totals need no posting sequence, so the plain columns will do
-        ledger = reconciliation.ledger_columns(self.landing("ledger_entries"))
+        # the daily totals need no posting sequence: without a stored ledger table
+        # the plain columns will do
+        ledger = self.__dict__.get("norm_ledger")
+        if ledger is None:
+            ledger = reconciliation.ledger_columns(self.landing("ledger_entries"))
         return reconciliation.daily_summary(self.norm_gateway, ledger, self.recon_results)
 
     @cached_property

@@ -8,9 +8,11 @@ from pathlib import Path
 
 import pytest
 
+from harborline.operators import cleaning, quality
 from harborline.plans import pipelines
+from harborline.schemas import RAW_COLUMNS
 from harborline.sources import ad_exports, discovery, seeds, sinks
-from harborline.sources.landing import Lake, SchemaMismatch
+from harborline.sources.landing import Lake, SchemaMismatch, read_text_csv
 from harborline.streaming.landing import land_new_files
 
 ORDERS = "order_id,customer_id,order_ts,updated_at,status,total_amount,channel"
@@ -289,3 +291,20 @@ def test_stream_lands_new_files_once(lake, inbox, tmp_path):
     assert sorted(r.order_id for r in lake.table("orders").collect()) == ["A", "B", "C"]
     assert {r.file_date: r.row_count for r in lake.load_log().collect()} == {DAY: 1, date(2026, 7, 12): 2}
     assert lake.log_entries().count() == 2
+
+
+def test_money_orders_over_many_files(spark, inbox):
+    newer = order("A").replace("2026-07-11,paid", "2026-07-12,cancelled")
+    for day, row in (("2026-07-11", order("A")), ("2026-07-12", newer), ("2026-07-13", order("B"))):
+        (inbox / f"orders_{day}.csv").write_text(f"{ORDERS}\n{row}\n")
+    raw = read_text_csv(spark, [f"{inbox}/orders_*.csv"], RAW_COLUMNS["orders"]).selectExpr(
+        "*", "TIMESTAMP'2026-07-14 00:00:00' AS _ingested_at")
+    kept = cleaning.money_orders(raw, "2026-07-11", "2026-07-11").collect()
+    assert [r.order_id for r in kept] == ["B"], "the newest version of A was cancelled"
+
+
+def test_a_strict_run_stops_on_a_broken_rule(spark):
+    checks = spark.sql("SELECT 'stg_orders' AS table_name, 'unique:order_id' AS check, 0L AS violations")
+    assert quality.require(checks).count() == 1
+    with pytest.raises(quality.QualityError, match="unique:order_id: 2"):
+        quality.require(checks.selectExpr("table_name", "check", "2L AS violations"))
