@@ -47,9 +47,10 @@ def clean_touches(raw: DataFrame, source_seed: DataFrame) -> DataFrame:
     """Distinct order touches with their platform.
 
     No source is ``organic``; a source the seed does not know keeps a NULL
-    platform so that the unmapped check can see it.
+    platform so that the unmapped check can see it.  The seed's known size lets
+    Spark broadcast it; one that outgrows the threshold is joined by shuffle.
     """
-    seed = F.broadcast(source_seed.selectExpr("utm_source_variant AS _variant", "platform AS _platform"))
+    seed = source_seed.selectExpr("utm_source_variant AS _variant", "platform AS _platform")
     joined = raw.where("order_id IS NOT NULL").join(seed, F.expr("TRIM(utm_source) = _variant"), "left")
     return joined.selectExpr(
         "order_id", "utm_source", "utm_campaign",
@@ -65,9 +66,9 @@ def with_canonical(df: DataFrame, campaign_seed: DataFrame, name: str) -> DataFr
     place with the small seed, and nobody joins against the list of all
     campaigns ever seen.
     """
-    seed = F.broadcast(campaign_seed.selectExpr(
+    seed = campaign_seed.selectExpr(
         "platform AS _platform", "campaign_name AS _name", "canonical AS _canonical"
-    ))
+    )
     return df.join(seed, F.expr(f"platform = _platform AND {name} = _name"), "left").selectExpr(
         *df.columns,
         f"COALESCE(_canonical, {text.alnum_key(name)}) AS canonical",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -60,14 +61,32 @@ def _count(df: DataFrame, expression: str) -> DataFrame:
 
 
 def column_checks(table: str, df: DataFrame, rules: Rules) -> DataFrame:
-    """not_null and accepted_values of all columns in ONE pass over the table."""
+    """All rules of a table in ONE pass over it.
+
+    With a unique column, the other rules are counted per value of that column
+    first: the aggregation that finds repeats carries them along, and map-side
+    partial counts keep a hot value small.
+    """
     counts = [(f"not_null:{c}", f"{c} IS NULL") for c in rules.not_null]
     counts += [(f"accepted_values:{c}", f"NOT ({one_of(c, values)})") for c, values in rules.accepted.items()]
-    one_row = df.agg(*[F.expr(f"COUNT_IF({broken}) AS c{i}") for i, (_, broken) in enumerate(counts)])
-    rows = ", ".join(
-        f"NAMED_STRUCT('check', '{name}', 'violations', c{i})" for i, (name, _) in enumerate(counts)
-    )
-    return one_row.selectExpr(f"'{table}' AS table_name", f"INLINE(ARRAY({rows}))")
+    broken = [f"COUNT_IF({condition}) AS c{i}" for i, (_, condition) in enumerate(counts)]
+    names = [name for name, _ in counts]
+    if rules.unique:
+        key, *others = rules.unique
+        per_value = df.groupBy(key).agg(F.expr("COUNT(*) AS _n"), *map(F.expr, broken))
+        one_row = per_value.agg(
+            *[F.expr(f"COALESCE(SUM(c{i}), 0) AS c{i}") for i in range(len(names))],
+            F.expr(f"COUNT_IF(_n > 1 AND {key} IS NOT NULL) AS c{len(names)}"),
+        )
+        names.append(f"unique:{key}")
+    else:
+        others = []
+        one_row = df.agg(*map(F.expr, broken))
+    rows = ", ".join(f"NAMED_STRUCT('check', '{name}', 'violations', c{i})" for i, name in enumerate(names))
+    result = one_row.selectExpr(f"'{table}' AS table_name", f"INLINE(ARRAY({rows}))")
+    for column in others:
+        result = result.unionByName(unique_check(table, df, column))
+    return result
 
 
 def unique_check(table: str, df: DataFrame, column: str) -> DataFrame:
@@ -91,16 +110,8 @@ def relationship_check(table: str, df: DataFrame, column: str, target: DataFrame
 
 
 def check_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All column rules of the given tables in long form."""
-    parts = []
-    for name, df in tables.items():
-        rules = RULES[name]
-        parts.append(column_checks(name, df, rules))
-        parts += [unique_check(name, df, column) for column in rules.unique]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """All rules of the given tables in long form."""
+    return reduce(DataFrame.unionByName, [column_checks(name, df, RULES[name]) for name, df in tables.items()])
 
 
 def failed(checks: DataFrame) -> DataFrame:
@@ -308,11 +319,12 @@ def checksum(table: str, df: DataFrame) -> DataFrame:
 
 
 def checksums(tables: Mapping[str, DataFrame]) -> DataFrame:
-    result = None
-    for name, df in tables.items():
-        part = checksum(name, df)
-        result = part if result is None else result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, [checksum(name, df) for name, df in tables.items()])
+
+
+def only_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in a list of ids, given as a DataFrame of any size."""
+    return df.join(ids.select(key), key, "left_semi")
 
 
 def recall(expected: DataFrame, caught: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from harborline.functions.text import quote
 from harborline.schemas import text_schema
 
 SOURCE_SEED_COLUMNS = ["utm_source_variant", "platform"]
@@ -52,12 +53,18 @@ CAMPAIGNS = [
 ]
 
 
+def _values(spark: SparkSession, rows: list[tuple[str, ...]], columns: list[str]) -> DataFrame:
+    """Literal rows; the optimizer knows their size and broadcasts them on its own."""
+    literals = ", ".join("(" + ", ".join(quote(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {literals} AS seed({', '.join(columns)})")
+
+
 def utm_sources(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(UTM_SOURCES, text_schema(SOURCE_SEED_COLUMNS))
+    return _values(spark, UTM_SOURCES, SOURCE_SEED_COLUMNS)
 
 
 def campaigns(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CAMPAIGNS, text_schema(CAMPAIGN_SEED_COLUMNS))
+    return _values(spark, CAMPAIGNS, CAMPAIGN_SEED_COLUMNS)
 
 
 def read_seed(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
