@@ -21,7 +21,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from harborline.plans import pipelines  # noqa: E402
+from harborline.plans import jobs  # noqa: E402
 from harborline.plans.registry import BUILDERS, bridged, present  # noqa: E402
 from harborline.plans.warehouse import Warehouse  # noqa: E402
 from harborline.session import build_session  # noqa: E402
@@ -40,9 +40,9 @@ HEADLINE = (
     "channel_performance", "campaign_performance", "dq_relationships",
 )
 REBUILDS = {
-    "rebuild_orders": pipelines.ORDER_TABLES,
-    "rebuild_recon": pipelines.RECON_TABLES,
-    "rebuild_marketing": ("stg_orders", *pipelines.MARKETING_TABLES),
+    "rebuild_orders": jobs.ORDER_TABLES,
+    "rebuild_recon": jobs.RECON_TABLES,
+    "rebuild_marketing": ("stg_orders", *jobs.MARKETING_TABLES),
 }
 
 
@@ -85,7 +85,7 @@ def main() -> None:
         first[name], best[name] = round(times[0], 3), round(min(times), 3)
     for name, tables in REBUILDS.items():
         start = time.perf_counter()
-        pipelines.build(landed(), f"{folder}/{name}", tables)
+        jobs.build(landed(), f"{folder}/{name}", tables)
         first[name] = best[name] = round(time.perf_counter() - start, 3)
     spark.stop()
     print(json.dumps({

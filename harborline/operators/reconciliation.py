@@ -280,11 +280,21 @@ END"""
 _CONFIDENCE = "CASE match_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in CONFIDENCE.items()) + " END"
 
 
+def stored_sides(raw_gateway: DataFrame, raw_ledger: DataFrame) -> DataFrame:
+    """Both sides, typed and written once.
+
+    The check for hot lanes and the daily totals then read a few narrow columns
+    instead of parsing all text again.
+    """
+    return materialize(_both_sides(raw_gateway, raw_ledger), "recon-sides")
+
+
 def reconcile(raw_gateway: DataFrame, raw_ledger: DataFrame) -> DataFrame:
     """Every transaction and every entry in exactly one result row."""
-    # Written once: the check for hot lanes then reads one narrow column instead of
-    # parsing all text a second time.
-    sides = materialize(_both_sides(raw_gateway, raw_ledger), "recon-sides")
+    return reconcile_sides(stored_sides(raw_gateway, raw_ledger))
+
+
+def reconcile_sides(sides: DataFrame) -> DataFrame:
     ordinary, hot = split_hot(sides, ["lane"])
     state = _settle_ordinary(ordinary)
     if hot is not None:

@@ -15,9 +15,10 @@ from harborline.operators import (
 class Warehouse:
     """Every table of the platform, derived on demand from its landing tables.
 
-    ``landing`` returns the untyped table of a given name.  Nothing runs until
-    an output is consumed, and only the tables it needs are part of its plan.
-    A ``cached_property`` keeps the DataFrame object, not its rows.
+    ``landing`` returns the untyped table of a given name.  Only the
+    tables an output needs are part of its plan.
+    A ``cached_property`` keeps the DataFrame object, not its rows; only the
+    reconciliation writes intermediate rows to the shared folder.
     """
 
     def __init__(
@@ -105,18 +106,20 @@ class Warehouse:
     def norm_ledger(self) -> DataFrame:
         return reconciliation.normalize_ledger(self.landing("ledger_entries"))
 
+    @cached_property
+    def recon_sides(self) -> DataFrame:
+        return reconciliation.stored_sides(self.landing("gateway_txns"), self.landing("ledger_entries"))
+
     @cached_property
     def recon_results(self) -> DataFrame:
-        return reconciliation.reconcile(self.landing("gateway_txns"), self.landing("ledger_entries"))
+        return reconciliation.reconcile_sides(self.recon_sides)
 
     @cached_property
     def recon_summary(self) -> DataFrame:
-        # the daily totals need no posting sequence: without a stored ledger table
-        # the plain columns will do
-        ledger = self.__dict__.get("norm_ledger")
-        if ledger is None:
-            ledger = reconciliation.ledger_columns(self.landing("ledger_entries"))
-        return reconciliation.daily_summary(self.norm_gateway, ledger, self.recon_results)
+        # the stored sides hold what the daily totals need
+        gateway = self.recon_sides.where("side = 'G'").selectExpr("day AS txn_date", "amount")
+        ledger = self.recon_sides.where("side = 'L'").selectExpr("day AS entry_date", "amount")
+        return reconciliation.daily_summary(gateway, ledger, self.recon_results)
 
     @cached_property
     def recon_alerts(self) -> DataFrame:

@@ -57,7 +57,7 @@ def _headed_csv(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
     The order of columns may differ between files.  One small job takes the
     first line of each file; files with the same header share one scan.
     """
-    heads = spark.read.text(list(paths)).where("TRIM(value) != ''").selectExpr(
+    heads = spark.read.text(list(paths)).where("TRIM(value) != '' AND _metadata.file_block_start = 0").selectExpr(
         "_metadata.file_path AS path", "MONOTONICALLY_INCREASING_ID() AS n", "value"
     ).groupBy("path").agg(F.expr("MIN_BY(value, n) AS header"))
     by_header: dict[str, list[str]] = {}

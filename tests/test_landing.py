@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 
 from harborline.operators import cleaning, quality
-from harborline.plans import pipelines
+from harborline.plans import jobs
 from harborline.schemas import RAW_COLUMNS
 from harborline.sources import ad_exports, discovery, seeds, sinks
 from harborline.sources.landing import Lake, SchemaMismatch, read_text_csv
@@ -216,22 +216,22 @@ def test_late_file_is_a_gap_until_backfilled(spark, lake, inbox):
         "order_items_2026-06-05.csv": "order_id,product_id,qty,unit_price\nO1,P1,1,355.00\n",
     }.items():
         (inbox / name).write_text(rows)
-    absent = pipelines.ingest_marketing(lake, str(inbox), [day]).collect()
+    absent = jobs.ingest_marketing(lake, str(inbox), [day]).collect()
     assert [r.file_name for r in absent] == ["tiktok_ads_2026-06-05.csv"]
-    assert pipelines.ingest_orders(lake, str(inbox), [day]).count() == 0
+    assert jobs.ingest_orders(lake, str(inbox), [day]).count() == 0
 
-    report = pipelines.run_marketing(lake, str(inbox.parent / "out"))
+    report = jobs.run_marketing(lake, str(inbox.parent / "out"))
     assert [r.platform for r in report["gaps"].collect()] == ["tiktok"]
     assert report["missing_conversions"].first().rows == 2
     assert report["checks"].where("violations > 0").count() == 0
 
-    assert pipelines.ingest_marketing(lake, str(inbox), [day], include_late=True).count() == 0
-    pipelines.ingest_marketing(lake, str(inbox), [day], include_late=True)
+    assert jobs.ingest_marketing(lake, str(inbox), [day], include_late=True).count() == 0
+    jobs.ingest_marketing(lake, str(inbox), [day], include_late=True)
     assert lake.table("ad_performance").count() == 4, "a repeated load replaces its rows"
-    report = pipelines.run_marketing(lake, str(inbox.parent / "out"))
+    report = jobs.run_marketing(lake, str(inbox.parent / "out"))
     assert report["gaps"].count() == 0
 
-    sales = pipelines.run_orders(lake, str(inbox.parent / "out"))
+    sales = jobs.run_orders(lake, str(inbox.parent / "out"))
     assert float(sales["headline"].first().net_revenue) == 355.0
     assert sales["checks"].where("violations > 0").count() == 0
 
@@ -247,9 +247,9 @@ def test_reconciliation_job_writes_the_follow_ups(spark, lake, inbox):
         "entry_id,external_ref,amount,currency,posted_at,account_code,entry_type\n"
         "L1,GW-A,10.00,THB,2026-06-28 17:30:00+07:00,1102,debit\n"
     )
-    assert pipelines.ingest_payments(lake, str(inbox), [day]).count() == 0
+    assert jobs.ingest_payments(lake, str(inbox), [day]).count() == 0
     out = str(inbox.parent / "out")
-    report = pipelines.run_reconciliation(lake, out)
+    report = jobs.run_reconciliation(lake, out)
     assert report["follow_up_count"].first().rows == 1
     assert {a.rule for a in report["alerts"].collect()} == {"match_rate"}
     rows = spark.read.option("header", True).csv(f"{out}/reports/recon_follow_ups").collect()
