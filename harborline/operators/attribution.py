@@ -10,15 +10,18 @@ from harborline.operators.sales import IS_NET
 from harborline.operators.skew import join_unique
 
 
-def attributed_revenue(touches: DataFrame, orders: DataFrame, campaign_seed: DataFrame) -> DataFrame:
+def attributed_revenue(
+    touches: DataFrame, orders: DataFrame, campaign_seed: DataFrame, raw_touches: DataFrame | None = None
+) -> DataFrame:
     """Revenue of net orders on the platform and campaign of their touch.
 
     ``orders`` needs order_id, business_date, status and total_amount.  Organic
     revenue keeps its own bucket.  A touch whose platform is unknown has no
-    campaign.
+    campaign.  With ``raw_touches`` the check for hot orders scans one landed
+    column instead of computing the distinct touches for it.
     """
     net = orders.where(IS_NET).select("order_id", "business_date", "total_amount")
-    joined = join_unique(touches, net, "order_id")
+    joined = join_unique(touches, net, "order_id", raw_touches)
     return with_canonical(joined, campaign_seed, "utm_campaign").selectExpr(
         "business_date", "platform",
         """CASE WHEN platform = 'organic' THEN 'organic'

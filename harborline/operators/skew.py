@@ -64,13 +64,15 @@ def split_hot(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame
     return only_keys(df, hot, keys, "left_anti"), only_keys(df, hot, keys)
 
 
-def join_unique(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
+def join_unique(many: DataFrame, one: DataFrame, key: str, probe: DataFrame | None = None) -> DataFrame:
     """Inner join where ``one`` has one row per key and ``many`` may have a hot key.
 
     Ordinary keys meet in a shuffled join.  Hot keys have at most MAX_HOT_KEYS
     partner rows, so those are broadcast and the hot rows stay where they are.
+    ``probe`` is a table to look for hot keys in when ``many`` is costly to
+    compute, such as the rows it is derived from; any choice gives the same rows.
     """
-    hot = hot_keys(many, [key])
+    hot = hot_keys(many if probe is None else probe, [key])
     if hot is None:
         return many.join(one, key)
     return only_keys(many, hot, [key], "left_anti").join(one, key).unionByName(

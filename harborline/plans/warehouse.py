@@ -144,7 +144,9 @@ class Warehouse:
 
     @cached_property
     def attributed_revenue(self) -> DataFrame:
-        return attribution.attributed_revenue(self.stg_utm_touches, self.dated_orders, self.campaign_seed)
+        return attribution.attributed_revenue(
+            self.stg_utm_touches, self.dated_orders, self.campaign_seed, self.landing("utm_touches")
+        )
 
     @cached_property
     def channel_performance(self) -> DataFrame:

@@ -6,7 +6,6 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from harborline.functions import casts, text
 from harborline.functions.ratios import ratio

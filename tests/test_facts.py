@@ -189,6 +189,16 @@ def test_attribution_with_hot_orders(spark, raw, every_group_is_hot):
     _check_attribution(spark, raw)
 
 
+def test_a_probe_only_chooses_the_path(spark, raw, every_group_is_hot):
+    touches, dated = _attribution(spark, raw)
+    hot_everywhere = touches.unionByName(touches).unionByName(touches)
+    nowhere = touches.where("order_id = 'none'")
+    expected = sorted(attribution.attributed_revenue(touches, dated, seeds.campaigns(spark)).collect())
+    for probe in (hot_everywhere, nowhere):
+        rows = attribution.attributed_revenue(touches, dated, seeds.campaigns(spark), probe).collect()
+        assert sorted(rows) == expected and len(rows) == 3
+
+
 def test_channel_performance_full_join_and_guards(spark):
     ads = spark.sql("""SELECT DATE(d) AS report_date, p AS platform, n AS campaign_name, CAST(s AS DECIMAL(14,2)) AS spend_thb,
         CAST(i AS BIGINT) AS impressions, CAST(c AS BIGINT) AS clicks, CAST(v AS BIGINT) AS conversions FROM VALUES
