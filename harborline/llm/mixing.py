@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from harborline.llm.common import UID, running_sums, with_uid, words_column
+from harborline.llm.common import UID, running_sums, stored, with_uid, words_column
 from harborline.session import materialize
 
 
@@ -121,8 +121,8 @@ def _hand_over(plan: pd.DataFrame, drawn: dict[int, int]) -> pd.DataFrame:
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_repeats: int = 2,
-        block_words: int = 64, shard_slots: int = 4096, seed: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Return (documents, draws).
+        block_words: int = 64, shard_slots: int = 4096, seed: int = 1, row: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Return (documents, draws).  ``row`` names a column that numbers the rows, if there is one.
 
     documents: one row per input row: row (its number), key, source, size,
     source_size, target, first_word (its place in the source's sequence).
@@ -135,9 +135,10 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     table gives two empty results.  Sources without words get target 0.
     """
     spark = docs.sparkSession
-    sized = materialize(with_uid(docs.select(
-        F.col(key).alias("key"), F.col(source).alias("source"), F.xxhash64(text).alias("tie"),
-        F.expr(f"size({words_column(text)})").cast("long").alias("size"))), "sizes")
+    sized = docs.select(
+        *([F.col(row).alias(UID)] if row else []), F.col(key).alias("key"), F.col(source).alias("source"),
+        F.xxhash64(text).alias("tie"), F.expr(f"size({words_column(text)})").cast("long").alias("size"))
+    sized = materialize(sized if row else with_uid(sized), "sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = plan_sources(sizes, list(weights), share, max_repeats, block_words)
     catalogue = spark.createDataFrame(
@@ -193,3 +194,22 @@ def taken(docs: DataFrame, **options) -> DataFrame:
     documents, draws = mix(docs, **options)
     sums = draws.groupBy("row").agg(F.sum("words").alias("taken"))
     return documents.join(sums, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+
+
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """``docs`` as the mix takes them: per epoch one row with the words drawn of a document.
+
+    A document drawn in full keeps its text; of one drawn in part the drawn words
+    follow each other in order, joined by spaces.  Documents that are not drawn
+    are absent.  All other columns stay as they are.
+    """
+    rows = stored(with_uid(docs.select(F.struct("*").alias("_row"))), "mix_input")
+    flat = rows.select(F.col(UID).alias("row"), *[F.col(f"_row.{c}").alias(a) for c, a in ((key, "key"), (text, "text"), (source, "source"))])
+    _, draws = mix(flat, "key", "text", "source", row="row", **options)
+    spans = draws.groupBy("row", "epoch").agg(
+        F.sort_array(F.collect_list(F.struct("from_word", "words"))).alias("spans"), F.sum("words").alias("drawn"))
+    whole = rows.join(spans, F.col(UID) == F.col("row"))
+    words = whole.withColumn("w", F.expr(words_column("_row`.`" + text)))
+    drawn = "array_join(flatten(transform(spans, s -> slice(w, cast(s.from_word + 1 AS int), cast(s.words AS int)))), ' ')"
+    replaced = F.when(F.col("drawn") == F.size("w"), F.col(f"_row.{text}")).otherwise(F.expr(drawn))
+    return words.select(*[replaced.alias(c) if c == text else F.col(f"_row.{c}").alias(c) for c in docs.columns])

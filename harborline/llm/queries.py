@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harborline.llm.common import table
 
@@ -29,6 +29,46 @@ def op1_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
         "key AS doc_id", "start", "n_tokens", "crc32(ids) AS ids_crc32")
 
 
+def op2_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from harborline.llm.quality_rules import quality_cascade
+
+    return quality_cascade(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def op3_unigram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from harborline.llm.language_id import identify, remainder
+
+    return identify(table(spark, sf_dir, "documents"), remainder("doc_id", 3) != 1).selectExpr(
+        "key AS doc_id", "NOT train AS held_out", "lang_pred", "score")
+
+
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from harborline.llm.language_id import remainder
+    from harborline.llm.ppm import score
+
+    return score(table(spark, sf_dir, "documents"), remainder("doc_id", 10) != 0).selectExpr(
+        "key AS doc_id", "NOT train AS held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from harborline.llm.url_templates import url_verdicts
+
+    return url_verdicts(table(spark, sf_dir, "pages")).withColumnRenamed("key", "page_id")
+
+
+def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, edited three times at places that its id determines."""
+    from harborline.llm.edit_counts import apply_edits, build
+
+    place = "(crc32(cast(concat_ws(':', doc_id, '{0}') AS binary)) % (char_length(coalesce(text, '')) + 1))"
+    docs = table(spark, sf_dir, "documents").withColumn("edits", F.expr(
+        "array(" + ", ".join(f"named_struct('at', {place.format(i)}, 'remove', {n}L, 'insert', {insert})" for i, n, insert in (
+            (0, 0, "concat(' ', coalesce(source, 'none'), ' ')"), (1, 7, "''"), (2, 3, "'\\n edited'"))) + ")"))
+    return apply_edits(build(docs, edits="edits")).selectExpr(
+        "key AS doc_id", "tokens_before", "cast(tokens[1] AS bigint) AS tokens_after", "encoded_chars",
+        "cast(char_length(text) AS bigint) AS n_chars")
+
+
 def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from harborline.llm.simhash_trie import simhash_components
 
@@ -44,11 +84,38 @@ def op10_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_huffman, op6_mixing, op8_simhash_trie, op9_exact_dedup, op10_nnls_packing)}
+    return {f.__name__: f for f in (
+        op1_huffman, op2_quality_cascade, op3_unigram_language, op4_ppm, op5_url_templates, op6_mixing, op7_edit_counts, op8_simhash_trie, op9_exact_dedup, op10_nnls_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_quality_cascade": r"""
+            WITH t AS (SELECT doc_id, coalesce(text, '') AS t,
+                              list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+                       FROM documents),
+            v AS (SELECT row_number() OVER () AS r, * FROM t),
+            u AS (SELECT r, i, w[i:i + 4] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM v WHERE len(w) >= 5)),
+            d AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM u) WHERE n > 1),
+            p AS (SELECT r, sum(least(5, coalesce(nxt - i, 5))) AS n
+                  FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM d) GROUP BY r),
+            l AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup
+                  FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM v)
+                  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
+            f AS (SELECT doc_id, t, w, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+                         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                         coalesce(n_lines, 0) AS n_lines, coalesce(n_dup, 0)::BIGINT AS n_dup_lines,
+                         coalesce(p.n, 0)::BIGINT AS n_repeat_words
+                  FROM v LEFT JOIN l USING (r) LEFT JOIN p USING (r)),
+            b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
+            SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+                   NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 10 * n_dup_lines > 3 * n_lines
+                        OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+                        OR 2 * length(regexp_replace(t, '[^A-ZÀ-ÖØ-Þ]', '', 'g'))
+                           > length(regexp_replace(t, '[^A-Za-zÀ-ÖØ-öø-ÿ]', '', 'g'))
+                        OR 5 * len(regexp_extract_all(t, '!!')) > n_words
+                        OR 4 * len(list_distinct(w)) < least(n_words, 100)) AS kept
+            FROM b""",
         "op9_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
                    count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from harborline.llm.common import key_slices
+from harborline.llm.common import UID, key_slices, stored, with_uid
 from harborline.llm.components import components
 from harborline.session import materialize
 
@@ -208,3 +208,16 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     member = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(member.join(ids, "root").select("fp", "component_id"), "fp")
+
+
+def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without those whose component has a row of smaller key.
+
+    Rows that repeat a key are told apart by a row number; a NULL key is the last
+    choice.  All columns stay as they are.
+    """
+    order = F.struct(F.col(f"_row.{key}").isNull().alias("a"), F.col(f"_row.{key}").alias("k"), F.col(UID).alias("u"))
+    rows = stored(with_uid(docs.select(F.struct("*").alias("_row"))), "near_dedup")
+    found = simhash_components(rows.select(order.alias("key"), F.col(f"_row.{text}").alias("text")), "key", "text", **options)
+    drop = found.where("key != component_id").select(F.col("key.u").alias(UID))
+    return rows.join(drop, UID, "left_anti").select("_row.*")
