@@ -193,11 +193,22 @@ def read_token_file(spark: SparkSession, path: str, key_type: str) -> DataFrame:
     lengths = np.frombuffer(bytes(spark.read.parquet(f"{path}/codebook").first()["lengths"]), dtype=np.uint8)
     chunks = spark.read.parquet(f"{path}/chunks")
 
+    sizes = chunks.select("shard", "chunk", "n_ids")
+    in_shard = Window.partitionBy("shard").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(F.lit(1)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)   # one row per shard
+    shards = sizes.groupBy("shard").agg(F.sum("n_ids").alias("n")).select(
+        "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_at"))
+    places = sizes.join(shards, "shard").select(
+        "shard", "chunk", (F.col("shard_at") + F.coalesce(F.sum("n_ids").over(in_shard), F.lit(0))).cast("long").alias("at"))
+    # One small row per million ids; beyond the checked count the join shuffles the chunks, still compressed.
+    if sizes.count() <= 200_000:
+        places = F.broadcast(places)
+
     def decode(batches):
         decoder = None
         for batch in batches:
             decoder = decoder or Decoder(lengths)
-            for shard, chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for at, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 keys, n, ids = decoder.chunk(data)
                 key = pa.ipc.open_stream(keys).read_all().column(0).combine_chunks()
                 flat, ends = ids.astype("<u4").tobytes(), np.cumsum(n)
@@ -205,21 +216,12 @@ def read_token_file(spark: SparkSession, path: str, key_type: str) -> DataFrame:
                 for lo in range(0, len(n), 500):
                     hi = min(len(n), lo + 500)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(hi - lo, shard, dtype=np.int32)), pa.array(np.full(hi - lo, chunk, dtype=np.int32)),
-                         key.slice(lo, hi - lo), pa.array(starts[lo:hi]), pa.array(n[lo:hi]),
+                        [key.slice(lo, hi - lo), pa.array(at + starts[lo:hi]), pa.array(n[lo:hi]),
                          pa.array([flat[4 * a:4 * b] for a, b in zip(starts[lo:hi], ends[lo:hi])], pa.binary())],
-                        ["shard", "chunk", "key", "within", "n_tokens", "ids"])
+                        ["key", "start", "n_tokens", "ids"])
 
-    documents = chunks.select("shard", "chunk", "data").mapInArrow(
-        decode, f"shard int, chunk int, key {key_type}, within long, n_tokens long, ids binary")
-    sizes = chunks.select("shard", "chunk", "n_ids")
-    in_shard = Window.partitionBy("shard").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy(F.lit(1)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)   # one row per shard
-    shards = sizes.groupBy("shard").agg(F.sum("n_ids").alias("n")).select(
-        "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_at"))
-    places = sizes.select("shard", "chunk", F.coalesce(F.sum("n_ids").over(in_shard), F.lit(0)).alias("chunk_at")).join(shards, "shard")
-    return documents.join(places, ["shard", "chunk"]).select(
-        "key", (F.col("shard_at") + F.col("chunk_at") + F.col("within")).cast("long").alias("start"), "n_tokens", "ids")
+    return chunks.join(places, ["shard", "chunk"]).select("at", "data").mapInArrow(
+        decode, f"key {key_type}, start long, n_tokens long, ids binary")
 
 
 def store_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = "byte_bpe_50k.json",
