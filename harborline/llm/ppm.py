@@ -13,7 +13,7 @@ The trie is never in one place.  Its deepest entries are the distinct
 block's distinct grams and words with their training counts are what leaves it.
 Spark sums them; subtries are evaluated by the task that owns their last two context bytes
 (orders 0 and 1 have at most 256 x 256 entries and go everywhere); each block
-gets back a table of the values of its own grams and words, so documents are
+gets back the values of its own grams and words, so documents are
 scored locally.  What is exchanged grows with blocks, not with one node.
 """
 
@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -35,8 +36,12 @@ BLOCK_BYTES = 24 << 20
 PART_BYTES = 4 << 20           # texts turned into grams at once; a longer text is one part
 
 
+def squeeze(data: bytes) -> bytes:
+    return zstandard.compress(data, 3)
+
+
 def blocks_of(docs: DataFrame, key: str, text: str, train: Column) -> DataFrame:
-    """(block, key, train, t): texts lower-cased in A-Z, dealt to blocks in the order they are read."""
+    """(block, key, train, t): texts lower-cased in A-Z and compressed, dealt to blocks in the order they are read."""
 
     def run(batches):
         block, size = TaskContext.get().partitionId() << 32, 0
@@ -49,7 +54,8 @@ def blocks_of(docs: DataFrame, key: str, text: str, train: Column) -> DataFrame:
                     block, size = block + 1, 0
                 number[i], size = block, size + int(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(number), batch.column(0), batch.column(1), lower.cast(pa.binary())], ["block", "key", "train", "t"])
+                [pa.array(number), batch.column(0), batch.column(1),
+                 pa.array([squeeze(t) for t in lower.cast(pa.binary()).to_pylist()], pa.binary())], ["block", "key", "train", "t"])
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), train.alias("train"), F.coalesce(F.col(text), F.lit("")).alias("t"))
@@ -107,7 +113,7 @@ def block_keys(blocked: DataFrame) -> DataFrame:
         for batch in batches:
             block_of = batch.column(0).to_numpy()
             train_of = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            texts_of = batch.column(2).to_pylist()
+            texts_of = [zstandard.decompress(t) for t in batch.column(2).to_pylist()]
             for block in dict.fromkeys(block_of.tolist()):
                 if block != current:
                     yield from flush(current, words, found)
@@ -196,19 +202,52 @@ def gram_scores(gram: np.ndarray, count: np.ndarray, low: "Level") -> np.ndarray
     return out
 
 
-def score_grams(counts: DataFrame) -> DataFrame:
-    """(gram, value) of every gram that occurs, from summed training counts (gram, n)."""
+PACKED = "block long, words binary, grams binary, numbers binary, known long"
+
+
+def packed(block: np.ndarray, names: dict, numbers: np.ndarray, known: int) -> pa.RecordBatch:
+    """One row per block: its keys and their values, compressed; the first row carries ``known``."""
+    order = np.argsort(block, kind="stable")
+    cuts = np.flatnonzero(np.diff(block[order])) + 1
+    rows = [r for r in np.split(order, cuts) if len(r)]
+    pack = lambda make: [squeeze(make(r)) for r in rows]
+    words = pack(lambda r: b" ".join(names["word"].take(pa.array(r)).to_pylist())) if "word" in names else [None] * len(rows)
+    # Grams ascend within a block; their differences compress well.
+    grams_ = pack(lambda r: np.diff(names["gram"][r], prepend=0).tobytes()) if "gram" in names else [None] * len(rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(block[r[0]]) for r in rows], pa.int64()), pa.array(words, pa.binary()), pa.array(grams_, pa.binary()),
+         pa.array(pack(lambda r: numbers[r].astype("<f4" if "gram" in names else "<i8").tobytes()), pa.binary()),
+         pa.array([known] + [0] * (len(rows) - 1), pa.int64())], ["block", "words", "grams", "numbers", "known"])
+
+
+def pack_words(keys: DataFrame) -> DataFrame:
+    """Training counts of each block's words; every word is summed by the task that owns its hash."""
+
+    def run(batches):
+        for part in key_slices(batches, ["owner"], 200_000):
+            coded = part.column("word").combine_chunks().dictionary_encode()
+            code = coded.indices.to_numpy()
+            total = np.bincount(code, weights=part.column("n").to_numpy(), minlength=len(coded.dictionary))
+            yield packed(part.column("block").to_numpy(), {"word": part.column("word").combine_chunks()}, total[code], int((total > 0).sum()))
+
+    owned = keys.where("word IS NOT NULL").select(F.pmod(F.xxhash64("word"), F.lit(65_521)).alias("owner"), "block", "word", "n")
+    return owned.repartition("owner").sortWithinPartitions("owner").mapInArrow(run, PACKED)
+
+
+def pack_grams(keys: DataFrame) -> DataFrame:
+    """log10 probabilities of each block's grams, from the counts of all blocks."""
+    counts = keys.where("gram IS NOT NULL")
     pairs = counts.where("n > 0").groupBy((F.col("gram").bitwiseAND(0xFFFF)).alias("e")).agg(F.sum("n").alias("n")).collect()
     low = Level(np.array([r["e"] for r in pairs], dtype=np.int64), np.array([r["n"] for r in pairs], dtype=np.int64))
 
     def run(batches):
-        for part in key_slices(batches, ["suffix"], 100_000):
-            gram = part.column("gram").to_numpy()
-            value = gram_scores(gram, part.column("n").to_numpy(), low)
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(value)], ["gram", "value"])
+        for part in key_slices(batches, ["suffix"], 200_000):
+            gram, code = np.unique(part.column("gram").to_numpy(), return_inverse=True)
+            value = gram_scores(gram, np.bincount(code, weights=part.column("n").to_numpy()).astype(np.int64), low)
+            yield packed(part.column("block").to_numpy(), {"gram": part.column("gram").to_numpy()}, value[code], 0)
 
-    owned = counts.withColumn("suffix", F.shiftright("gram", 8).bitwiseAND(0xFFFF))
-    return owned.repartition("suffix").sortWithinPartitions("suffix", "gram").mapInArrow(run, "gram long, value double")
+    owned = counts.select(F.shiftright("gram", 8).bitwiseAND(0xFFFF).alias("suffix"), "block", "gram", "n")
+    return owned.repartition("suffix").sortWithinPartitions("suffix", "gram").mapInArrow(run, PACKED)
 
 
 def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -223,26 +262,22 @@ def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text
     blocked = blocks_of(docs, key, text, train)
     keys = block_keys(blocked)
     ends = blocked.where("train").count()
-    words = materialize(keys.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    seen, distinct = words.where("n > 0").agg(F.sum("n"), F.count("*")).first()
-    total, distinct = (seen or 0) + ends, distinct + (ends > 0)
-    values = score_grams(materialize(keys.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n")), "grams"))
-    known = keys.where("word IS NOT NULL").select("block", "word").join(words, "word").selectExpr(
-        "block", "word", "CAST(NULL AS bigint) AS gram", "CAST(n AS double) AS value")
-    known = known.unionByName(keys.where("gram IS NOT NULL").select("block", "gram").join(values, "gram").selectExpr(
-        "block", "CAST(NULL AS binary) AS word", "gram", "value"))
+    words = materialize(pack_words(keys), "packed_words")
+    seen = keys.where("word IS NOT NULL").agg(F.sum("n")).first()[0] or 0
+    total, distinct = seen + ends, (words.agg(F.sum("known")).first()[0] or 0) + (ends > 0)
+    values = words.unionByName(pack_grams(keys))
 
     def unigram(c):
         return np.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
 
     def run(documents: pa.Table, table: pa.Table) -> pa.Table:
-        is_word = pc.is_valid(table.column("word"))
-        names = table.filter(is_word)
-        count_of = names.column("value").to_numpy()
-        names = names.column("word").combine_chunks()
-        rest = table.filter(pc.invert(is_word))
-        index, value_of = pd.Index(rest.column("gram").to_numpy()), rest.column("value").to_numpy()
-        texts = documents.column("t").to_pylist()
+        opened = lambda c: [zstandard.decompress(x.as_py()) for x in table.column(c) if x.is_valid]
+        numbers = list(zip(table.column("words").is_valid().to_pylist(), opened("numbers")))
+        join = lambda word, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(x, kind) for w, x in numbers if w == word]])
+        names = pa.array([w for x in opened("words") for w in x.split(b" ")], pa.binary())
+        count_of, value_of = join(True, "<i8").astype(float), join(False, "<f4").astype(float)
+        index = pd.Index(np.concatenate([np.zeros(0, np.int64), *[np.cumsum(np.frombuffer(x, np.int64)) for x in opened("grams")]]))
+        texts = [zstandard.decompress(t) for t in documents.column("t").to_pylist()]
         n_tokens, n_known, base, scores = [], [], [], []
         for lo, hi in document_parts(texts):
             gram, n = grams(texts[lo:hi])
@@ -261,6 +296,6 @@ def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text
                 ("base_score", base, pa.float64()), ("score", scores, pa.float64()))}})
 
     kind = docs.schema[key].dataType.simpleString()
-    scored = blocked.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+    scored = blocked.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(
         run, f"key {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(total).cast("long"))
