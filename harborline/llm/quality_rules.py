@@ -96,7 +96,9 @@ def quality_cascade(docs: DataFrame, text: str = "text", keep: list[str] | None
     added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     names = [c for c in (keep if keep is not None else docs.columns) if c not in added]
     packed = docs.select(F.struct(*names).alias("_row"), F.col(text).alias("_text"))
-    sample = materialize(features(packed.select("_text").limit(sample_rows), [], "_text"), "rule_sample")
+    # One hash class in 16 before the limit: a limit alone would gather sample_rows of every partition.
+    some = packed.select("_text").where(F.pmod(F.xxhash64("_text"), F.lit(16)) == 0).limit(sample_rows)
+    sample = materialize(features(some, [], "_text"), "rule_sample")
     ordered = order_rules(sample, rules)
     judged = features(packed, ["_row"], "_text").withColumn("base_failed", F.expr(base))
     case = "CASE WHEN base_failed THEN false " + " ".join(f"WHEN {r.rejects} THEN false" for r in ordered) + " ELSE true END"
