@@ -33,7 +33,7 @@ from harborline.session import materialize
 ORDER = 5                      # context bytes; a gram has one more and fits 48 bits
 PAD, END = 0xFE, 0xFF          # bytes that UTF-8 never has: before a text, after it
 BLOCK_BYTES = 24 << 20
-PART_BYTES = 4 << 20           # texts turned into grams at once; a longer text is one part
+PART_BYTES = 2 << 20           # texts turned into grams at once; a longer text is one part
 
 
 def squeeze(data: bytes) -> bytes:
