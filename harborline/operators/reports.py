@@ -45,8 +45,9 @@ def top_categories(sales: DataFrame, n: int = 10) -> DataFrame:
 
 def regional_revenue(located: DataFrame) -> DataFrame:
     """Net orders and revenue per region; orphans show as ``unknown``."""
-    net = located.where(IS_NET).selectExpr("COALESCE(region, 'unknown') AS region", "order_id", "total_amount")
-    return _agg(net, ["region"], "COUNT(DISTINCT order_id) AS orders", "SUM(total_amount) AS revenue")
+    net = located.where(IS_NET).selectExpr("COALESCE(region, 'unknown') AS region", "total_amount")
+    # One row per order: counting rows needs no second shuffle.
+    return _agg(net, ["region"], "COUNT(*) AS orders", "SUM(total_amount) AS revenue")
 
 
 def quarantine_health(rejected: DataFrame) -> DataFrame:

@@ -35,9 +35,10 @@ def read_facebook(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Nested JSON, one document per file, flattened to one row per ad; USD.
 
     Numbers are read as the text they were written in.  An explicit null becomes
-    the text ``None``: delivered but no number, which cleaning flags.
+    the text ``None``: delivered but no number, which cleaning flags.  A truncated
+    document fails the read, so the earlier load of its file stays.
     """
-    documents = spark.read.schema(_FACEBOOK).option("multiLine", True).json(list(paths))
+    documents = spark.read.schema(_FACEBOOK).option("multiLine", True).option("mode", "FAILFAST").json(list(paths))
     ads = (
         documents.selectExpr("date_start", "EXPLODE(campaigns) AS c", "_metadata.file_name AS _source_file")
         .selectExpr("date_start", "c.campaign_id", "c.campaign_name", "EXPLODE(c.adsets) AS s", "_source_file")

@@ -39,12 +39,14 @@ def read_text_csv(spark: SparkSession, paths: list[str], columns: list[str]) ->
     """All files in one scan, every column text.
 
     ``enforceSchema=false`` makes each file's header prove names and order while
-    it is read, so the check costs no extra pass.  An empty field is NULL.
+    it is read, so the check costs no extra pass.  An empty field is NULL.  A row
+    with an extra or a missing field, such as half of a quoted line break, fails
+    the read.
     """
     return (
         spark.read.schema(text_schema(columns))
         .option("header", True).option("enforceSchema", False)
-        .option("escape", '"').option("emptyValue", "")
+        .option("escape", '"').option("emptyValue", "").option("mode", "FAILFAST")
         .csv(paths)
         .selectExpr(*[f"NULLIF(`{c}`, '') AS `{c}`" for c in columns], "_metadata.file_name AS _source_file")
     )
