@@ -117,10 +117,19 @@ def remainder(key: str, modulus: int) -> Column:
 
 
 def fit(docs: DataFrame, text: str, lang: str, order: Column, vocabulary: str, max_docs: int, rounds: int) -> tuple[list[str], np.ndarray]:
-    """Languages and piece probabilities (count + 1, languages), from at most ``max_docs`` documents of each language."""
+    """Languages and piece probabilities (count + 1, languages), from at most ``max_docs`` documents of each language.
+
+    A language's documents are those of smallest ``order``, a 64-bit hash; rows that
+    repeat a hash count once.  Only hashes below a bound that lets about twice ``max_docs``
+    pass leave the scan, so a language with most rows does not meet in one task.
+    """
+    rows = docs.select(F.col(lang).alias("l"), F.col(text).alias("t"), order.alias("o")).where("l IS NOT NULL AND t IS NOT NULL")
+    sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.approx_count_distinct("o").alias("n")).collect()}   # one row per language
+    bounds = F.lit(None).cast("long")
+    for name, n in sizes.items():
+        bounds = F.when(F.col("l") == name, F.lit(min(2**63 - 1, int(2**64 * 2 * max_docs / n) - 2**63))).otherwise(bounds)
     pick = Window.partitionBy("l").orderBy("o")
-    sample = docs.select(F.col(lang).alias("l"), F.col(text).alias("t"), order.alias("o")).where("l IS NOT NULL AND t IS NOT NULL").withColumn(
-        "r", F.row_number().over(pick)).where(F.col("r") <= max_docs)
+    sample = rows.where(F.col("o") <= bounds).dropDuplicates(["l", "o"]).withColumn("r", F.row_number().over(pick)).where(F.col("r") <= max_docs)
     counts = materialize(
         sample.select("l", F.explode(F.split(F.lower("t"), r"[^\p{L}]+")).alias("w")).where("w != ''").groupBy("l", "w").count(), "lang_words")
     names = sorted((r["l"] for r in counts.select("l").distinct().collect()), key=lambda s: s.encode())
@@ -204,12 +213,12 @@ def identify(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "t
     """One row per input row: key, train (as given), lang_pred and score, the posterior of lang_pred.
 
     Learns from rows where ``train`` holds and text and language are not NULL, at
-    most ``max_docs`` of each language, picked by a hash of the key.  Texts that are NULL or have no
+    most ``max_docs`` of each language, picked by a hash of key and text.  Texts that are NULL or have no
     letters, and all texts when nothing could be learned, are ``und`` with score
     0.  Ties go to the language first in code-point order.  Repeated rows get
     equal answers; an empty table gives an empty result.
     """
-    names, p = fit(docs.where(train), text, lang, F.struct(F.xxhash64(key), F.xxhash64(text)), vocabulary, max_docs, rounds)
+    names, p = fit(docs.where(train), text, lang, F.xxhash64(key, text), vocabulary, max_docs, rounds)
     model = uuid.uuid4().hex
 
     def run(batches):
