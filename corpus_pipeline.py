@@ -20,7 +20,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates, linked by SimHash, the one with the smallest doc_id stays."""
+    """Of texts whose five-word shingle sets are similar (0.8), found by SimHash, the one with the smallest doc_id stays."""
     common.settings(spark)
     return simhash_trie.keep_one_of_each(docs)
 

@@ -30,26 +30,49 @@ from harborline.session import materialize
 
 LEAF_PAIRS = 64          # node pairs with at most so many leaf pairs are compared leaf by leaf
 FRONTIER = 1 << 19       # node pairs walked at once
+SKETCH_BITS = 512        # of the fingerprints that stand for word-shingle similarity
+SLICE_DIFF = 3           # differing bits of a 32-bit slice of such a fingerprint
+# Odd multipliers, one per 64 bits of a sketch.
+LANES = np.arange(1, SKETCH_BITS // 32, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
-def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
-    """64-bit SimHash of the word shingles of UTF-8 bytes; 0 if there is no word."""
+def shingle_hashes(text: bytes, shingle: int, seed: int) -> np.ndarray:
+    """XXH64 of the word shingles of UTF-8 bytes; of the whole sequence if it is shorter, none without a word."""
     words = text.lower().split()
-    if not words:
-        return 0
     joined = b" ".join(words)
+    hash_of = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, seed)]
+        hashes = [hash_of(joined, seed)] if words else []
     else:
         ends = list(accumulate(len(w) + 1 for w in words))
         starts = [0, *ends]
-        hash_of = xxhash.xxh64_intdigest
         hashes = [hash_of(joined[a:b - 1], seed) for a, b in zip(starts, ends[shingle - 1:])]
-    bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.array(hashes, dtype="<u8")
+
+
+def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
+    """64-bit SimHash of the word shingles, repeats included; 0 if there is no word."""
+    hashes = shingle_hashes(text, shingle, seed)
+    if not len(hashes):
+        return 0
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     ones = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
     return int(np.packbits(ones, bitorder="little").view("<u8")[0])
 
 
+def sketch(text: bytes, shingle: int = 5, seed: int = 42) -> bytes:
+    """SimHash of SKETCH_BITS bits of the distinct word shingles; zeros if there is no word."""
+    hashes = np.unique(shingle_hashes(text, shingle, seed))
+    total = np.zeros(SKETCH_BITS, dtype=np.int64)
+    for lo in range(0, len(hashes), 255):   # byte-wide counters hold 255 rows
+        with np.errstate(over="ignore"):
+            x = hashes[lo:lo + 255, None] * LANES
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        bits = np.unpackbits((x ^ (x >> np.uint64(29))).view(np.uint8), axis=1)
+        total += bits.view(np.uint64).sum(axis=0).view(np.uint8)
+    return np.packbits(2 * total > len(hashes)).tobytes()
+
+
 def fingerprints(docs: DataFrame, key: str, text: str, shingle: int, seed: int) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -76,18 +99,37 @@ def _merge(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             parent = up
 
 
-def trie_links(leaves: np.ndarray, pairs: list[tuple], depth: int, budget: int) -> np.ndarray:
+def trie_links(leaves: np.ndarray, pairs: list[tuple], depth: int, budget: int,
+               sketches: np.ndarray | None = None, whole: int = 0) -> np.ndarray:
     """Parents of a spanning forest over ``leaves`` (sorted uint64) of all links below the node ``pairs``.
 
-    pairs: (a_lo, a_hi, b_lo, b_hi, errors) ranges of nodes at ``depth``.
+    pairs: (a_lo, a_hi, b_lo, b_hi, errors) ranges of nodes at ``depth``.  With
+    ``sketches``, rows of uint64, a link also needs at most ``whole`` differing bits there.
     """
     parent = np.arange(len(leaves))
     ones = {}
 
-    def compare(a0, a1, b0, b1):
+    def link(i, j):
         nonlocal parent
+        open_ = (i != j) & (parent[i] != parent[j])
+        i, j = i[open_], j[open_]
+        near = np.bitwise_count(leaves[i] ^ leaves[j]) <= budget
+        if sketches is not None:
+            i, j = i[near], j[near]
+            near = np.bitwise_count(sketches[i] ^ sketches[j]).sum(axis=1, dtype=np.int64) <= whole
+        if near.any():
+            parent = _merge(parent, i[near], j[near])
+
+    def compare(a0, a1, b0, b1):
         width = b1 - b0
         size = (a1 - a0) * width
+        for m in np.flatnonzero(size > 1 << 16):   # many equal leaves: row by row, so that what one row links is skipped by the next
+            j = np.arange(b0[m], b1[m])
+            for i in range(a0[m], a1[m]):
+                if (open_ := parent[j] != parent[i]).any():
+                    link(np.full(open_.sum(), i), j[open_])
+        fine = size <= 1 << 16
+        a0, b0, width, size = a0[fine], b0[fine], width[fine], size[fine]
         ends = np.cumsum(size)
         cut = 0
         while cut < len(size):
@@ -95,12 +137,7 @@ def trie_links(leaves: np.ndarray, pairs: list[tuple], depth: int, budget: int)
             n = size[cut:stop]
             row = np.repeat(np.arange(cut, stop), n)
             inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            i, j = a0[row] + inner // width[row], b0[row] + inner % width[row]
-            open_ = (i != j) & (parent[i] != parent[j])
-            i, j = i[open_], j[open_]
-            near = np.bitwise_count(leaves[i] ^ leaves[j]) <= budget
-            if near.any():
-                parent = _merge(parent, i[near], j[near])
+            link(a0[row] + inner // width[row], b0[row] + inner % width[row])
             cut = stop
 
     stack = [(depth, np.array(pairs, dtype=np.int64).reshape(-1, 5).T)]
@@ -146,49 +183,80 @@ def block_layout(max_diff: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
-def link_forest(distinct: DataFrame, max_diff: int, node_rows: int) -> DataFrame:
-    """(a, b): a spanning forest, per subtrie, of all pairs of fingerprints within ``max_diff`` bits."""
+def rotations(distinct: DataFrame, max_diff: int) -> tuple[DataFrame, list[int]]:
+    """(r, key, leaf, id) for every rotation r of every ``fp``, and the widths of the key blocks."""
     layout = block_layout(max_diff)
     rotated = [f"((fp << {at}) | shiftrightunsigned(fp, {64 - at}))" if at else "fp" for at, _ in layout]
-    keyed = distinct.select(F.explode(F.array(*[
+    keyed = distinct.select(F.col("fp").alias("id"), F.explode(F.array(*[
         F.expr(f"named_struct('r', {r}, 'key', shiftrightunsigned({rot}, {64 - width}), 'leaf', {rot})")
-        for r, (rot, (_, width)) in enumerate(zip(rotated, layout))])).alias("x")).select("x.*")
+        for r, (rot, (_, width)) in enumerate(zip(rotated, layout))])).alias("x")).select("x.*", "id")
+    return keyed, [width for _, width in layout]
+
+
+def slice_rotations(distinct: DataFrame) -> tuple[DataFrame, list[int]]:
+    """The same for the 32-bit slices of (id, sketch): a trie per slice and rotation by whole bytes; sketch stays."""
+
+    def spread(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=">u4").reshape(batch.num_rows, -1)
+            slices = sketches.astype(np.uint64)
+            for s in range(slices.shape[1]):
+                for turn in range(SLICE_DIFF + 1):
+                    at = np.uint64(8 * turn)
+                    x = ((slices[:, s] << at) | (slices[:, s] >> (np.uint64(32) - at))) & np.uint64(0xFFFFFFFF)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(x), (SLICE_DIFF + 1) * s + turn, dtype=np.int32)), pa.array((x >> np.uint64(24)).view(np.int64)),
+                        pa.array((x << np.uint64(32)).view(np.int64)), batch.column("id"), batch.column("sketch")],
+                        ["r", "key", "leaf", "id", "sketch"])
+
+    keyed = distinct.select("id", "sketch").mapInArrow(spread, "r int, key long, leaf long, id long, sketch binary")
+    return keyed, [8] * (SKETCH_BITS // 32 * (SLICE_DIFF + 1))
+
+
+def link_forest(keyed: DataFrame, widths: list[int], max_diff: int, node_rows: int, whole: int = 0) -> DataFrame:
+    """(a, b): a spanning forest, per subtrie, of all pairs of ids whose leaves are within ``max_diff`` bits.
+
+    keyed: r, key (the first ``widths[r]`` bits of the leaf), leaf, id, and
+    sketch if links are to be within ``whole`` bits there, too.
+    """
+    sketched = ["sketch"] if "sketch" in keyed.columns else []
     hot = keyed.groupBy("r", "key").count().where(F.col("count") > node_rows).select(
         "r", "key", F.least(F.lit(12), F.ceil(F.log2(F.col("count") / node_rows)) + 1).cast("int").alias("split"))
     hot = materialize(hot, "hot_nodes")
     # A list of at most rows / node_rows subtries; beyond the checked size it is joined by shuffle.
     keyed = keyed.join(F.broadcast(hot) if hot.count() <= 10_000 else hot, ["r", "key"], "left").withColumn(
         "split", F.coalesce("split", F.lit(0)))
-    widths = "array(" + ",".join(str(w) for _, w in layout) + ")"
-    node = f"CASE WHEN split = 0 THEN 0L ELSE shiftrightunsigned(leaf << {widths}[r], 64 - split) END"
+    width_of = "array(" + ",".join(map(str, widths)) + ")"
+    node = f"CASE WHEN split = 0 THEN 0L ELSE shiftrightunsigned(leaf << {width_of}[r], 64 - split) END"
     keyed = keyed.withColumn("node", F.expr(node)).withColumn(
         "other", F.expr(f"explode(filter(sequence(0L, shiftleft(1L, split) - 1L), y -> bit_count(y ^ node) <= {max_diff}))"))
-    keyed = keyed.selectExpr("r", "key", "least(node, other) AS x", "greatest(node, other) AS y", "node", "leaf", "split")
+    keyed = keyed.selectExpr("r", "key", "least(node, other) AS x", "greatest(node, other) AS y", "node", "leaf", "split", "id", *sketched)
 
     def walk(batches):
         for part in key_slices(batches, ["r", "key", "x", "y"], 200_000):
-            columns = {c: part.column(c).to_numpy() for c in part.column_names}
+            columns = {c: part.column(c).to_numpy() for c in part.column_names if c != "sketch"}
+            sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(part), -1) if sketched else None
             r_of, x, y, node = (columns[c] for c in ("r", "x", "y", "node"))
             leaf = columns["leaf"].view(np.uint64)
             change = np.flatnonzero(np.concatenate([[True], np.any([columns[c][1:] != columns[c][:-1] for c in ("r", "key", "x", "y", "node")], axis=0)]))
             ends = np.append(change[1:], len(leaf))
-            for r in np.unique(r_of):
-                at, width = layout[r]
-                for split in np.unique(columns["split"][r_of == r]):
-                    mine = np.flatnonzero((r_of[change] == r) & (columns["split"][change] == split))
-                    own = mine[x[change[mine]] == y[change[mine]]]
-                    pairs = [(change[m], ends[m], change[m], ends[m], 0) for m in own if ends[m] - change[m] > 1]
-                    for m in mine[:-1]:
-                        n = m + 1
-                        if x[change[m]] != y[change[m]] and n < len(change) and all(
-                                columns[c][change[m]] == columns[c][change[n]] for c in ("r", "key", "x", "y")):
-                            pairs.append((change[m], ends[m], change[n], ends[n], int(x[change[m]] ^ y[change[m]]).bit_count()))
-                    if not pairs:
-                        continue
-                    parent = trie_links(leaf, pairs, width + int(split), max_diff)
-                    child = np.flatnonzero(parent != np.arange(len(parent)))
-                    back = lambda v: ((v >> np.uint64(at)) | (v << np.uint64(64 - at)) if at else v).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(back(leaf[child])), pa.array(back(leaf[parent[child]]))], ["a", "b"])
+            # Subtries of one depth are walked together.
+            depths = (np.array(widths)[r_of] + columns["split"])[change]
+            for depth in np.unique(depths):
+                mine = np.flatnonzero(depths == depth)
+                single = x[change[mine]] == y[change[mine]]
+                pairs = [(change[m], ends[m], change[m], ends[m], 0) for m in mine[single] if ends[m] - change[m] > 1]
+                for m in mine[~single]:
+                    n = m + 1
+                    if n < len(change) and all(columns[c][change[m]] == columns[c][change[n]] for c in ("r", "key", "x", "y")):
+                        pairs.append((change[m], ends[m], change[n], ends[n], int(x[change[m]] ^ y[change[m]]).bit_count()))
+                if not pairs:
+                    continue
+                parent = trie_links(leaf, pairs, int(depth), max_diff, sketches, whole)
+                child = np.flatnonzero(parent != np.arange(len(parent)))
+                yield pa.RecordBatch.from_arrays([pa.array(columns["id"][child]), pa.array(columns["id"][parent[child]])], ["a", "b"])
 
     return keyed.repartition("r", "key", "x", "y").sortWithinPartitions(
         "r", "key", "x", "y", "node", F.expr("leaf ^ (-9223372036854775807L - 1L)")).mapInArrow(walk, "a long, b long")
@@ -204,20 +272,45 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     rows = materialize(fingerprints(docs, key, text, shingle, seed), "fingerprints")
     distinct = materialize(rows.groupBy("fp").agg(F.min("key").alias("least")), "distinct")
-    found = components(link_forest(distinct.select("fp"), max_diff, node_rows), "a", "b")
+    found = components(link_forest(*rotations(distinct, max_diff), max_diff, node_rows), "a", "b")
     member = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(member.join(ids, "root").select("fp", "component_id"), "fp")
 
 
+def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, seed: int = 42,
+                       whole: int = 88, node_rows: int = 1_000_000) -> DataFrame:
+    """One row per input row: key and component_id, links being texts of similar shingle sets.
+
+    Sets of Jaccard similarity 0.8 differ in 15 % of SimHash bits.  Texts have SKETCH_BITS
+    bits; each 32-bit slice goes through tries with an error budget of SLICE_DIFF, and a
+    pair that meets in one of them is linked if at most ``whole`` of all bits differ.
+    Edge cases as in ``simhash_components``; texts without words are alike.
+    """
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([sketch(t, shingle, seed) for t in batch.column(1).to_pylist()], pa.binary())], ["key", "sketch"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    rows = materialize(docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t")).mapInArrow(
+        run, f"key {kind}, sketch binary"), "sketches")
+    distinct = materialize(rows.groupBy("sketch").agg(F.min("key").alias("least")).withColumn("id", F.monotonically_increasing_id()), "distinct")
+    found = components(link_forest(*slice_rotations(distinct), SLICE_DIFF, node_rows, whole), "a", "b")
+    member = distinct.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows.join(member.join(ids, "root").select("sketch", "component_id"), "sketch").select("key", "component_id")
+
+
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without those whose component has a row of smaller key.
+    """The rows of ``docs`` without those whose component (``similar_components``) has a row of smaller key.
 
     Rows that repeat a key are told apart by a row number; a NULL key is the last
     choice.  All columns stay as they are.
     """
     order = F.struct(F.col(f"_row.{key}").isNull().alias("a"), F.col(f"_row.{key}").alias("k"), F.col(UID).alias("u"))
     rows = stored(with_uid(docs.select(F.struct("*").alias("_row"))), "near_dedup")
-    found = simhash_components(rows.select(order.alias("key"), F.col(f"_row.{text}").alias("text")), "key", "text", **options)
+    found = similar_components(rows.select(order.alias("key"), F.col(f"_row.{text}").alias("text")), "key", "text", **options)
     drop = found.where("key != component_id").select(F.col("key.u").alias(UID))
     return rows.join(drop, UID, "left_anti").select("_row.*")
