@@ -17,6 +17,8 @@ from harborline.schemas import RAW_COLUMNS
 from harborline.sources.discovery import Delivery
 
 _UNIFIED = RAW_COLUMNS["ad_performance"]
+# The columns of a Google report.
+_GOOGLE_COLUMNS = ["Campaign", "Cost", "Impr.", "Clicks", "Conv.", "Day"]
 
 
 def _text_fields(*names: str) -> list[StructField]:
@@ -77,21 +79,39 @@ def _headed_csv(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
 
 
 def read_google(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Two lines of report metadata, a header, DD/MM/YYYY dates, THB, no ids."""
-    # Metadata lines fill the first column only; the header repeats its names.
-    names = ["Campaign", "Cost", "Impr.", "Clicks", "Conv.", "Day"]
-    schema = StructType(_text_fields("campaign", "cost", "impr", "clicks", "conv", "day"))
-    rows = (
-        spark.read.schema(schema).option("escape", '"').csv(list(paths))
-        .selectExpr("*", "_metadata.file_name AS _source_file")
-        .where("COALESCE(cost, impr, clicks, conv, day) IS NOT NULL")
-        .where(f"NOT (campaign <=> '{names[0]}' AND day <=> '{names[-1]}')")
-    )
-    return rows.selectExpr(
-        "CAST(TO_DATE(day, 'dd/MM/yyyy') AS STRING) AS report_date", "'google' AS platform",
-        "CAST(NULL AS STRING) AS campaign_id", "CAST(NULL AS STRING) AS ad_id", "campaign AS campaign_name",
-        "cost AS spend", "'THB' AS currency", "impr AS impressions", "clicks", "conv AS conversions", "_source_file",
-    )
+    """Two lines of report metadata, a header, DD/MM/YYYY dates, THB, no ids.
+
+    Columns are found by name in the third line of each file; files with the same
+    header share one scan.  A file without its columns, and a row with more or
+    fewer fields than the header, fails the read.
+    """
+    heads = spark.read.text(list(paths)).where("TRIM(value) != '' AND _metadata.file_block_start = 0").selectExpr(
+        "_metadata.file_path AS path", "MONOTONICALLY_INCREASING_ID() AS n", "value"
+    ).selectExpr("*", "ROW_NUMBER() OVER (PARTITION BY path ORDER BY n) AS k").where("k <= 3").groupBy("path").agg(
+        F.expr("ARRAY_SORT(COLLECT_LIST(STRUCT(k, value))).value AS lines"))
+    by_header: dict[str, tuple[list[str], set[str]]] = {}
+    for path, lines in heads.collect():  # three lines per file
+        received = [c.strip().strip('"') for c in lines[-1].split(",")]
+        if len(lines) < 3 or sorted(received) != sorted(_GOOGLE_COLUMNS):
+            raise ValueError(f"schema mismatch in {path}: expected {_GOOGLE_COLUMNS}, received {received}")
+        members, above = by_header.setdefault(lines[-1], ([], set()))
+        members.append(path)
+        above.update(lines)
+    parts = []
+    for header, (members, above) in by_header.items():
+        schema = ", ".join(f"`{c.strip().strip(chr(34))}` STRING" for c in header.split(","))
+        rows = (
+            spark.read.text(members).where("TRIM(value) != ''").where(~F.col("value").isin(*above))
+            .select(F.from_csv("value", schema, {"escape": '"', "mode": "FAILFAST"}).alias("r"),
+                    F.col("_metadata.file_name").alias("_source_file"))
+        )
+        parts.append(rows.selectExpr(
+            "CAST(TO_DATE(r.Day, 'dd/MM/yyyy') AS STRING) AS report_date", "'google' AS platform",
+            "CAST(NULL AS STRING) AS campaign_id", "CAST(NULL AS STRING) AS ad_id", "r.Campaign AS campaign_name",
+            "r.Cost AS spend", "'THB' AS currency", "r.`Impr.` AS impressions", "r.Clicks AS clicks",
+            "r.`Conv.` AS conversions", "_source_file",
+        ))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_tiktok(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
