@@ -13,6 +13,11 @@ Links are reduced to a spanning forest where they are found, and node pairs
 whose leaves are already in one component are dropped, so a group of near copies
 costs neither its square in rows nor, mostly, in time.  Subtries with more than
 ``node_rows`` leaves are split further into node pairs that different tasks walk.
+
+Word-shingle similarity takes a longer fingerprint, and there it only proposes:
+every link is a pair of texts whose shingle sets were compared exactly.  Neighbours
+in the sorted order of each slice are compared first; the tries then give all near
+pairs of different components so far.
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ LEAF_PAIRS = 64          # node pairs with at most so many leaf pairs are compar
 FRONTIER = 1 << 19       # node pairs walked at once
 SKETCH_BITS = 512        # of the fingerprints that stand for word-shingle similarity
 SLICE_DIFF = 3           # differing bits of a 32-bit slice of such a fingerprint
+LISTED = 500_000         # row numbers that are broadcast at most
 # Odd multipliers, one per 64 bits of a sketch.
 LANES = np.arange(1, SKETCH_BITS // 32, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
@@ -62,7 +68,10 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
 
 def sketch(text: bytes, shingle: int = 5, seed: int = 42) -> bytes:
     """SimHash of SKETCH_BITS bits of the distinct word shingles; zeros if there is no word."""
-    hashes = np.unique(shingle_hashes(text, shingle, seed))
+    return set_sketch(np.unique(shingle_hashes(text, shingle, seed)))
+
+
+def set_sketch(hashes: np.ndarray) -> bytes:
     total = np.zeros(SKETCH_BITS, dtype=np.int64)
     for lo in range(0, len(hashes), 255):   # byte-wide counters hold 255 rows
         with np.errstate(over="ignore"):
@@ -106,19 +115,27 @@ def trie_links(leaves: np.ndarray, pairs: list[tuple], depth: int, budget: int,
     pairs: (a_lo, a_hi, b_lo, b_hi, errors) ranges of nodes at ``depth``.  With
     ``sketches``, rows of uint64, a link also needs at most ``whole`` differing bits there.
     """
-    parent = np.arange(len(leaves))
+    groups = [np.arange(len(leaves))]
+    for i, j in near_pairs(leaves, pairs, depth, budget, groups, sketches, whole):
+        groups[0] = _merge(groups[0], i, j)
+    return groups[0]
+
+
+def near_pairs(leaves: np.ndarray, pairs: list[tuple], depth: int, budget: int, groups: list[np.ndarray],
+               sketches: np.ndarray | None = None, whole: int = 0):
+    """Arrays (i, j) of all links of ``trie_links`` between leaves of different ``groups[0]``, which the caller may merge meanwhile."""
     ones = {}
 
-    def link(i, j):
-        nonlocal parent
-        open_ = (i != j) & (parent[i] != parent[j])
+    def near_of(i, j):
+        parent = groups[0]
+        open_ = parent[i] != parent[j]
         i, j = i[open_], j[open_]
         near = np.bitwise_count(leaves[i] ^ leaves[j]) <= budget
         if sketches is not None:
             i, j = i[near], j[near]
             near = np.bitwise_count(sketches[i] ^ sketches[j]).sum(axis=1, dtype=np.int64) <= whole
         if near.any():
-            parent = _merge(parent, i[near], j[near])
+            yield i[near], j[near]
 
     def compare(a0, a1, b0, b1):
         width = b1 - b0
@@ -126,8 +143,8 @@ def trie_links(leaves: np.ndarray, pairs: list[tuple], depth: int, budget: int,
         for m in np.flatnonzero(size > 1 << 16):   # many equal leaves: row by row, so that what one row links is skipped by the next
             j = np.arange(b0[m], b1[m])
             for i in range(a0[m], a1[m]):
-                if (open_ := parent[j] != parent[i]).any():
-                    link(np.full(open_.sum(), i), j[open_])
+                if (open_ := groups[0][j] != groups[0][i]).any():
+                    yield from near_of(np.full(open_.sum(), i), j[open_])
         fine = size <= 1 << 16
         a0, b0, width, size = a0[fine], b0[fine], width[fine], size[fine]
         ends = np.cumsum(size)
@@ -137,7 +154,7 @@ def trie_links(leaves: np.ndarray, pairs: list[tuple], depth: int, budget: int,
             n = size[cut:stop]
             row = np.repeat(np.arange(cut, stop), n)
             inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            link(a0[row] + inner // width[row], b0[row] + inner % width[row])
+            yield from near_of(a0[row] + inner // width[row], b0[row] + inner % width[row])
             cut = stop
 
     stack = [(depth, np.array(pairs, dtype=np.int64).reshape(-1, 5).T)]
@@ -148,11 +165,12 @@ def trie_links(leaves: np.ndarray, pairs: list[tuple], depth: int, budget: int,
                 stack.append((depth, np.stack([x[lo:lo + FRONTIER] for x in (a0, a1, b0, b1, err)])))
             continue
         # Node pairs inside one component hold nothing new.
+        parent = groups[0]
         steps = np.concatenate([[0], np.cumsum(parent[1:] != parent[:-1])])
         done = (steps[a0] == steps[a1 - 1]) & (steps[b0] == steps[b1 - 1]) & (parent[a0] == parent[b0])
         small = ~done & (((a1 - a0) * (b1 - b0) <= LEAF_PAIRS) | (depth >= 64))
         if small.any():
-            compare(a0[small], a1[small], b0[small], b1[small])
+            yield from compare(a0[small], a1[small], b0[small], b1[small])
         rest = ~done & ~small
         if not rest.any():
             continue
@@ -173,7 +191,6 @@ def trie_links(leaves: np.ndarray, pairs: list[tuple], depth: int, budget: int,
                 ok &= only
             grown.append(np.stack([x0[ok], x1[ok], y0[ok], y1[ok], e[ok]]))
         stack.append((depth + 1, np.concatenate(grown, axis=1)))
-    return parent
 
 
 def block_layout(max_diff: int) -> list[tuple[int, int]]:
@@ -194,7 +211,7 @@ def rotations(distinct: DataFrame, max_diff: int) -> tuple[DataFrame, list[int]]
 
 
 def slice_rotations(distinct: DataFrame) -> tuple[DataFrame, list[int]]:
-    """The same for the 32-bit slices of (id, sketch): a trie per slice and rotation by whole bytes; sketch stays."""
+    """The same for the 32-bit slices of (id, part, sketch): a trie per slice and rotation by whole bytes; part and sketch stay."""
 
     def spread(batches):
         for batch in batches:
@@ -208,20 +225,21 @@ def slice_rotations(distinct: DataFrame) -> tuple[DataFrame, list[int]]:
                     x = ((slices[:, s] << at) | (slices[:, s] >> (np.uint64(32) - at))) & np.uint64(0xFFFFFFFF)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(len(x), (SLICE_DIFF + 1) * s + turn, dtype=np.int32)), pa.array((x >> np.uint64(24)).view(np.int64)),
-                        pa.array((x << np.uint64(32)).view(np.int64)), batch.column("id"), batch.column("sketch")],
-                        ["r", "key", "leaf", "id", "sketch"])
+                        pa.array((x << np.uint64(32)).view(np.int64)), batch.column("id"), batch.column("part"), batch.column("sketch")],
+                        ["r", "key", "leaf", "id", "part", "sketch"])
 
-    keyed = distinct.select("id", "sketch").mapInArrow(spread, "r int, key long, leaf long, id long, sketch binary")
+    keyed = distinct.select("id", "part", "sketch").mapInArrow(spread, "r int, key long, leaf long, id long, part long, sketch binary")
     return keyed, [8] * (SKETCH_BITS // 32 * (SLICE_DIFF + 1))
 
 
 def link_forest(keyed: DataFrame, widths: list[int], max_diff: int, node_rows: int, whole: int = 0) -> DataFrame:
     """(a, b): a spanning forest, per subtrie, of all pairs of ids whose leaves are within ``max_diff`` bits.
 
-    keyed: r, key (the first ``widths[r]`` bits of the leaf), leaf, id, and
-    sketch if links are to be within ``whole`` bits there, too.
+    keyed: r, key (the first ``widths[r]`` bits of the leaf), leaf, id.  With part
+    and sketch, not a forest but all such pairs of different parts whose sketches are
+    within ``whole`` bits, too; a pair may come from several tries.
     """
-    sketched = ["sketch"] if "sketch" in keyed.columns else []
+    sketched = ["part", "sketch"] if "sketch" in keyed.columns else []
     hot = keyed.groupBy("r", "key").count().where(F.col("count") > node_rows).select(
         "r", "key", F.least(F.lit(12), F.ceil(F.log2(F.col("count") / node_rows)) + 1).cast("int").alias("split"))
     hot = materialize(hot, "hot_nodes")
@@ -254,7 +272,11 @@ def link_forest(keyed: DataFrame, widths: list[int], max_diff: int, node_rows: i
                         pairs.append((change[m], ends[m], change[n], ends[n], int(x[change[m]] ^ y[change[m]]).bit_count()))
                 if not pairs:
                     continue
-                parent = trie_links(leaf, pairs, int(depth), max_diff, sketches, whole)
+                if sketched:
+                    for i, j in near_pairs(leaf, pairs, int(depth), max_diff, [columns["part"]], sketches, whole):
+                        yield pa.RecordBatch.from_arrays([pa.array(columns["id"][i]), pa.array(columns["id"][j])], ["a", "b"])
+                    continue
+                parent = trie_links(leaf, pairs, int(depth), max_diff)
                 child = np.flatnonzero(parent != np.arange(len(parent)))
                 yield pa.RecordBatch.from_arrays([pa.array(columns["id"][child]), pa.array(columns["id"][parent[child]])], ["a", "b"])
 
@@ -278,29 +300,102 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return rows.join(member.join(ids, "root").select("fp", "component_id"), "fp")
 
 
-def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, seed: int = 42,
-                       whole: int = 88, node_rows: int = 1_000_000) -> DataFrame:
-    """One row per input row: key and component_id, links being texts of similar shingle sets.
+def sorted_neighbours(distinct: DataFrame, whole: int) -> DataFrame:
+    """(a, b): neighbours in the order of the sketches from each 32-bit slice on that differ in at most ``whole`` bits."""
 
-    Sets of Jaccard similarity 0.8 differ in 15 % of SimHash bits.  Texts have SKETCH_BITS
-    bits; each 32-bit slice goes through tries with an error budget of SLICE_DIFF, and a
-    pair that meets in one of them is linked if at most ``whole`` of all bits differ.
-    Edge cases as in ``simhash_components``; texts without words are alike.
-    """
+    def spread(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=">u4").reshape(batch.num_rows, -1).astype(np.uint64)
+            for s in range(sketches.shape[1]):
+                x = (sketches[:, s] << np.uint64(32)) | sketches[:, (s + 1) % sketches.shape[1]]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(x), s, dtype=np.int32)), pa.array((x >> np.uint64(52)).view(np.int64)),
+                    pa.array(x.view(np.int64)), batch.column("id"), batch.column("sketch")], ["r", "key", "leaf", "id", "sketch"])
 
     def run(batches):
+        last, bits = np.zeros(0, dtype=np.int64), np.zeros((0, SKETCH_BITS // 64), dtype=np.uint64)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([sketch(t, shingle, seed) for t in batch.column(1).to_pylist()], pa.binary())], ["key", "sketch"])
+            if not batch.num_rows:
+                continue
+            ids = np.concatenate([last, batch.column("id").to_numpy()])
+            bits = np.concatenate([bits, np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1)])
+            near = np.bitwise_count(bits[1:] ^ bits[:-1]).sum(axis=1, dtype=np.int64) <= whole
+            yield pa.RecordBatch.from_arrays([pa.array(ids[1:][near]), pa.array(ids[:-1][near])], ["a", "b"])
+            last, bits = ids[-1:], bits[-1:]
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = materialize(docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t")).mapInArrow(
-        run, f"key {kind}, sketch binary"), "sketches")
-    distinct = materialize(rows.groupBy("sketch").agg(F.min("key").alias("least")).withColumn("id", F.monotonically_increasing_id()), "distinct")
-    found = components(link_forest(*slice_rotations(distinct), SLICE_DIFF, node_rows, whole), "a", "b")
+    keyed = distinct.select("id", "sketch").mapInArrow(spread, "r int, key long, leaf long, id long, sketch binary")
+    return keyed.repartition("r", "key").sortWithinPartitions("r", "key", "leaf").select("id", "sketch").mapInArrow(run, "a long, b long")
+
+
+def similar_sets(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the Jaccard similarity of two arrays of distinct values is 0.8 or more."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 5 * common >= 4 * (len(a) + len(b) - common)
+
+
+def verified(pairs: DataFrame, rows: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """Those of the pairs (a, b) of row numbers whose texts have ``similar_sets`` of shingles."""
+
+    def sets(batches):
+        for batch in batches:
+            hashes = [np.unique(shingle_hashes(t, shingle, seed)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary())], ["id", "hashes"])
+
+    def compare(batches):
+        for batch in batches:
+            of = lambda c: [np.frombuffer(x, dtype="<u8") for x in batch.column(c).to_pylist()]
+            ok = np.array([similar_sets(x, y) for x, y in zip(of("of_a"), of("of_b"))], dtype=bool)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
+
+    pairs = materialize(pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct(), "candidates")
+    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias(UID)).distinct(), "wanted")
+    texts = rows.join(F.broadcast(wanted) if wanted.count() <= LISTED else wanted, UID, "left_semi")
+    hashed = materialize(texts.select(UID, F.coalesce("text", F.lit("")).cast("binary").alias("t")).mapInArrow(
+        sets, "id long, hashes binary"), "shingle_sets")
+    both = pairs.join(hashed.select(F.col("id").alias("a"), F.col("hashes").alias("of_a")), "a").join(
+        hashed.select(F.col("id").alias("b"), F.col("hashes").alias("of_b")), "b")
+    return materialize(both.select("a", "b", "of_a", "of_b").mapInArrow(compare, "a long, b long"), "similar")
+
+
+def similar_rows(rows: DataFrame, shingle: int = 5, seed: int = 42, whole: int = 88, node_rows: int = 1_000_000) -> DataFrame:
+    """``similar_components`` of a stored table of row number, key and text; the row number stays, too."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, shingle, seed)) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(map(set_sketch, sets), pa.binary()),
+                 pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary())], [UID, "key", "sketch", "same"])
+
+    kind = rows.schema["key"].dataType.simpleString()
+    sketched = materialize(rows.select(UID, "key", F.coalesce("text", F.lit("")).cast("binary").alias("t")).mapInArrow(
+        run, f"{UID} long, key {kind}, sketch binary, same binary"), "sketches")
+    # Equal shingle sets are one leaf.
+    distinct = materialize(sketched.groupBy("same").agg(
+        F.min("key").alias("least"), F.min(UID).alias("id"), F.first("sketch").alias("sketch")), "distinct")
+    sure = verified(sorted_neighbours(distinct, whole), rows, shingle, seed)
+    parts = components(sure, "a", "b").selectExpr("node AS id", "root AS part")
+    leaves = materialize(distinct.select("id", "sketch").join(parts, "id", "left").withColumn("part", F.coalesce("part", "id")), "leaves")
+    links = sure.union(verified(link_forest(*slice_rotations(leaves), SLICE_DIFF, node_rows, whole), rows, shingle, seed))
+    found = components(links, "a", "b")
     member = distinct.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(member.join(ids, "root").select("sketch", "component_id"), "sketch").select("key", "component_id")
+    return sketched.join(member.join(ids, "root").select("same", "component_id"), "same").select(UID, "key", "component_id")
+
+
+def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per input row: key and component_id, links being texts whose shingle sets have a Jaccard similarity of 0.8 or more.
+
+    Such sets differ in up to 15 % of SimHash bits.  Texts have SKETCH_BITS bits; each
+    32-bit slice goes through tries with an error budget of SLICE_DIFF.  A pair that
+    meets in one of them and differs in at most ``whole`` of all bits is a candidate, and
+    is linked if the sets themselves, as 64-bit hashes, are similar.
+    Edge cases as in ``simhash_components``; texts without words are alike.
+    """
+    rows = stored(with_uid(docs.select(F.col(key).alias("key"), F.col(text).alias("text"))), "near_texts")
+    return similar_rows(rows, **options).select("key", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -311,6 +406,6 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     """
     order = F.struct(F.col(f"_row.{key}").isNull().alias("a"), F.col(f"_row.{key}").alias("k"), F.col(UID).alias("u"))
     rows = stored(with_uid(docs.select(F.struct("*").alias("_row"))), "near_dedup")
-    found = similar_components(rows.select(order.alias("key"), F.col(f"_row.{text}").alias("text")), "key", "text", **options)
-    drop = found.where("key != component_id").select(F.col("key.u").alias(UID))
+    found = similar_rows(rows.select(UID, order.alias("key"), F.col(f"_row.{text}").alias("text")), **options)
+    drop = found.where("key != component_id").select(UID)
     return rows.join(drop, UID, "left_anti").select("_row.*")

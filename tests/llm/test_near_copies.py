@@ -67,3 +67,17 @@ def test_sketch_is_the_majority_of_distinct_shingles():
     assert sketch(b"A b  C\td e f") == sketch(b"a b c d e f")
     assert sketch(b"") == bytes(SKETCH_BITS // 8) == sketch(b" \n ")
     assert sketch((text + " " + text).encode()) != bytes(SKETCH_BITS // 8)
+
+
+def sharing(common, own, dice):
+    """Texts with ``common`` shingles in common and so many of their own, one text per entry of ``own``."""
+    words = [f"c{dice.randrange(10**9)}" for _ in range(common + 4)]
+    return [" ".join(words + [f"o{dice.randrange(10**9)}" for _ in range(n)]) for n in own]
+
+
+def test_texts_that_share_a_passage_below_the_similarity_stay(spark):
+    texts = sharing(140, [30] * 20, random.Random(5))
+    assert all(len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) == 0.7 for a in texts for b in texts if a != b)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for node_rows in (1_000_000, 2):
+        assert keep_one_of_each(docs, node_rows=node_rows).count() == 20
