@@ -81,3 +81,16 @@ def test_texts_that_share_a_passage_below_the_similarity_stay(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for node_rows in (1_000_000, 2):
         assert keep_one_of_each(docs, node_rows=node_rows).count() == 20
+
+
+def test_pairs_just_above_the_similarity_are_linked(spark):
+    dice = random.Random(6)
+    texts = []
+    for common, *own in [(400, 50, 50), (200, 25, 25), (85, 10, 10), (40, 4, 4), (20, 2, 3), (12, 1, 2), (12, 0, 3)]:
+        for _ in range(60):
+            a, b = sharing(common, own, dice)
+            assert 0.8 <= len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) < 0.85
+            texts += [a, b]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["key"]: r["component_id"] for r in similar_components(docs).collect()}
+    assert found == {i: i - i % 2 for i in range(len(texts))}
