@@ -47,7 +47,7 @@ def features(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     k = WINDOW - 1
     step = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("t"))
     step = step.withColumn("w", F.expr(words_column("t")))
-    step = step.withColumn("lines", F.expr(r"filter(split(t, '\n'), x -> trim(BOTH ' \t\n\u000B\f\r' FROM x) != '')"))
+    step = step.withColumn("lines", F.expr(r"filter(split(t, '\n'), x -> trim(BOTH ' \t\n\u000B\u000C\r' FROM x) != '')"))
     window = ", ".join(f"w[i + {j}]" for j in range(WINDOW))
     step = step.withColumns({
         "n_words": F.expr("cast(size(w) AS bigint)"),

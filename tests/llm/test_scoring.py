@@ -125,6 +125,18 @@ def test_quality_features_and_cascade(spark):
     assert quality_rules.quality_cascade(frame(spark, [])).collect() == []
 
 
+def test_lines_of_f_count_and_form_feeds_do_not(spark):
+    body = "\n".join(f"alpha{i} beta{i} gamma{i} delta{i} epsilon{i}" for i in range(4))
+    texts = [body + "\nf\nff\nf\nff", body + "\n\f" * 4, body + "\n \f\v\t" * 4, "\f", "f"]
+    rows = [(i, t, "en", "s", 0, *[None] * 6) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in quality_rules.quality_cascade(frame(spark, rows)).collect()}
+    assert [got[i]["n_dup_lines"] for i in range(5)] == [2, 0, 0, 0, 0]
+    assert [got[i]["n_words"] for i in range(5)] == [24, 20, 20, 0, 1]
+    assert got[1]["kept"] and got[2]["kept"]
+    counted = quality_rules.features(frame(spark, rows), ["doc_id"]).select("doc_id", "n_lines").collect()
+    assert dict(map(tuple, counted)) == {0: 8, 1: 4, 2: 4, 3: 0, 4: 1}
+
+
 def test_rules_are_ordered_by_rejection_per_cost(spark):
     rules = (quality_rules.Rule("never", "n_words < 0"), quality_rules.Rule("always", "n_words >= 0"))
     sample = quality_rules.features(frame(spark, awkward()), []).cache()
