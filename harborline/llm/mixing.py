@@ -3,7 +3,9 @@
 1. The words of a source form one sequence, documents in key order; it is cut
    into blocks of ``block_words`` words (the last may be short).
 2. Sources get targets by weight; none exceeds ``max_repeats`` times its size,
-   the excess is reshared by weight.  Targets become block quotas.
+   the excess is reshared by weight.  Targets become whole words and block
+   quotas, short last blocks counted as such; the last draw of a source is cut
+   so that it ends at its target.
 3. The output is a row of shards of ``shard_slots`` slots.  Each shard draws its
    source counts from a multinomial with the quotas' shares.  Draws fluctuate,
    so slots beyond a source's quota pass to sources that fell short.
@@ -72,7 +74,43 @@ def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def plan_sources(sizes: DataFrame, weights: list[float], share: float, max_repeats: int, block_words: int) -> pd.DataFrame:
+def place(index: int, size: int, key: int) -> int:
+    """The position at which ``permute`` gives ``index``: the network backwards."""
+    bits = 1
+    while 1 << 2 * bits < size:
+        bits += 1
+    mask = (1 << bits) - 1
+    while True:
+        left, right = index >> bits, index & mask
+        for turn in reversed(range(4)):
+            at = (left + key * 0x9E3779B97F4A7C15 + turn + 1) & 0xFFFFFFFFFFFFFFFF
+            left, right = right ^ (int(_mix64(np.array([at], dtype=np.uint64))[0]) & mask), left
+        index = (left << bits) | right
+        if index < size:
+            return index
+
+
+def _epoch_key(seed: int, s, epoch):
+    return (seed << 40) + (s << 16) + epoch
+
+
+def draws_for(words: int, size: int, block_words: int, seed: int, s: int) -> tuple[int, int]:
+    """(quota, words of the last draw) so that the source's draws add up to ``words``."""
+    if not words:
+        return 0, 0
+    blocks = -(-size // block_words)
+    epoch, rest = divmod(words - 1, size)
+    rest += 1
+    missing = blocks * block_words - size   # from the last block
+    short_at = place(blocks - 1, blocks, _epoch_key(seed, s, epoch))
+    n = -(-rest // block_words)
+    if n > short_at:
+        n = max(short_at + 1, -(-(rest + missing) // block_words))
+    before = (n - 1) * block_words - (missing if n - 1 > short_at else 0)
+    return epoch * blocks + n, rest - before
+
+
+def plan_sources(sizes: DataFrame, weights: list[float], share: float, max_repeats: int, block_words: int, seed: int) -> pd.DataFrame:
     """One row per source, on the driver: the catalogue of sources, not data, bounds it."""
     found = {r["source"]: int(r["source_size"]) for r in sizes.collect()}
     names = sorted((n for n in found if n is not None), key=lambda n: n.encode("utf-8")) + ([None] if None in found else [])
@@ -80,9 +118,10 @@ def plan_sources(sizes: DataFrame, weights: list[float], share: float, max_repea
     plan["weight"] = [float(weights[i % len(weights)]) for i in range(len(plan))]
     plan["target"] = water_fill(list(plan["size"]), list(plan["weight"]), share * plan["size"].sum(), max_repeats)
     plan["blocks"] = -(-plan["size"] // block_words)
-    quota = np.rint(plan["target"] / block_words)
-    at_cap = plan["target"] >= max_repeats * plan["size"]
-    plan["quota"] = np.where(at_cap, max_repeats * plan["blocks"], np.minimum(quota, max_repeats * plan["blocks"])).astype("int64")
+    words = np.maximum(np.rint(plan["target"]), plan["target"] > 0).astype("int64")
+    draws = [draws_for(int(w), int(n), block_words, seed, i) for i, (w, n) in enumerate(zip(words, plan["size"]))]
+    plan["quota"] = np.array([q for q, _ in draws], dtype="int64")
+    plan["last_words"] = np.array([n for _, n in draws], dtype="int64")
     return plan
 
 
@@ -140,7 +179,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         F.xxhash64(text).alias("tie"), F.expr(f"size({words_column(text)})").cast("long").alias("size"))
     sized = materialize(sized if row else with_uid(sized), "sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = plan_sources(sizes, list(weights), share, max_repeats, block_words)
+    plan = plan_sources(sizes, list(weights), share, max_repeats, block_words, seed)
     catalogue = spark.createDataFrame(
         [(i, r.source, int(r.size), float(r.target)) for i, r in enumerate(plan.itertuples(index=False))],
         "s int, c_source string, source_size long, target double")
@@ -153,12 +192,13 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         F.explode(F.expr(f"sequence(first_word div {block_words}, (first_word + size - 1) div {block_words})")).alias("block"),
     ).select(
         "row", "s", "block", F.expr(f"greatest(block * {block_words} - first_word, 0L)").alias("from_word"),
-        F.expr(f"least((block + 1) * {block_words} - first_word, size) - greatest(block * {block_words} - first_word, 0L)").alias("words"))
+        F.expr(f"least((block + 1) * {block_words} - first_word, size) - greatest(block * {block_words} - first_word, 0L)").alias("words"),
+        F.expr(f"greatest(first_word - block * {block_words}, 0L)").alias("place"))
 
     counts = materialize(_shards(spark, plan, shard_slots, seed), "shards")
     drawn = {r["s"]: int(r["n"]) for r in counts.groupBy("s").agg(F.sum("drawn").alias("n")).collect()}
     moved = _hand_over(plan, drawn)
-    n_blocks = plan["blocks"].to_numpy(dtype="int64")
+    n_blocks, quotas, last_words = (plan[c].to_numpy(dtype="int64") for c in ("blocks", "quota", "last_words"))
 
     def to_slots(batches):
         for batch in batches:
@@ -175,16 +215,17 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
                     s[hit], j[hit] = r.to_s, r.to_j + drawn_j[hit] - r.lo
                 size = n_blocks[s]
                 epoch = j // size
-                keys = (np.uint64(seed) << np.uint64(40)) + (s.astype("uint64") << np.uint64(16)) + epoch.astype("uint64")
+                keys = _epoch_key(np.uint64(seed), s.astype("uint64"), epoch.astype("uint64"))
                 yield pd.DataFrame({
                     "shard": shard, "slot": np.repeat(part["slot"].to_numpy(), n) + within, "s": s.astype("int32"),
-                    "block": permute(j % size, size, keys), "epoch": epoch.astype("int32")})
+                    "block": permute(j % size, size, keys), "epoch": epoch.astype("int32"),
+                    "most": np.where(j == quotas[s] - 1, last_words[s], block_words)})
 
     first = running_sums(counts, ["shard"], {"first": "drawn"}, "s")
     inside = "coalesce(sum(drawn) over (partition by shard order by s rows between unbounded preceding and 1 preceding), 0L)"
     slots = first.withColumn("slot", F.expr(inside)).mapInPandas(
-        to_slots, "shard long, slot long, s int, block long, epoch int")
-    draws = slots.join(blocks, ["s", "block"])
+        to_slots, "shard long, slot long, s int, block long, epoch int, most long")
+    draws = slots.join(blocks, ["s", "block"]).withColumn("words", F.expr("least(words, most - place)")).where("words > 0").drop("most", "place")
     documents = placed.select("row", "key", "source", "size", "source_size", "target", "first_word")
     return documents, draws
 

@@ -120,6 +120,25 @@ def test_mix_takes_near_its_targets(spark):
     assert mixing.taken(frame(spark, [])).collect() == []
 
 
+def test_small_sources_get_their_targets_to_the_word(spark):
+    sizes = [20_000, *range(1, 140, 3), 65, 64, 63, 129]
+    docs = spark.createDataFrame([(i, "w " * n, f"site{i:03}") for i, n in enumerate(sizes)], "doc_id long, text string, source string")
+    weights = tuple([30_000.0, *[n * (0.2 + i % 9 / 4) for i, n in enumerate(sizes[1:])]])
+    for share in (0.5, 1.2):
+        got = mixing.taken(docs, weights=weights, share=share, shard_slots=64).collect()
+        assert len(got) == len(sizes) and all(r["target"] > 0 for r in got)
+        assert [r["taken"] for r in got] == [max(1, round(r["target"])) for r in got]
+    draws = mixing.mixed_documents(docs, weights=weights, share=1.2, shard_slots=64).collect()
+    assert len({r["source"] for r in draws}) == len(sizes)
+
+
+def test_place_inverts_the_permutation():
+    for size in (1, 2, 3, 5, 100):
+        for key in (0, 7, 1 << 40):
+            at = mixing.permute(np.arange(size), np.full(size, size), np.full(size, key))
+            assert [mixing.place(int(x), size, key) for x in at] == list(range(size))
+
+
 def test_draws_fill_shards(spark):
     documents, draws = mixing.mix(frame(spark, awkward(many=300)), block_words=16, shard_slots=64)
     slots = {(r["shard"], r["slot"]) for r in draws.collect()}
