@@ -125,14 +125,16 @@ def source_gaps(shares: DataFrame, groups: DataFrame) -> DataFrame:
         base = int(head["terms"].iloc[0]) if head["slice"].iloc[0] == 0 else 0
         x, y = pdf["x"].iloc[0], pdf["y"].iloc[0]
         left, right = (np.flatnonzero(head["chunk"].to_numpy() == c) for c in (x, y))
-        names = head["source"].to_numpy()
-        out = []
+        names = head["source"].to_numpy(dtype=object)
+        out: list[list] = [[], [], []]
         for i in left:
             others = right[right > i] if x == y else right
             if len(others):
                 gap = np.abs(values[others] - values[i]).sum(axis=1) + (base - width) * np.abs(floor[others] - floor[i])
-                out.append(pd.DataFrame({"lang": head["lang"].iloc[0], "a": names[i], "b": names[others], "value": gap}))
-        return pd.concat(out) if out else pd.DataFrame({"lang": [], "a": [], "b": [], "value": []})
+                for column, values_of in zip(out, ([names[i]] * len(others), names[others], gap)):
+                    column.extend(values_of)
+        found = dict(zip(("a", "b", "value"), out))
+        return pd.DataFrame({"lang": [head["lang"].iloc[0]] * len(found["a"]), **found}, dtype=object)
 
     return cells.groupBy("lang", "x", "y", "slice").applyInPandas(gaps, "lang string, a string, b string, value long").groupBy(
         "lang", "a", "b").agg(F.sum("value").alias("value"))
