@@ -58,19 +58,19 @@ _REJECT_REASON = """CASE
 END"""
 
 
-def clean_orders(base: DataFrame) -> DataFrame:
+def clean_orders(base: DataFrame, *carried: str) -> DataFrame:
     """Rows that break no rule.  Judged on the latest version only."""
     return base.where(f"{_REJECT_REASON} IS NULL").select(
         "order_id", "customer_id", "order_ts", "updated_at", "status",
-        "total_amount", "channel", "_source_file",
+        "total_amount", "channel", "_source_file", *carried,
     )
 
 
-def rejected_orders(base: DataFrame) -> DataFrame:
+def rejected_orders(base: DataFrame, *carried: str) -> DataFrame:
     """The exact complement of :func:`clean_orders`, with the reason."""
     return base.selectExpr(
         "order_id", "customer_id", "order_ts_raw", "total_amount_raw", "status",
-        "channel", "_source_file", f"{_REJECT_REASON} AS reject_reason",
+        "channel", "_source_file", f"{_REJECT_REASON} AS reject_reason", *carried,
     ).where("reject_reason IS NOT NULL")
 
 

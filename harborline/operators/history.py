@@ -30,6 +30,17 @@ def status_history(raw: DataFrame) -> DataFrame:
     return history.selectExpr("*", "valid_to IS NULL AS is_current")
 
 
+def merged_history(old: DataFrame, arrived: DataFrame) -> DataFrame:
+    """The intervals of the orders in ``old`` and ``arrived`` raw versions, after those versions.
+
+    A version later than all others reopens its order's last interval; a late one
+    splits the interval it falls into.  A version that is known already changes nothing.
+    """
+    versions = old.select("order_id", "status", "valid_from").union(_versions(arrived)).distinct()
+    following = f"LEAD(valid_from) OVER (PARTITION BY order_id ORDER BY {', '.join(_IN_TIME)}) AS valid_to"
+    return versions.selectExpr("*", following).selectExpr("*", "valid_to IS NULL AS is_current")
+
+
 def _hot_history(raw: DataFrame) -> DataFrame:
     """The same for orders with too many versions for one task.
 

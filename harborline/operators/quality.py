@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from harborline.functions import casts
 from harborline.functions.text import one_of
@@ -60,6 +60,31 @@ def _count(df: DataFrame, expression: str) -> DataFrame:
     return df.agg(F.expr(f"{expression} AS violations"))
 
 
+def _row_rules(rules: Rules) -> dict[str, str]:
+    """Name of a rule that one row can break, and when it does."""
+    return {
+        **{f"not_null:{c}": f"{c} IS NULL" for c in rules.not_null},
+        **{f"accepted_values:{c}": f"NOT ({one_of(c, values)})" for c, values in rules.accepted.items()},
+    }
+
+
+def rule_metrics(table: str) -> dict[str, Column]:
+    """Violations per rule as aggregates that can ride on the write of the table."""
+    rules = RULES.get(table, Rules())
+    return {name: F.expr(f"COUNT_IF({condition})") for name, condition in _row_rules(rules).items()}
+
+
+def observed_checks(counted: Mapping[str, Mapping[str, int]], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All rules of stored tables: those of single rows as counted by the write, repeats by a keyed count."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(table, name, n) for table, found in counted.items() if table in tables for name, n in found.items()]
+    checks = spark.createDataFrame(rows, "table_name string, `check` string, violations long")
+    for table, df in tables.items():
+        for column in RULES.get(table, Rules()).unique:
+            checks = checks.unionByName(unique_check(table, df, column))
+    return checks
+
+
 def column_checks(table: str, df: DataFrame, rules: Rules) -> DataFrame:
     """All rules of a table in ONE pass over it.
 
@@ -67,8 +92,7 @@ def column_checks(table: str, df: DataFrame, rules: Rules) -> DataFrame:
     first: the aggregation that finds repeats carries them along, and map-side
     partial counts keep a hot value small.
     """
-    counts = [(f"not_null:{c}", f"{c} IS NULL") for c in rules.not_null]
-    counts += [(f"accepted_values:{c}", f"NOT ({one_of(c, values)})") for c, values in rules.accepted.items()]
+    counts = list(_row_rules(rules).items())
     broken = [f"COUNT_IF({condition}) AS c{i}" for i, (_, condition) in enumerate(counts)]
     names = [name for name, _ in counts]
     if rules.unique:
@@ -109,6 +133,17 @@ def relationship_check(table: str, df: DataFrame, column: str, target: DataFrame
     )
 
 
+def as_check(table: str, name: str, broken: DataFrame) -> DataFrame:
+    """A check whose violations are the rows of ``broken``."""
+    return _count(broken, "COUNT(*)").selectExpr(f"'{table}' AS table_name", f"'{name}' AS check", "violations")
+
+
+def same_rows(left: DataFrame, right: DataFrame) -> bool:
+    """Whether two tables of equal columns hold the same rows as often, by one aggregation over both."""
+    both = left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
+    return both.groupBy(*left.columns).agg(F.sum("_n").alias("_n")).where("_n != 0").isEmpty()
+
+
 def check_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     """All rules of the given tables in long form."""
     return reduce(DataFrame.unionByName, [column_checks(name, df, RULES[name]) for name, df in tables.items()])
@@ -185,15 +220,14 @@ def order_accounting(raw: DataFrame, clean: DataFrame, rejected: DataFrame) -> D
 
 
 def refund_money_mismatch(lines: DataFrame, analysis: DataFrame) -> DataFrame:
-    """Categories whose refunded money differs from a recount of the lines."""
-    expected = lines.where(IS_REFUND).groupBy("category").agg(
-        F.expr("SUM(line_amount) AS expected_refunded_amount"), F.expr("TRUE AS _expected")
-    )
-    actual = analysis.selectExpr("category", "refunded_amount AS actual_refunded_amount", "TRUE AS _actual")
-    return expected.join(actual, "category", "full").where(
-        f"""_expected IS NULL OR _actual IS NULL
-            OR ABS(expected_refunded_amount - actual_refunded_amount) > {_CENT}"""
-    ).select("category", "expected_refunded_amount", "actual_refunded_amount")
+    """Categories whose refunded money is not what their lines say: (category, in_lines, in_fact, off_by).
+
+    One signed sum per category over lines and facts together, so neither side has to find the other.
+    """
+    money = lines.where(IS_REFUND).selectExpr("category", "line_amount AS in_lines", "0 AS in_fact").unionByName(
+        analysis.selectExpr("category", "0 AS in_lines", "refunded_amount AS in_fact"))
+    per_category = money.groupBy("category").agg(F.expr("SUM(in_lines) AS in_lines"), F.expr("SUM(in_fact) AS in_fact"))
+    return per_category.selectExpr("*", "in_lines - in_fact AS off_by").where(f"ABS(off_by) > {_CENT}")
 
 
 def restated_refund_mismatch(sales: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -308,14 +342,18 @@ VOLATILE = ("_ingested_at",)
 
 
 def checksum(table: str, df: DataFrame) -> DataFrame:
-    """Order-independent fingerprint: row count and sum of row hashes."""
-    columns = [f"`{c}`" for c in df.columns if c not in VOLATILE]
-    # the hash skips NULLs, so where they are is hashed as well
-    nulls = f"ARRAY({', '.join(f'{c} IS NULL' for c in columns)})"
-    row_hash = f"CAST(XXHASH64({', '.join(columns)}, {nulls}) AS DECIMAL(38,0))"
+    """Order-independent fingerprint that any engine can compute: row count and sum of row digests.
+
+    A row's digest is the leading 60 bits of the MD5 of its values as text, in the
+    alphabetical order of their columns, with a unit separator between them and
+    a record separator for NULL.
+    """
+    columns = sorted(c for c in df.columns if c not in VOLATILE)
+    values = ", ".join(f"COALESCE(CAST(`{c}` AS STRING), CHR(30))" for c in columns)
+    digest = f"CAST(CONV(LEFT(MD5(CONCAT_WS(CHR(31), {values})), 15), 16, 10) AS DECIMAL(20,0))"
     return df.agg(
-        F.expr("COUNT(*) AS rows"), F.expr(f"COALESCE(SUM({row_hash}), CAST(0 AS DECIMAL(38,0))) AS fingerprint")
-    ).selectExpr(f"'{table}' AS table_name", "rows", "fingerprint")
+        F.expr("COUNT(*) AS rows"), F.expr(f"COALESCE(SUM(CAST({digest} AS DECIMAL(38,0))), 0) AS fingerprint")
+    ).selectExpr(f"'{table}' AS table_name", "rows", "CAST(fingerprint AS DECIMAL(38,0)) AS fingerprint")
 
 
 def checksums(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -102,7 +102,7 @@ _TIERS: tuple[tuple[int, tuple[str, ...], tuple[str, ...]], ...] = (
 _CARRIED = ("lane", "side", "id", "ref", "amount", "fee", "day")
 
 
-def _both_sides(raw_gateway: DataFrame, raw_ledger: DataFrame) -> DataFrame:
+def both_sides(raw_gateway: DataFrame, raw_ledger: DataFrame) -> DataFrame:
     """One frame with all transactions and entries.
 
     The lane decides the task.  It is the reference.  Rows without one match
@@ -195,7 +195,7 @@ def _as_state(rows: DataFrame) -> DataFrame:
         "ref",
         "CASE WHEN side = 'G' THEN amount END AS gateway_amount",
         "CASE WHEN side = 'G' THEN _entry_amount ELSE amount END AS ledger_amount",
-        "fee", "day AS txn_date", "tier", "side",
+        "fee", "day AS txn_date", "tier", "side", "lane",
     )
 
 
@@ -286,7 +286,7 @@ def stored_sides(raw_gateway: DataFrame, raw_ledger: DataFrame) -> DataFrame:
     The check for hot lanes and the daily totals then read a few narrow columns
     instead of parsing all text again.
     """
-    return materialize(_both_sides(raw_gateway, raw_ledger), "recon-sides")
+    return materialize(both_sides(raw_gateway, raw_ledger), "recon-sides")
 
 
 def reconcile(raw_gateway: DataFrame, raw_ledger: DataFrame) -> DataFrame:
@@ -294,17 +294,20 @@ def reconcile(raw_gateway: DataFrame, raw_ledger: DataFrame) -> DataFrame:
     return reconcile_sides(stored_sides(raw_gateway, raw_ledger))
 
 
-def reconcile_sides(sides: DataFrame) -> DataFrame:
+def tier_state(sides: DataFrame) -> DataFrame:
+    """The rows after tiers 1-3, written once: settled pairs and duplicates with their tier, the rest open (NULL)."""
     ordinary, hot = split_hot(sides, ["lane"])
     state = _settle_ordinary(ordinary)
     if hot is not None:
         state = state.unionByName(_settle_hot(hot))
-    state = materialize(state, "recon-state")
+    return materialize(state, "recon-state")
+
+
+_RESULT = ("txn_id", "entry_id", "ref", "gateway_amount", "ledger_amount", "txn_date")
 
-    columns = ["txn_id", "entry_id", "ref", "gateway_amount", "ledger_amount", "txn_date"]
-    settled = state.where("tier IS NOT NULL").selectExpr(*columns, f"{_LABEL} AS match_type")
-    results = settled.unionByName(_settle_by_money(state.where("tier IS NULL")))
-    return results.selectExpr(
+
+def _as_results(rows: DataFrame) -> DataFrame:
+    return rows.selectExpr(
         "txn_id", "entry_id", "ref", "gateway_amount", "ledger_amount",
         "COALESCE(gateway_amount, 0) - COALESCE(ledger_amount, 0) AS amount_diff",
         "txn_date", "match_type",
@@ -312,6 +315,21 @@ def reconcile_sides(sides: DataFrame) -> DataFrame:
     )
 
 
+def settled_results(state: DataFrame) -> DataFrame:
+    """Results of what tiers 1-3 settled."""
+    return _as_results(state.where("tier IS NOT NULL").selectExpr(*_RESULT, f"{_LABEL} AS match_type"))
+
+
+def money_results(open_rows: DataFrame) -> DataFrame:
+    """Results of whole (amount, day) groups of open rows: tier 4 and what remains."""
+    return _as_results(_settle_by_money(open_rows))
+
+
+def reconcile_sides(sides: DataFrame) -> DataFrame:
+    state = tier_state(sides)
+    return settled_results(state).unionByName(money_results(state.where("tier IS NULL")))
+
+
 def follow_ups(results: DataFrame) -> DataFrame:
     """The rows a person has to look at."""
     return results.where(text.one_of("match_type", FOLLOW_UP_TYPES))

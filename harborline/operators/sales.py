@@ -96,6 +96,11 @@ def order_lines(orders: DataFrame, raw_items: DataFrame, products: DataFrame) ->
     if hot is not None:
         hot_lines = typed_items(only_keys(raw_items, hot, ["order_id"])).distinct()
         lines = lines.unionByName(join_hot(hot_lines, header, hot, "order_id"))
+    return priced_lines(lines, products)
+
+
+def priced_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines that carry their order's date, channel and status, with category and money."""
     return lines.join(products.select("product_id", "category"), "product_id").selectExpr(
         "order_id", "business_date", "channel", "status", "category", "qty * unit_price AS line_amount"
     )
@@ -114,22 +119,36 @@ def daily_sales(lines: DataFrame) -> DataFrame:
     )
 
 
-def refund_analysis(lines: DataFrame) -> DataFrame:
-    """Distinct orders, refund rate and refunded money per category.
+def daily_refunds(lines: DataFrame) -> DataFrame:
+    """Distinct orders and refunded money per business date and category.
 
-    Collapsing to (category, order) first turns two distinct counts into plain
-    ones; a status belongs to the order, so it is constant within the group.
+    An order has one business date, so these counts add up over dates.  Collapsing
+    to (date, category, order) first turns two distinct counts into plain ones; a
+    status belongs to the order, so it is constant within the group.
     """
-    per_order = lines.where(IS_GROSS).groupBy("category", "order_id", "status").agg(
+    per_order = lines.where(IS_GROSS).groupBy("business_date", "category", "order_id", "status").agg(
         F.expr("SUM(line_amount) AS amount")
     )
-    facts = per_order.groupBy("category").agg(
+    return per_order.groupBy("business_date", "category").agg(
         F.expr("COUNT(*) AS paid_orders"),
         F.expr(f"COUNT_IF({IS_REFUND}) AS refunded_orders"),
         sum_where(IS_REFUND, "amount", "refunded_amount"),
     )
+
+
+def refund_rates(refunds: DataFrame) -> DataFrame:
+    """Refund rate per category over all dates of :func:`daily_refunds`."""
+    facts = refunds.groupBy("category").agg(
+        F.expr("SUM(paid_orders) AS paid_orders"), F.expr("SUM(refunded_orders) AS refunded_orders"),
+        F.expr("SUM(refunded_amount) AS refunded_amount"),
+    )
     return facts.selectExpr(
         "category", "paid_orders", "refunded_orders",
         f"{ratio('refunded_orders', 'paid_orders', times=100)} AS refund_rate_pct",
         "refunded_amount",
     )
+
+
+def refund_analysis(lines: DataFrame) -> DataFrame:
+    """Distinct orders, refund rate and refunded money per category."""
+    return refund_rates(daily_refunds(lines))

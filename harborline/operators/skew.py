@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,7 +20,7 @@ HOT_ROWS_CONF = "harborline.skew.hotGroupRows"
 HOT_SAMPLE_CONF = "harborline.skew.sampleFraction"
 DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_SAMPLE = 0.001
-MAX_HOT_KEYS = 10_000
+SALTS = 64   # tasks over which the rows of one hot key meet their partner
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
@@ -27,20 +28,17 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
 
     A sampled, column-pruned count finds them; the sample only decides which of
     two exact paths a group takes, so a miss costs time and never changes a
-    result.  At most MAX_HOT_KEYS keys come back, the largest groups first.
+    result.  The keys stay a written table, however many there are.
     """
     spark = df.sparkSession
     limit = int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
     fraction = float(spark.conf.get(HOT_SAMPLE_CONF, str(DEFAULT_SAMPLE)))
     probe = df.select(*keys)
     counted = probe.sample(False, fraction, seed=17) if fraction < 1.0 else probe
-    rows = (
+    hot = materialize(
         counted.groupBy(*keys).agg(F.expr("COUNT(*) AS _n"))
-        .where(f"_n >= {max(1, math.ceil(limit * fraction))}")
-        .orderBy("_n", ascending=False).limit(MAX_HOT_KEYS)
-        .select(*keys).collect()
-    )
-    return spark.createDataFrame(rows, probe.schema) if rows else None
+        .where(f"_n >= {max(1, math.ceil(limit * fraction))}").select(*keys), "hot_keys")
+    return None if hot.isEmpty() else hot
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -52,8 +50,14 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def only_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
-    """Rows whose key is (left_semi) or is not (left_anti) among at most MAX_HOT_KEYS keys."""
-    return df.join(F.broadcast(wanted), _same(df, wanted, keys), how)
+    """Rows whose key is (left_semi) or is not (left_anti) among the wanted ones.
+
+    The written list is broadcast if its size allows; beyond that the adaptive
+    skew join splits the hot rows, which a semi or anti join only looks up.
+    """
+    renamed = wanted.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    return df.join(renamed, condition, how)
 
 
 def split_hot(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
@@ -67,8 +71,7 @@ def split_hot(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame
 def join_unique(many: DataFrame, one: DataFrame, key: str, probe: DataFrame | None = None) -> DataFrame:
     """Inner join where ``one`` has one row per key and ``many`` may have a hot key.
 
-    Ordinary keys meet in a shuffled join.  Hot keys have at most MAX_HOT_KEYS
-    partner rows, so those are broadcast and the hot rows stay where they are.
+    Ordinary keys meet in a shuffled join, hot keys in a salted one.
     ``probe`` is a table to look for hot keys in when ``many`` is costly to
     compute, such as the rows it is derived from; any choice gives the same rows.
     """
@@ -81,7 +84,10 @@ def join_unique(many: DataFrame, one: DataFrame, key: str, probe: DataFrame | No
 
 
 def join_hot(hot_rows: DataFrame, one: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    return hot_rows.join(F.broadcast(only_keys(one, hot, [key])), key)
+    """Each partner row is repeated once per salt, so the rows of a hot key meet it in many tasks."""
+    salted = hot_rows.withColumn("_salt", F.pmod(F.xxhash64(*hot_rows.columns), F.lit(SALTS)))
+    partners = only_keys(one, hot, [key]).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(partners, [key, "_salt"]).drop("_salt")
 
 
 def _row_number(keys: Sequence[str], order: Sequence[str]) -> str:

@@ -152,8 +152,7 @@ _CTES: dict[str, str] = {
            cast(clicks as varchar) as clicks,
            case when platform != 'facebook' and campaign = 3 and day(day) % 7 = 0 then 'N/A'
                 else cast(purchases as varchar) end as conversions
-    from event_days, range(case when platform = 'google' and day(day) % 10 = 0 then 2 else 1 end)
-    where not (platform = 'tiktok' and day(day) = 30)""",
+    from event_days, range(case when platform = 'google' and day(day) % 10 = 0 then 2 else 1 end)""",
     "raw_utm": f"""
     select 'O-' || k as order_id,
            case when k % 4 = 0 then null when k % 97 = 0 then 'bing' else hit[1] end as utm_source,
@@ -389,6 +388,7 @@ def _same(*names: str) -> list[tuple[str, str]]:
     return [(n, n) for n in names]
 
 
+_LATE = "(platform = 'tiktok' and day(cast(report_date as date)) = 30)"
 _ADS_IN = "'facebook', 'google', 'tiktok'"
 _SUITE = " union all ".join(
     _check_rows("stg_orders", "good",
@@ -542,8 +542,8 @@ _FINAL: dict[str, str] = {
     "campaign_scoreboard": "select canonical, n_platforms, spend_thb, attributed_orders, attributed_revenue_thb, roas from campaigns order by roas desc nulls last, canonical",
     "missing_conversions": "select count(*) as rows from ads where conversions_missing",
     "late_file_gaps": f"""
-        select report_date, platform from (select distinct report_date from ads), (select unnest([{_ADS_IN}]) as platform)
-        except select report_date, platform from ads""",
+        select report_date, platform from (select distinct report_date from ads where not {_LATE}), (select unnest([{_ADS_IN}]) as platform)
+        except select report_date, platform from ads where not {_LATE}""",
     "dq_suite": _SUITE,
     "dq_relationships": """
         select 'orders_enriched' as table_name, 'relationships:customer_id' as "check", count(*) as violations from enriched
@@ -551,10 +551,10 @@ _FINAL: dict[str, str] = {
         union all select 'stg_order_items', 'relationships:product_id', count(*) from items
         where product_id not in (select product_id from goods)""",
     "dq_refund_money": f"""
-        select category, e::{_D2} as expected_refunded_amount, a::{_D2} as actual_refunded_amount
+        select category, coalesce(e, 0)::{_D2} as in_lines, coalesce(a, 0)::{_D2} as in_fact, (coalesce(e, 0) - coalesce(a, 0))::{_D2} as off_by
         from (select category, sum(line_amount) as e from lines where status = 'refunded' group by all)
         full join (select category, refunded_amount as a from f_refunds) using (category)
-        where e is null or a is null or abs(e - a) > 0.01""",
+        where abs(coalesce(e, 0) - coalesce(a, 0)) > 0.01""",
     "dq_restated_refunds": """
         select count(*) as violations
         from (select business_date, sum(amount) as e from good join per_order using (order_id) where status = 'refunded' group by all)
@@ -589,6 +589,41 @@ _FINAL: dict[str, str] = {
 }
 
 
+_MONTH_FILE = "_source_file[1:14] || '-01.csv'"
+_AD_COLUMNS = "report_date, platform, campaign_id, ad_id, campaign_name, spend, currency, impressions, clicks, conversions"
+_FINAL |= {
+    "landed_orders": f"""
+        select order_id, customer_id, order_ts, updated_at, status, total_amount, channel, {_MONTH_FILE} as delivered_in
+        from raw_orders where not (_source_file[8:14] = '1995-03' and cast(order_id[3:] as bigint) % 2 = 1)""",
+    "landed_files": f"""
+        select {_MONTH_FILE} as file_name, cast(_source_file[8:14] || '-01' as date) as file_date, 'loaded' as state, count(*) as rows
+        from raw_orders where not (_source_file[8:14] = '1995-03' and cast(order_id[3:] as bigint) % 2 = 1) group by all
+        union all select {_MONTH_FILE}, date '1995-04-01', 'fields', count(*) filter (cast(order_id[3:] as bigint) % 2 = 1)
+        from raw_orders where _source_file[8:14] = '1995-04' group by all
+        union all select {_MONTH_FILE}, date '1995-05-01', 'columns', 1 from raw_orders where _source_file[8:14] = '1995-05' group by all""",
+    "landed_snapshot": """
+        select 'P' || p_partkey as product_id, p_name as name, p_type as category,
+               cast(cast(p_retailprice as decimal(14,2)) as varchar) as cost from part""",
+    "landed_log": f"""
+        select {_MONTH_FILE} as file_name, count(*) as rows, case when _source_file[8:11] = '1996' then 2 else 1 end as commit_no
+        from raw_orders group by all""",
+    "landed_ads": f"select {_AD_COLUMNS} from raw_ads where not {_LATE}",
+    "late_backfill": f"select {_AD_COLUMNS} from raw_ads",
+    "files_not_delivered": f"""
+        select cast(report_date as date) as file_date, platform
+        from (select distinct report_date from raw_ads where platform = 'facebook'), (select unnest([{_ADS_IN}]) as platform)
+        except select cast(report_date as date), platform from raw_ads where not {_LATE}""",
+    "ids_filter": _FINAL["money_orders"] + " and order_id in (select order_id from raw_utm where utm_source = 'bing')",
+    **{new: _FINAL[old] for new, old in {
+        "restated_daily_sales": "daily_sales", "restated_refunds": "refund_analysis", "restated_orders_enriched": "orders_enriched",
+        "merged_status_history": "order_status_history", "rematched_results": "recon_results",
+        "streamed_orders": "stg_orders", "streamed_status_history": "order_status_history", "streamed_daily_sales": "daily_sales",
+        "hot_recon_results": "recon_results", "hot_status_history": "order_status_history", "hot_order_lines": "order_lines",
+        "hot_attributed_revenue": "attributed_revenue", "followup_csv": "recon_followups",
+    }.items()},
+}
+
+
 def _needed(sql: str) -> set[str]:
     return set(re.findall(r"[a-z_]+", sql)) & _CTES.keys()
 
@@ -611,5 +646,35 @@ def _statement(final: str) -> str:
     return "with " + ",\n".join(f"{n} as materialized ({_CTES[n]})" for n in order) + "\n" + final
 
 
+# The columns of the tables that have checksums.
+_CHECKED = {
+    "stg_orders": "_source_file channel customer_id order_id order_ts status total_amount updated_at",
+    "rejected_orders": "_source_file channel customer_id order_id order_ts_raw reject_reason status total_amount_raw",
+    "order_status_history": "is_current order_id status valid_from valid_to",
+    "orders_enriched": "business_date channel customer_id items_amount n_lines order_id order_ts region source_customer_id status "
+                       "total_amount updated_at",
+    "daily_sales": "business_date category channel gross_amount net_amount refund_amount",
+    "refund_analysis": "category paid_orders refund_rate_pct refunded_amount refunded_orders",
+    "dim_customers": "customer_id email email_is_valid region signup_date",
+    "dim_products": "category cost name product_id",
+    "stg_ad_performance": "ad_id campaign_id campaign_name clicks conversions conversions_missing currency impressions platform report_date "
+                          "spend_local spend_thb",
+    "channel_performance": "activity_date attributed_orders attributed_revenue_thb clicks cpa_thb cpc_thb ctr_pct impressions platform "
+                           "platform_conversions roas spend_thb",
+    "campaign_performance": "attributed_orders attributed_revenue_thb canonical clicks impressions n_platforms platform_conversions roas spend_thb",
+    "recon_results": "amount_diff entry_id gateway_amount ledger_amount match_confidence match_type ref txn_date txn_id",
+}
+
+
+def _checksum(name: str, columns: str) -> str:
+    """Row count and fingerprint of a table, from the text of its columns in alphabetical order."""
+    values = ", ".join(f"coalesce(cast({c} as varchar), chr(30))" for c in columns.split())
+    digest = f"('0x' || left(md5(concat_ws(chr(31), {values})), 15))::bigint"
+    return f"select '{name}' as table_name, count(*) as rows, sum({digest})::decimal(38,0) as fingerprint from ({_FINAL[name]})"
+
+
+_FINAL["table_checksums"] = " union all ".join(_checksum(*item) for item in _CHECKED.items())
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _statement(final) for name, final in _FINAL.items()}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, IntegerType, TimestampType
 
 from harborline.operators import advertising, cleaning, history, quality, reconciliation, reports, sales
-from harborline.plans import bridge
+from harborline.plans import bridge, deliveries
 from harborline.plans.warehouse import Warehouse
 from harborline.schemas import UNKNOWN_CUSTOMER
 from harborline.session import configure
@@ -56,10 +56,6 @@ def _log(w: Warehouse) -> DataFrame:
     return bridge.load_log(w.spark, w.sf_dir)
 
 
-def _checked_tables(w: Warehouse) -> dict[str, DataFrame]:
-    return {name: getattr(w, name) for name in quality.RULES}
-
-
 def _relationships(w: Warehouse) -> DataFrame:
     return quality.relationship_check(
         "orders_enriched", w.located_orders, "customer_id", w.dim_customers, "customer_id"
@@ -166,9 +162,9 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "campaign_scoreboard": lambda w: reports.best_first(
         reports.campaign_scoreboard(w.campaign_performance), "roas", "canonical"),
     "missing_conversions": lambda w: reports.missing_conversion_rows(w.stg_ad_performance),
-    "late_file_gaps": lambda w: advertising.missing_deliveries(w.stg_ad_performance),
+    "late_file_gaps": lambda w: advertising.missing_deliveries(w.stg_ad_performance.where(f"NOT ({bridge.LATE_EXPORT})")),
     # quality
-    "dq_suite": lambda w: quality.check_tables(_checked_tables(w)),
+    "dq_suite": deliveries.built_checks,
     "dq_relationships": _relationships,
     "dq_refund_money": lambda w: quality.refund_money_mismatch(w.order_lines, w.refund_analysis),
     "dq_restated_refunds": lambda w: quality.restated_refund_mismatch(
@@ -193,7 +189,29 @@ BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "late_orders": lambda w: quality.off_schedule_files(w.stg_orders),
     "recall_orders": _recall_orders,
     "recall_payments": _recall_payments,
-    # self-compared hashes differ between engines, so this one has no SQL twin
+    # files, restatement, streams, hot groups
+    "landed_orders": deliveries.landed_orders,
+    "landed_files": deliveries.landed_files,
+    "landed_snapshot": deliveries.landed_snapshot,
+    "landed_log": deliveries.landed_log,
+    "landed_ads": deliveries.landed_ads,
+    "late_backfill": lambda w: deliveries.landed_ads(w, include_late=True),
+    "files_not_delivered": deliveries.files_not_delivered,
+    "restated_daily_sales": deliveries.from_restated("daily_sales"),
+    "restated_refunds": deliveries.from_restated("refund_analysis"),
+    "restated_orders_enriched": deliveries.from_restated("orders_enriched"),
+    "merged_status_history": deliveries.from_restated("order_status_history"),
+    "rematched_results": deliveries.rematched,
+    "streamed_orders": deliveries.from_stream("stg_orders"),
+    "streamed_status_history": deliveries.from_stream("order_status_history"),
+    "streamed_daily_sales": deliveries.from_stream("daily_sales"),
+    "hot_recon_results": deliveries.with_every_group_hot(lambda w: w.recon_results),
+    "hot_status_history": deliveries.with_every_group_hot(lambda w: w.order_status_history),
+    "hot_order_lines": deliveries.with_every_group_hot(lambda w: w.order_lines),
+    "hot_attributed_revenue": deliveries.with_every_group_hot(lambda w: w.attributed_revenue),
+    "followup_csv": deliveries.follow_ups_as_csv,
+    "ids_filter": lambda w: quality.only_ids(
+        cleaning.money_orders(w.landing("orders")), w.landing("utm_touches").where("utm_source = 'bing'"), "order_id"),
     "table_checksums": lambda w: quality.checksums({
         name: getattr(w, name) for name in (
             "stg_orders", "rejected_orders", "order_status_history", "orders_enriched", "daily_sales",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType, DateType
+from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType, TimestampType
 
 # Landing-table columns, in file order.  The order is part of the
 # contract with the source systems.
@@ -59,4 +59,23 @@ LOG_SCHEMA = StructType([
     StructField("file_date", DateType()),
     StructField("loaded_at", TimestampType()),
     StructField("row_count", LongType()),
+    StructField("commit_no", LongType()),
+])
+
+REJECTED_SCHEMA = StructType([
+    StructField("file_name", StringType()),
+    StructField("table_name", StringType()),
+    StructField("file_date", DateType()),
+    StructField("load_id", StringType()),
+    StructField("rejected_at", TimestampType()),
+    StructField("reason", StringType()),
+    StructField("expected", ArrayType(StringType())),
+    StructField("received", ArrayType(StringType())),
+    StructField("bad_rows", LongType()),
+    StructField("first_bad_line", StringType()),
+])
+
+# What a reader puts into column _bad of a row it could not read: where it stood, why, and its text.
+BAD_TYPE = StructType([
+    StructField("block", LongType()), StructField("place", LongType()), StructField("reason", StringType()), StructField("line", StringType()),
 ])

@@ -54,15 +54,31 @@ def choose_dates(
     raise ValueError("choose every day, one day, or a start and an end")
 
 
-def list_files(spark: SparkSession, root: str, glob: str) -> dict[str, str]:
-    """File name to path under ``root``; a listing, the contents are not read."""
+NAMES_PER_GLOB = 500
+
+
+def _listed(spark: SparkSession, path: str, **options: str) -> list[str]:
+    """Paths that exist; a listing, the contents are not read."""
     try:
-        found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root).select("path").collect()
+        return [r.path for r in spark.read.format("binaryFile").options(**options).load(path).select("path").collect()]
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
-            return {}
+            return []
         raise
-    return {row.path.rsplit("/", 1)[-1]: row.path for row in found}
+
+
+def list_files(spark: SparkSession, root: str, glob: str) -> dict[str, str]:
+    """File name to path of all files under ``root`` that look like ``glob``."""
+    return {path.rsplit("/", 1)[-1]: path for path in _listed(spark, root, pathGlobFilter=glob)}
+
+
+def find_files(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, str]:
+    """File name to path of those of the named files that exist; the rest of the folder never reaches the driver."""
+    found = {}
+    for lo in range(0, len(names), NAMES_PER_GLOB):
+        for path in _listed(spark, f"{root.rstrip('/')}/{{{','.join(names[lo:lo + NAMES_PER_GLOB])}}}"):
+            found[path.rsplit("/", 1)[-1]] = path
+    return found
 
 
 def available_dates(spark: SparkSession, root: str, pattern: str) -> list[date]:
@@ -85,8 +101,8 @@ def find_deliveries(
 
     Pass the folder of late arrivals as a second root to backfill from it.
     """
-    glob = pattern.replace("{date}", "*")
-    listings = [list_files(spark, root, glob) for root in roots]
+    dates = list(dates)
+    listings = [find_files(spark, root, [pattern.format(date=day) for day in dates]) for root in roots]
     deliveries = []
     for day in dates:
         name = pattern.format(date=day)

@@ -1,7 +1,9 @@
 """The daily-file load as a stream over a delivery folder.
 
-Each micro-batch is landed with the same replace-and-commit rule as a batch load,
-so a retried batch replaces its own files and changes nothing else.
+The stream only finds files; each micro-batch hands its paths to the batch load,
+so heads, broken rows and rejects are judged by the same code, and a retried
+batch replaces its own files.  The file source remembers paths: a file that is
+sent again under its name is a matter for ``Lake.load_daily``.
 """
 
 from __future__ import annotations
@@ -11,35 +13,42 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from harborline.schemas import RAW_COLUMNS, text_schema
-from harborline.sources.discovery import DAILY_PATTERNS
+from harborline.sources.discovery import DAILY_PATTERNS, Delivery
 from harborline.sources.landing import Lake
 
 
+def _day(name: str, before: str, after: str) -> date | None:
+    try:
+        return date.fromisoformat(name[len(before): len(name) - len(after)])
+    except ValueError:
+        return None  # another file that merely looks similar
+
+
 def land_new_files(
     lake: Lake, table: str, folder: str, checkpoint: str, files_per_batch: int = 1000
 ) -> StreamingQuery:
-    """Land every file of ``table`` that is new in ``folder``, then stop."""
+    """Land every file of ``table`` that is new in ``folder``, then stop.
+
+    Refused files are recorded in the reject table and do not stop the stream.
+    """
     before, after = DAILY_PATTERNS[table].split("{date}")
-    columns = RAW_COLUMNS[table]
-    rows = (
-        lake.spark.readStream.schema(text_schema(columns))
-        .option("header", True).option("enforceSchema", False)
-        .option("escape", '"').option("emptyValue", "")
-        .option("pathGlobFilter", f"{before}*{after}")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
-        .selectExpr(*[f"NULLIF(`{c}`, '') AS `{c}`" for c in columns], "_metadata.file_name AS _source_file")
+    found = (
+        lake.spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("pathGlobFilter", f"{before}*{after}").option("maxFilesPerTrigger", files_per_batch)
+        .load(folder).select("path")  # contents are not read here
     )
 
     def land(batch: DataFrame, _: int) -> None:
-        names = [r[0] for r in batch.select("_source_file").distinct().collect()]  # files of this batch
-        if names:
-            days = {n: date.fromisoformat(n[len(before): len(n) - len(after)]) for n in names}
-            lake.land(table, batch, days)
+        deliveries = []
+        for row in batch.collect():  # files of this batch
+            name = row.path.rsplit("/", 1)[-1]
+            day = _day(name, before, after)
+            if day is not None:
+                deliveries.append(Delivery(table, name, day, row.path))
+        lake.load_daily(table, deliveries, strict=False)
 
     return (
-        rows.writeStream.foreachBatch(land)
+        found.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -3,7 +3,6 @@
 import pytest
 
 from harborline.schemas import RAW_COLUMNS
-from harborline.sources.ad_exports import read_facebook
 from harborline.sources.landing import read_text_csv
 
 COLUMNS = RAW_COLUMNS["utm_touches"]
@@ -18,10 +17,3 @@ def test_rows_of_another_width_are_refused(spark, tmp_path, line):
     assert [(r["order_id"], r["utm_source"]) for r in rows] == [("70", "mail"), ("71", None)]
     with pytest.raises(Exception, match="(?i)malformed"):
         read_text_csv(spark, [str(bad)], COLUMNS).collect()
-
-
-def test_truncated_json_is_refused(spark, tmp_path):
-    path = tmp_path / "facebook.json"
-    path.write_text('{"account": "9", "date_start": "2026-03-04", "campaigns": [{"campaign_id": "c", "adse')
-    with pytest.raises(Exception, match="(?i)malformed"):
-        read_facebook(spark, [str(path)]).collect()
