@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from harborline.operators import cleaning, history, reconciliation, sales
 from harborline.operators.quality import rule_metrics
 from harborline.session import materialize
-from harborline.sources.published import NO_VALUE, Build, Snapshot, part_of
+from harborline.sources.published import NO_VALUE, Build, Snapshot
 
 HISTORY_BUCKETS = 64
 RECON_BUCKETS = 64
@@ -64,12 +64,9 @@ def _of(rows: DataFrame, keys: DataFrame, how: str, column: str = "order_id") ->
     return rows.join(other, F.col(column).eqNullSafe(F.col("_key")), how)
 
 
-def _parts(*frames: DataFrame) -> set[str]:
-    """Parts the rows belong to: days or buckets, so few."""
-    found = frames[0].select(part_of(BOOKED).alias("p"))
-    for frame in frames[1:]:
-        found = found.union(frame.select(part_of(BOOKED)))
-    return {r.p for r in found.distinct().collect()}
+def _parts(build: Build, rows: DataFrame) -> set[str]:
+    """Parts the rows belong to: days or longer, so few."""
+    return {r.p for r in rows.select(build.store.part_of(BOOKED).alias("p")).distinct().collect()}
 
 
 # ------------------------------------------------------------------- full build
@@ -133,7 +130,7 @@ def restate_orders(build: Build, orders: Change, items: Change, dimensions: Dime
     """
     touched = materialize(orders.keys("order_id").union(items.keys("order_id")).distinct(), "touched")
     before = materialize(_of(build.table("order_base").select("order_id", BOOKED), touched, "left_semi"), "booked_before")
-    days_before = _parts(before)
+    days_before = _parts(build, before)
 
     # orders: the newest of what is stored and what arrived
     stored = _of(build.table("order_base", days_before), touched, "left_semi").drop(BOOKED)
@@ -142,7 +139,7 @@ def restate_orders(build: Build, orders: Change, items: Change, dimensions: Dime
     if redone is not None:
         versions = _of(versions, redone, "left_anti").unionByName(cleaning.parse_orders(_of(orders.current, redone, "left_semi")))
     newest = materialize(cleaning.with_business_date(cleaning.latest_versions(versions)), "newest")
-    days = days_before | _parts(newest)
+    days = days_before | _parts(build, newest)
     kept = _of(build.table("order_base", days), touched, "left_anti")
     base = build.replace_parts("order_base", kept.unionByName(newest), BOOKED, days)
 

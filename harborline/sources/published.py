@@ -73,14 +73,22 @@ class Snapshot:
         return name in self.tables
 
 
-def part_of(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit(NO_VALUE))
+class Published:
+    """Tables under one root.
 
+    A part is named by the text of its column's value or, with ``prefixes``, by the
+    first characters of it: {"business_date": 7} keeps a part per month.  All
+    builds of a root must use the same.
+    """
 
-class Published:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, prefixes: Mapping[str, int] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.prefixes = dict(prefixes or {})
+
+    def part_of(self, column: str) -> Column:
+        text = F.col(column).cast("string")
+        return F.coalesce(F.left(text, F.lit(self.prefixes[column])) if column in self.prefixes else text, F.lit(NO_VALUE))
 
     def _manifests(self) -> DataFrame | None:
         try:
@@ -136,7 +144,7 @@ class Build:
             parts = {WHOLE: Part(path, self.store.spark.read.schema(rows.schema).parquet(path).count())}
         else:
             # one task per part where it is small; AQE splits a part that holds a third of all rows
-            cut = observed.withColumn(PART, part_of(by))
+            cut = observed.withColumn(PART, self.store.part_of(by))
             rows = rows.drop(by) if hidden else rows
             cut.select(PART, *rows.columns).hint("rebalance", F.col(PART)).write.partitionBy(PART).parquet(path)
             found = self.store.spark.read.schema(StructType([StructField(PART, StringType())])).option("basePath", path).parquet(path)

@@ -86,3 +86,10 @@ def test_a_third_of_all_rows_in_one_part(spark, store):
     build = store.begin()
     build.replace("t", spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'p' || id % 7 END AS p"), by="p")
     assert {p: at.rows for p, at in build.publish().tables["t"].parts.items()}["hot"] == 1000
+
+
+def test_parts_may_be_longer_than_a_value(spark, tmp_path):
+    store = Published(spark, str(tmp_path / "monthly"), {"d": 7})
+    build = store.begin()
+    build.replace("t", spark.sql("SELECT id AS x, DATE_ADD(DATE'2031-01-30', CAST(id AS INT)) AS d FROM RANGE(5)"), by="d")
+    assert {p: at.rows for p, at in build.publish().tables["t"].parts.items()} == {"2031-01": 2, "2031-02": 3}
