@@ -4,8 +4,8 @@ Terms travel as 64-bit digests.  Each map task counts its terms per (language,
 source) and writes digest, counts and text; only the fixed-width digests and
 counts are shuffled to be summed.  For digests that may be kept, the smallest and
 the largest text behind them are compared: where they differ two terms share a
-digest, and only those digests are counted again by their text.  Text is joined
-back for the reported terms alone.
+digest, and only those digests are counted again by their text.  A task writes a
+term's text with its first counts only.  Text is joined back for the reported terms alone.
 
 The distance of two sources is a sum over all kept terms.  Terms neither of them
 has differ by a constant, so only terms present in either are visited.  Sources
@@ -18,7 +18,7 @@ many as the result has.
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,58 +33,69 @@ from harborline.session import materialize
 TERM_TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
 HELD_TERMS = 300_000      # distinct (group, term) a map task counts before it writes them
+HELD_TEXTS = 1_000_000    # terms whose text a map task remembers to have written
 CHUNK_SOURCES = 64        # sources of a chunk, on average
 SLICE_TERMS = 1_000       # kept terms of a slice, on average
 
 
-def tally(docs: DataFrame, lang: str, source: str, text: str, digest_bits: int = 64) -> DataFrame:
-    """(lang, source, digest, n, df, term): occurrences and documents, summed within runs of a map task."""
+def tally(docs: DataFrame, lang: str, source: str, text: str, digest_bits: int = 64, every_text: bool = False) -> DataFrame:
+    """(lang, source, digest, n, df, term): occurrences and documents, summed within runs of a map task.
+
+    The text is NULL where the task has written it before, unless ``every_text``.
+    """
     mask = (1 << digest_bits) - 1
 
-    def written(counts: dict, documents: dict) -> Iterator[pa.RecordBatch]:
+    def written(counts: dict, documents: dict, seen: set[bytes]) -> Iterator[pa.RecordBatch]:
         for (lang_of, source_of), terms in counts.items():
             found = list(terms)
+            texts = found if every_text else [None if t in seen else t for t in found]
+            if len(seen) > HELD_TEXTS:
+                seen.clear()
+            seen.update(found)
             digests = np.fromiter((xxhash.xxh64_intdigest(t) & mask for t in found), dtype=np.uint64, count=len(found))
             df = documents[lang_of, source_of]
             yield pa.RecordBatch.from_arrays([
                 pa.array([lang_of] * len(found), pa.string()), pa.array([source_of] * len(found), pa.string()),
                 pa.array(digests.view(np.int64)), pa.array(terms.values(), pa.int64()),
-                pa.array([df[t] for t in found], pa.int64()), pa.array(found, pa.binary()).cast(pa.string())],
+                pa.array([df[t] for t in found], pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
                 ["lang", "source", "digest", "n", "df", "term"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, documents = defaultdict(Counter), defaultdict(Counter)
+        counts, documents, seen = defaultdict(Counter), defaultdict(Counter), set()
         for batch in batches:
             for lang_of, source_of, value in zip(*[batch.column(i).to_pylist() for i in range(3)]):
                 words = value.translate(TERM_TABLE).split()
                 counts[lang_of, source_of].update(words)
                 documents[lang_of, source_of].update(set(words))
             if sum(map(len, counts.values())) > HELD_TERMS:
-                yield from written(counts, documents)
+                yield from written(counts, documents, seen)
                 counts.clear()
                 documents.clear()
-        yield from written(counts, documents)
+        yield from written(counts, documents, seen)
 
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (lang, source)],
                        F.coalesce(F.col(text), F.lit("")).cast("binary"))
     return rows.mapInArrow(run, "lang string, source string, digest long, n long, df long, term string")
 
 
-def split_counts(rows: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, source, digest, tie, n, df) and (digest, tie, term); tie is empty but for terms that share their digest."""
+def split_counts(rows: DataFrame, min_docs: int, with_texts: Callable[[], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(lang, source, digest, tie, n, df) and (digest, tie, term); tie is empty but for terms that share their digest.
+
+    ``with_texts`` makes the same rows with their texts, for digests that are shared.
+    """
     sums = [F.sum("n").alias("n"), F.sum("df").alias("df")]
     counts = materialize(rows.groupBy("lang", "source", "digest").agg(*sums), "digest_counts")
     frequent = counts.groupBy("lang", "digest").agg(F.sum("df").alias("df")).where(F.col("df") >= min_docs)
     possible = materialize(frequent.select("digest").distinct(), "possible")
     texts = materialize(
-        rows.select("digest", "term").join(possible, "digest", "left_semi").groupBy("digest")
+        rows.where("term IS NOT NULL").select("digest", "term").join(possible, "digest", "left_semi").groupBy("digest")
         .agg(F.min("term").alias("low"), F.max("term").alias("high")), "digest_texts")
     names = texts.where("low = high").select("digest", F.lit("").alias("tie"), F.col("low").alias("term"))
     shared = texts.where("low <> high").select("digest")
     if shared.isEmpty():
         return counts.withColumn("tie", F.lit("")), names
     apart = materialize(
-        rows.join(shared, "digest", "left_semi").withColumnRenamed("term", "tie")
+        with_texts().join(shared, "digest", "left_semi").withColumnRenamed("term", "tie")
         .groupBy("lang", "source", "digest", "tie").agg(*sums), "shared_digests")
     whole = counts.join(shared, "digest", "left_anti").withColumn("tie", F.lit(""))
     return (whole.unionByName(apart),
@@ -157,7 +168,7 @@ def source_audit(docs: DataFrame, lang: str = "lang", source: str = "source", te
     columns are ignored, whatever their names.
     """
     rows = stored(tally(docs, lang, source, text, digest_bits), "tally")
-    counts, names = split_counts(rows, min_docs)
+    counts, names = split_counts(rows, min_docs, lambda: tally(docs, lang, source, text, digest_bits, every_text=True))
     kept = materialize(
         counts.groupBy("lang", "digest", "tie").agg(F.sum("df").alias("df"), F.sum("n").alias("lang_n"))
         .where(F.col("df") >= min_docs).drop("df"), "kept_terms")
