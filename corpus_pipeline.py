@@ -1,4 +1,12 @@
-"""From raw documents to packed training sequences: five stages, each on what the one before kept."""
+"""From raw documents to packed training sequences: five stages, each on what the one before kept.
+
+Edge cases, in every stage: a NULL text counts as empty (quality rejects it, the
+others treat it like any empty text); texts of any length are read whole; rows that
+repeat are told apart by a row number and repeat in results where the stage keeps
+them; a NULL doc_id loses against any other when one of a group stays; ties go to
+the smaller doc_id; NULL source is a source of its own; further columns, whatever
+their names, are carried along unread; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
