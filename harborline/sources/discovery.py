@@ -99,6 +99,7 @@ def find_deliveries(
 ) -> list[Delivery]:
     """One delivery per day; the first root that has the file wins.
 
+    A file of no bytes is not listed: it counts as missing, and its earlier load stays.
     Pass the folder of late arrivals as a second root to backfill from it.
     """
     dates = list(dates)

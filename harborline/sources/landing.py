@@ -269,10 +269,11 @@ class Lake:
         if not present:
             return LoadResult()
         expected = RAW_COLUMNS[table]
-        listed = self.spark.read.format("binaryFile").load([d.path for d in present]).where("length = 0").select("path")
-        empty = {_name(r.path) for r in listed.collect()}
-        refused = [Rejection(name, "columns", tuple(expected), (), 1, None) for name in sorted(empty)]
-        readable = [d for d in present if d.file_name not in empty]
+        # a listing of binary files leaves out those of no bytes
+        listed = self.spark.read.format("binaryFile").load([d.path for d in present]).select("path")
+        filled = {_name(r.path) for r in listed.collect()}
+        readable = [d for d in present if d.file_name in filled]
+        refused = [Rejection(d.file_name, "columns", tuple(expected), (), 1, None) for d in present if d.file_name not in filled]
         if readable:
             rows = read(self.spark, readable)
         else:

@@ -243,7 +243,6 @@ BROKEN_ADS = {
     "tiktok: short row": ("tiktok_ads_{}.csv", TIKTOK_HEAD + "1,a,2,3,4,5,20260606\n9.9,x\n", "fields"),
     "tiktok: long row": ("tiktok_ads_{}.csv", TIKTOK_HEAD + "1,a,2,3,4,5,20260606,7\n", "fields"),
     "tiktok: junk day": ("tiktok_ads_{}.csv", TIKTOK_HEAD + "1,a,2,3,4,5,junk\n", "day"),
-    "tiktok: empty": ("tiktok_ads_{}.csv", "", "columns"),
     "facebook: cut short": ("facebook_ads_{}.json", json.dumps(FACEBOOK)[:-40], "document"),
 }
 
@@ -274,6 +273,20 @@ def test_a_broken_export_is_refused_and_the_others_load(lake, inbox, case):
     assert [(r.file_name, r.reason, r.expected) for r in refused] == [(name, reason, RAW_COLUMNS["ad_performance"])]
 
 
+def test_an_export_of_no_bytes_is_missing_and_refused_if_named(lake, inbox):
+    day, name = date(2026, 6, 6), "tiktok_ads_2026-06-06.csv"
+    write_ads(inbox, str(day))
+    load_ads(lake, inbox, day)
+    (inbox / name).write_text("")
+    found = discovery.find_deliveries(lake.spark, [str(inbox)], "ad_performance", discovery.AD_PATTERNS["tiktok"], [day])
+    assert [d.path for d in found] == [None]
+    named = [discovery.Delivery("ad_performance", f"google_ads_{day}.csv", day, f"{inbox}/google_ads_{day}.csv"),
+             discovery.Delivery("ad_performance", name, day, f"{inbox}/{name}")]
+    with pytest.raises(RejectedFiles, match=name):
+        lake.load_frame("ad_performance", named, ad_exports.read_deliveries)
+    assert lake.table("ad_performance").where("platform = 'tiktok'").count() == 2
+
+
 BROKEN_ROWS = {
     "short": "77,mail", "long": "78,mail,spring,extra", "line break in quotes": '79,mail,"two\nlines"', "open quote": '80,"mail,spring',
 }
