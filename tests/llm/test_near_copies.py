@@ -4,7 +4,9 @@ import random
 
 import numpy as np
 
-from harborline.llm.simhash_trie import SKETCH_BITS, keep_one_of_each, similar_components, sketch, trie_links
+from harborline.llm.simhash_trie import (
+    SKETCH_BITS, SLICE_DIFF, Digests, bands, digest, keep_one_of_each, link_forest, set_sketch, shingle_hashes, similar_components, similar_sets,
+    sketch, slice_rotations, trie_links)
 
 
 def shingles(text):
@@ -94,3 +96,42 @@ def test_pairs_just_above_the_similarity_are_linked(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r["key"]: r["component_id"] for r in similar_components(docs).collect()}
     assert found == {i: i - i % 2 for i in range(len(texts))}
+
+
+def test_digests_keep_every_similar_pair_and_few_others():
+    dice = np.random.default_rng(7)
+    sets, pairs = [], []
+    for size in [1, 2, 5, 9, 40, 85, 86, 150, 170, 171, 340, 342, 690, 1300, 1366, 2000, 5000]:
+        for similarity in [0.8, 0.801, 0.9, 1.0, 0.6]:
+            for _ in range(20):
+                both = int(np.ceil(2 * size * similarity / (1 + similarity)))
+                own = int(dice.integers(0, 2 * (size - both) + 1)) if both < size else 0
+                values = np.unique(dice.integers(0, 2**64, 2 * size + 2, dtype=np.uint64))
+                a, b = values[:both + own], np.concatenate([values[:both], values[both + own:2 * size - both]])
+                pairs.append((len(sets), len(sets) + 1, similar_sets(a, b)))
+                sets += [a, np.sort(b)]
+    digests = Digests([digest(s) for s in sets], SKETCH_BITS)
+    i, j, similar = (np.array(x) for x in zip(*pairs))
+    may = digests.may_be_similar(i, j)
+    assert (may == digests.may_be_similar(j, i)).all() and may[similar].all() and similar.sum() > 500
+    assert may[~similar & (digests.size[i] > 100) & (digests.size[i] < 1300)].mean() < 0.1
+    unrelated = (digests.size[i[1:]] > 100) & (digests.size[i[1:]] < 1300)
+    assert unrelated.any() and not digests.may_be_similar(i[:-1], i[1:])[unrelated].any()
+
+
+def test_a_star_of_copies_gives_its_rays_not_its_square(spark):
+    """2,000 copies, similar to one original, most of them not to each other: the tries emit few pairs besides the similar ones."""
+    dice = random.Random(8)
+    base = [f"b{i}" for i in range(164)]
+    rows = []
+    for n in range(2001):
+        own = list(base)
+        for at in dice.sample(range(4, 160), 3) if n else []:
+            own[at] = f"own{n}_{at}"
+        hashes = np.unique(shingle_hashes(" ".join(own).encode(), 5, 42))
+        rows.append((n, n, bytearray(set_sketch(hashes)), bytearray(bands(hashes)), bytearray(digest(hashes)), hashes))
+    leaves = spark.createDataFrame([r[:5] for r in rows], "id long, part long, sketch binary, bands binary, digest binary")
+    found = {(min(p), max(p)) for p in link_forest(*slice_rotations(leaves), SLICE_DIFF, 1_000_000, 66).distinct().collect()}
+    similar = {p for p in found if similar_sets(rows[p[0]][5], rows[p[1]][5])}
+    assert len({b for a, b in similar if a == 0}) > 1950
+    assert len(found) < 2000 * 1999 / 2 / 10
