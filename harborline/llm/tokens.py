@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from harborline.llm.common import UID, ragged_positions, with_uid
 
 CACHE_PIECES = 1_000_000   # then the cache starts afresh; only speed depends on it
 MARK = "\x01"              # a token of its own between pieces that white space only separates
+JOINED = 1024              # pieces encoded as one text, apart by such a token
 RAW = "\x00"               # prefix of pieces that carry their own white space
 # White space in a row, at the start or end of a line, or other than space and line feed: split by SLOW_SPLIT.
 UNUSUAL = (r"[ \n][ \n]|[\x00\x09\x0B-\x0D\x1C-\x1F\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{2028}\x{2029}"
@@ -41,8 +43,11 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.keep_space = keep_space
         self.end_id = end_id
-        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        self.mark = mark[0] if not keep_space and len(mark) == 1 else None
+        # Where white space counts, a special token of the vocabulary keeps pieces apart.
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special and not (t.lstrip or t.rstrip)]
+        self.mark_text = f" {MARK} " if not keep_space else special[0] if special else ""
+        mark = self.tokenizer.encode(self.mark_text.strip(), add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         self.clear()
 
     def clear(self) -> None:
@@ -60,10 +65,11 @@ class PieceEncoder:
         return piece[1:] if piece.startswith(RAW) else piece if piece.startswith("\n") else " " + piece
 
     def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if self.mark is not None and not any(MARK in c for c in chunks):
-            ids = np.array(self.tokenizer.encode_batch_fast([f" {MARK} ".join(chunks)], add_special_tokens=False)[0].ids)
+        if self.mark is not None:
+            ids = np.array(self.tokenizer.encode_batch_fast([self.mark_text.join(chunks)], add_special_tokens=False)[0].ids)
             marks = np.flatnonzero(ids == self.mark)
-            if len(marks) == len(chunks) - 1:
+            # A chunk that holds the mark itself gives more of them.
+            if len(marks) == len(chunks) - 1 and not (MARK in self.mark_text and any(MARK in c for c in chunks)):
                 return np.delete(ids, marks), np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
         found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
         counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
@@ -72,8 +78,8 @@ class PieceEncoder:
     def _learn(self, pieces: list[str]) -> None:
         first = len(self.known)
         self.known.update(zip(pieces, range(first, first + len(pieces))))
-        for lo in range(0, len(pieces), 8192):
-            part = pieces[lo:lo + 8192]
+        for lo in range(0, len(pieces), JOINED):
+            part = pieces[lo:lo + JOINED]
             ids, counts = self._encode([self._chunk(p) for p in part])
             if len(ids) and ids.max() > 0xFFFF:
                 raise ValueError("the vocabulary has ids beyond 16 bits")
@@ -91,13 +97,14 @@ class PieceEncoder:
         """Ids of every list of pieces, then the end, as little-endian unsigned 16 bits."""
         pieces = lists.flatten().dictionary_encode()
         names = pieces.dictionary.to_pylist()
-        missing = [p for p in names if p not in self.known]
+        number = np.fromiter(map(self.known.get, names, repeat(-1)), dtype=np.int64, count=len(names))
+        missing = np.flatnonzero(number < 0)
         if len(self.known) + len(missing) > CACHE_PIECES and len(self.known) > 1:
             self.clear()
-            missing = names
-        if missing:
-            self._learn(missing)
-        number = np.fromiter(map(self.known.__getitem__, names), dtype=np.int64, count=len(names))
+            missing = np.arange(len(names))
+        if len(missing):
+            number[missing] = len(self.known) + np.arange(len(missing))
+            self._learn([names[i] for i in missing])
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         index = np.insert(number[pieces.indices.to_numpy()] if len(names) else number, offsets[1:], 0)
         counts = self.counts[index]
