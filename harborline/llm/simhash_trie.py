@@ -15,15 +15,18 @@ costs neither its square in rows nor, mostly, in time.  Subtries with more than
 ``node_rows`` leaves are split further into node pairs that different tasks walk.
 
 Word-shingle similarity takes a longer fingerprint, and there it only proposes:
-every link is a pair of texts whose shingle sets were compared exactly.  Neighbours
-in the sorted order of each slice are compared first; the tries then give all near
-pairs of different components so far.  Leaves carry a parity digest of their set, a
-lower bound of how many shingles two sets do not share: a pair that cannot be
-similar never leaves the task that walks it.
+every link is a pair of texts whose shingle sets were compared exactly.  Leaves
+carry a parity digest of their set, a lower bound of how many shingles two sets do
+not share: a pair that cannot be similar counts for nothing.  Of all others the
+tries give a spanning forest, whose components are clusters that no similar pair
+leaves.  The sets of a cluster then meet in one task, or chunk by chunk in several,
+which compares all its pairs and gives a spanning forest of the similar ones.  So
+rows never grow with the square of a group, whether its pairs are similar or not.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import accumulate
 
 import numpy as np
@@ -42,6 +45,9 @@ SLICE_DIFF = 3           # differing bits of a 32-bit slice of such a fingerprin
 PARITY_WORDS = 16        # 64-bit words of the parity digest of a set, at most
 BANDS, BAND = 18, 4      # MinHash bands of such a text and values in a band
 LISTED = 500_000         # row numbers that are broadcast at most
+CHUNK_ROWS = 2048        # sets of a cluster that one side of a task compares, at most about so many
+CHUNK_VALUES = 1 << 22   # and of about so many values in all
+COMPARED = 1 << 20       # values that are looked up at once
 # Odd multipliers, one per 64 bits of a sketch.
 LANES = np.arange(1, SKETCH_BITS // 32, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 # More of them, one per MinHash value.
@@ -183,15 +189,16 @@ def _merge(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def trie_links(leaves: np.ndarray, pairs: list[tuple], depth: int, budget: int,
-               sketches: np.ndarray | None = None, whole: int = 0) -> np.ndarray:
+               sketches: np.ndarray | Callable | None = None, whole: int = 0) -> np.ndarray:
     """Parents of a spanning forest over ``leaves`` (sorted uint64) of all links below the node ``pairs``.
 
     pairs: (a_lo, a_hi, b_lo, b_hi, errors) ranges of nodes at ``depth``.  With
-    ``sketches``, rows of uint64, a link also needs at most ``whole`` differing bits there.
+    ``sketches``, rows of uint64, a link also needs at most ``whole`` differing bits there;
+    a function (i, j) says itself which pairs of leaves may be links.
     """
     groups = [np.arange(len(leaves))]
-    close = None
-    if sketches is not None:
+    close = sketches if callable(sketches) else None
+    if sketches is not None and close is None:
         def close(i, j):
             return np.bitwise_count(sketches[i] ^ sketches[j]).sum(axis=1, dtype=np.int64) <= whole
     for i, j in near_pairs(leaves, pairs, depth, budget, groups, close):
@@ -288,11 +295,12 @@ def rotations(distinct: DataFrame, max_diff: int) -> tuple[DataFrame, list[int]]
 
 
 def slice_rotations(distinct: DataFrame) -> tuple[DataFrame, list[int]]:
-    """The same for the 32-bit slices of (id, part, sketch, bands, digest): a trie per slice and rotation by whole bytes; part and digest stay.
+    """The same for the 32-bit slices of (id, sketch, bands, digest): a trie per slice and rotation by whole bytes; digest and part, if there is one, stay.
 
     Slices miss about 9 % of the pairs of similarity 0.8.  Each band is one more
     trie, in which only equal leaves are near; all bands miss one pair in 13,000.
     """
+    carried = ["id", *[c for c in ("part", "digest") if c in distinct.columns]]
 
     def spread(batches):
         for batch in batches:
@@ -305,7 +313,7 @@ def slice_rotations(distinct: DataFrame) -> tuple[DataFrame, list[int]]:
             def rows(r, key, leaf):
                 return pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(leaf), r, dtype=np.int32)), pa.array(key.view(np.int64)), pa.array(leaf.view(np.int64)),
-                    *[batch.column(c) for c in ("id", "part", "digest")]], ["r", "key", "leaf", "id", "part", "digest"])
+                    *[batch.column(c) for c in carried]], ["r", "key", "leaf", *carried])
 
             for s in range(slices.shape[1]):
                 for turn in range(SLICE_DIFF + 1):
@@ -316,19 +324,19 @@ def slice_rotations(distinct: DataFrame) -> tuple[DataFrame, list[int]]:
                 x = hashed[:, b].copy()
                 yield rows((SLICE_DIFF + 1) * slices.shape[1] + b, x >> np.uint64(48), x)
 
-    keyed = distinct.select("id", "part", "sketch", "bands", "digest").mapInArrow(
-        spread, "r int, key long, leaf long, id long, part long, digest binary")
+    keyed = distinct.select(*carried, "sketch", "bands").mapInArrow(
+        spread, "r int, key long, leaf long, " + ", ".join(f"{c} {'binary' if c == 'digest' else 'long'}" for c in carried))
     return keyed, [8] * (SKETCH_BITS // 32 * (SLICE_DIFF + 1)) + [16] * BANDS
 
 
 def link_forest(keyed: DataFrame, widths: list[int], max_diff: int, node_rows: int, whole: int = 0) -> DataFrame:
     """(a, b): a spanning forest, per subtrie, of all pairs of ids whose leaves are within ``max_diff`` bits.
 
-    keyed: r, key (the first ``widths[r]`` bits of the leaf), leaf, id.  With part
-    and digest, not a forest but all such pairs of different parts whose sets may be
-    similar by their ``Digests``, too; a pair may come from several tries.
+    keyed: r, key (the first ``widths[r]`` bits of the leaf), leaf, id.  With digest,
+    only pairs whose sets may be similar by their ``Digests``, too.  With part as well,
+    not a forest but all such pairs of different parts; a pair may come from several tries.
     """
-    carried = ["part", "digest"] if "digest" in keyed.columns else []
+    carried = [c for c in ("part", "digest") if c in keyed.columns]
     hot = keyed.groupBy("r", "key").count().where(F.col("count") > node_rows).select(
         "r", "key", F.least(F.lit(12), F.ceil(F.log2(F.col("count") / node_rows)) + 1).cast("int").alias("split"))
     hot = materialize(hot, "hot_nodes")
@@ -344,7 +352,7 @@ def link_forest(keyed: DataFrame, widths: list[int], max_diff: int, node_rows: i
     def walk(batches):
         for part in key_slices(batches, ["r", "key", "x", "y"], 200_000):
             columns = {c: part.column(c).to_numpy() for c in part.column_names if c != "digest"}
-            digests = Digests(part.column("digest").to_pylist(), whole) if carried else None
+            digests = Digests(part.column("digest").to_pylist(), whole) if "digest" in carried else None
             r_of, x, y, node = (columns[c] for c in ("r", "x", "y", "node"))
             leaf = columns["leaf"].view(np.uint64)
             change = np.flatnonzero(np.concatenate([[True], np.any([columns[c][1:] != columns[c][:-1] for c in ("r", "key", "x", "y", "node")], axis=0)]))
@@ -361,11 +369,11 @@ def link_forest(keyed: DataFrame, widths: list[int], max_diff: int, node_rows: i
                         pairs.append((change[m], ends[m], change[n], ends[n], int(x[change[m]] ^ y[change[m]]).bit_count()))
                 if not pairs:
                     continue
-                if carried:
+                if "part" in carried:
                     for i, j in near_pairs(leaf, pairs, int(depth), max_diff, [columns["part"]], digests.may_be_similar):
                         yield pa.RecordBatch.from_arrays([pa.array(columns["id"][i]), pa.array(columns["id"][j])], ["a", "b"])
                     continue
-                parent = trie_links(leaf, pairs, int(depth), max_diff)
+                parent = trie_links(leaf, pairs, int(depth), max_diff, digests.may_be_similar if digests else None)
                 child = np.flatnonzero(parent != np.arange(len(parent)))
                 yield pa.RecordBatch.from_arrays([pa.array(columns["id"][child]), pa.array(columns["id"][parent[child]])], ["a", "b"])
 
@@ -389,69 +397,87 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return rows.join(member.join(ids, "root").select("fp", "component_id"), "fp")
 
 
-def sorted_neighbours(distinct: DataFrame, whole: int) -> DataFrame:
-    """(a, b): neighbours in the order of the sketches from each 32-bit slice on that may be similar by their ``Digests``.
-
-    The order is cut into ranges, of equal leaves too; a pair at a cut is left to the tries.
-    """
-
-    def spread(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=">u4").reshape(batch.num_rows, -1).astype(np.uint64)
-            for s in range(sketches.shape[1]):
-                x = (sketches[:, s] << np.uint64(32)) | sketches[:, (s + 1) % sketches.shape[1]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(x), s, dtype=np.int32)), pa.array(x.view(np.int64)),
-                    batch.column("id"), batch.column("digest")], ["r", "leaf", "id", "digest"])
-
-    def run(batches):
-        tries, ids, digests = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64), []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            tries = np.concatenate([tries, batch.column("r").to_numpy()])
-            ids = np.concatenate([ids, batch.column("id").to_numpy()])
-            digests += batch.column("digest").to_pylist()
-            at = np.flatnonzero(tries[1:] == tries[:-1])
-            near = at[Digests(digests, whole).may_be_similar(at + 1, at)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[near + 1]), pa.array(ids[near])], ["a", "b"])
-            tries, ids, digests = tries[-1:], ids[-1:], digests[-1:]
-
-    keyed = distinct.select("id", "sketch", "digest").mapInArrow(spread, "r int, leaf long, id long, digest binary")
-    order = ["r", "leaf", "id"]
-    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("r", "id", "digest").mapInArrow(run, "a long, b long")
-
-
 def similar_sets(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether the Jaccard similarity of two arrays of distinct values is 0.8 or more."""
     common = len(np.intersect1d(a, b, assume_unique=True))
     return 5 * common >= 4 * (len(a) + len(b) - common)
 
 
-def verified(pairs: DataFrame, rows: DataFrame, shingle: int, seed: int) -> DataFrame:
-    """Those of the pairs (a, b) of row numbers whose texts have ``similar_sets`` of shingles."""
+def similar_to(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """``similar_sets`` of one sorted array with each of the others."""
+    sizes = np.array([len(x) for x in others], dtype=np.int64)
+    if not len(one):
+        return sizes == 0
+    values = np.concatenate(others)
+    hit = one[np.minimum(np.searchsorted(one, values), len(one) - 1)] == values
+    ends = np.cumsum(sizes)
+    found = np.concatenate([[0], np.cumsum(hit)])
+    common = found[ends] - found[ends - sizes]
+    return 5 * common >= 4 * (len(one) + sizes - common)
+
+
+def similar_forest(sets: list[np.ndarray], split: int | None, whole: int) -> list[tuple[int, int]]:
+    """A spanning forest of all pairs of similar sets, or of those with one before and one from ``split`` on."""
+    n = len(sets)
+    parent, found = np.arange(n), []
+    digests = Digests([digest(x) for x in sets], whole) if n > 8 else None
+    for i in range(n if split is None else split):
+        j = np.arange(i + 1 if split is None else split, n)
+        j = j[parent[j] != parent[i]]
+        if digests and len(j):
+            j = j[digests.may_be_similar(np.full(len(j), i), j)]
+        room = np.cumsum([len(sets[x]) for x in j]) // COMPARED
+        for step in np.unique(room):
+            at = j[room == step]
+            at = at[parent[at] != parent[i]]
+            if len(at):
+                at = at[similar_to(sets[i], [sets[x] for x in at])]
+                _, first = np.unique(parent[at], return_index=True)
+                found += [(i, int(x)) for x in at[first]]
+                parent = _merge(parent, np.full(len(at), i), at)
+    return found
+
+
+def similar_links(clusters: DataFrame, rows: DataFrame, shingle: int, seed: int, whole: int) -> DataFrame:
+    """(a, b): per cluster and pair of chunks, a spanning forest of all its pairs with ``similar_sets`` of shingles.
+
+    clusters: a stored table of id, cluster and size of the set.  A cluster is one
+    chunk unless its rows or values are too many for a task; then its texts go to
+    every pair of chunks they are in.
+    """
+    chunks = clusters.groupBy("cluster").agg(F.expr(
+        f"CAST(GREATEST(CEIL(COUNT(*) / {CHUNK_ROWS}), CEIL(SUM(size) / {CHUNK_VALUES})) AS INT) AS chunks"))
+    member = materialize(clusters.join(chunks, "cluster").selectExpr(
+        f"id AS {UID}", "cluster", "chunks", "CAST(PMOD(XXHASH64(id), chunks) AS INT) AS own"), "members")
 
     def sets(batches):
         for batch in batches:
-            hashes = [np.unique(shingle_hashes(t, shingle, seed)).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary())], ["id", "hashes"])
+            hashes = [np.unique(shingle_hashes(t, shingle, seed)).tobytes() for t in batch.column("t").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in (UID, "cluster", "chunks", "own")], pa.array(hashes, pa.binary())],
+                ["id", "cluster", "chunks", "own", "hashes"])
 
     def compare(batches):
-        for batch in batches:
-            of = lambda c: [np.frombuffer(x, dtype="<u8") for x in batch.column(c).to_pylist()]
-            ok = np.array([similar_sets(x, y) for x, y in zip(of("of_a"), of("of_b"))], dtype=bool)
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
-
-    pairs = materialize(pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct(), "candidates")
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias(UID)).distinct(), "wanted")
-    texts = rows.join(F.broadcast(wanted) if wanted.count() <= LISTED else wanted, UID, "left_semi")
-    hashed = materialize(texts.select(UID, F.coalesce("text", F.lit("")).cast("binary").alias("t")).mapInArrow(
-        sets, "id long, hashes binary"), "shingle_sets")
-    both = pairs.join(hashed.select(F.col("id").alias("a"), F.col("hashes").alias("of_a")), "a").join(
-        hashed.select(F.col("id").alias("b"), F.col("hashes").alias("of_b")), "b")
-    return materialize(both.select("a", "b", "of_a", "of_b").mapInArrow(compare, "a long, b long"), "similar")
+        for part in key_slices(batches, ["cluster", "x", "y"], 1):
+            columns = {c: part.column(c).to_numpy() for c in ("cluster", "x", "y", "own", "id")}
+            hashes = [np.frombuffer(x, dtype="<u8") for x in part.column("hashes").to_pylist()]
+            starts = np.flatnonzero(np.concatenate([[True], np.any([columns[c][1:] != columns[c][:-1] for c in ("cluster", "x", "y")], axis=0)]))
+            links = []
+            for lo, hi in zip(starts, np.append(starts[1:], len(hashes))):
+                x, y = columns["x"][lo], columns["y"][lo]
+                split = None if x == y else int((columns["own"][lo:hi] == x).sum())
+                links += [(lo + i, lo + j) for i, j in similar_forest(hashes[lo:hi], split, whole)]
+            i, j = np.array(links, dtype=np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(columns["id"][i]), pa.array(columns["id"][j])], ["a", "b"])
+
+    texts = rows.select(UID, F.coalesce("text", F.lit("")).cast("binary").alias("t")).join(
+        F.broadcast(member) if member.count() <= LISTED else member, UID)
+    hashed = texts.select(UID, "cluster", "chunks", "own", "t").mapInArrow(
+        sets, "id long, cluster long, chunks int, own int, hashes binary")
+    blocks = hashed.withColumn("other", F.expr("EXPLODE(SEQUENCE(0, chunks - 1))")).selectExpr(
+        "cluster", "LEAST(own, other) AS x", "GREATEST(own, other) AS y", "own", "id", "hashes")
+    return blocks.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "own", "id").mapInArrow(
+        compare, "a long, b long")
 
 
 def similar_rows(rows: DataFrame, shingle: int = 5, seed: int = 42, whole: int = 66, node_rows: int = 1_000_000) -> DataFrame:
@@ -462,19 +488,18 @@ def similar_rows(rows: DataFrame, shingle: int = 5, seed: int = 42, whole: int =
             sets = [np.unique(shingle_hashes(t, shingle, seed)) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *[pa.array(map(f, sets), pa.binary()) for f in (set_sketch, bands, digest)],
-                 pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary())], [UID, "key", "sketch", "bands", "digest", "same"])
+                 pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()), pa.array(map(len, sets), pa.int64())],
+                [UID, "key", "sketch", "bands", "digest", "same", "size"])
 
     kind = rows.schema["key"].dataType.simpleString()
     sketched = materialize(rows.select(UID, "key", F.coalesce("text", F.lit("")).cast("binary").alias("t")).mapInArrow(
-        run, f"{UID} long, key {kind}, sketch binary, bands binary, digest binary, same binary"), "sketches")
+        run, f"{UID} long, key {kind}, sketch binary, bands binary, digest binary, same binary, size long"), "sketches")
     # Equal shingle sets are one leaf.
     distinct = materialize(sketched.groupBy("same").agg(
-        F.min("key").alias("least"), F.min(UID).alias("id"), *[F.first(c).alias(c) for c in ("sketch", "bands", "digest")]), "distinct")
-    sure = verified(sorted_neighbours(distinct, whole), rows, shingle, seed)
-    parts = components(sure, "a", "b").selectExpr("node AS id", "root AS part")
-    leaves = materialize(distinct.select("id", "sketch", "bands", "digest").join(parts, "id", "left").withColumn("part", F.coalesce("part", "id")), "leaves")
-    links = sure.union(verified(link_forest(*slice_rotations(leaves), SLICE_DIFF, node_rows, whole), rows, shingle, seed))
-    found = components(links, "a", "b")
+        F.min("key").alias("least"), F.min(UID).alias("id"), *[F.first(c).alias(c) for c in ("sketch", "bands", "digest", "size")]), "distinct")
+    near = components(link_forest(*slice_rotations(distinct), SLICE_DIFF, node_rows, whole), "a", "b")
+    clusters = materialize(distinct.select("id", "size").join(near.selectExpr("node AS id", "root AS cluster"), "id"), "clusters")
+    found = components(similar_links(clusters, rows, shingle, seed, whole), "a", "b")
     member = distinct.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     return sketched.join(member.join(ids, "root").select("same", "component_id"), "same").select(UID, "key", "component_id")

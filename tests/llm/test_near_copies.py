@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+from harborline.llm import simhash_trie
 from harborline.llm.simhash_trie import (
     SKETCH_BITS, SLICE_DIFF, Digests, bands, digest, keep_one_of_each, link_forest, set_sketch, shingle_hashes, similar_components, similar_sets,
     sketch, slice_rotations, trie_links)
@@ -135,3 +136,56 @@ def test_a_star_of_copies_gives_its_rays_not_its_square(spark):
     similar = {p for p in found if similar_sets(rows[p[0]][5], rows[p[1]][5])}
     assert len({b for a, b in similar if a == 0}) > 1950
     assert len(found) < 2000 * 1999 / 2 / 10
+
+
+def parts_of(nodes, pairs):
+    """The smallest node of each node's component."""
+    root = {n: n for n in nodes}
+    for _ in nodes:
+        before = dict(root)
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            return root
+
+
+def test_candidates_of_a_group_are_a_forest_and_its_pairs_are_all_compared(spark, monkeypatch):
+    """Pipeline: the tries gave every candidate pair of a group of near copies, its square in rows."""
+    dice = random.Random(9)
+    texts = []
+    for n in range(300):
+        own = [f"b{i}" for i in range(164)]
+        for at in dice.sample(range(4, 160), dice.randrange(1, 6)):
+            own[at] = f"own{n}_{at}"
+        texts.append(" ".join(own))
+    sets = [np.unique(shingle_hashes(t.encode(), 5, 42)) for t in texts]
+    leaves = spark.createDataFrame(
+        [(n, bytearray(set_sketch(x)), bytearray(bands(x)), bytearray(digest(x))) for n, x in enumerate(sets)],
+        "id long, sketch binary, bands binary, digest binary")
+    found = [tuple(r) for r in link_forest(*slice_rotations(leaves), SLICE_DIFF, 1_000_000, 66).collect()]
+    similar = [(a, b) for b in range(300) for a in range(b) if similar_sets(sets[a], sets[b])]
+    cluster, wanted = parts_of(range(300), found), parts_of(range(300), similar)
+    # a forest per trie has fewer rows than leaves
+    assert 1000 < len(similar) and len(found) < 300 * (SKETCH_BITS // 32 * (SLICE_DIFF + 1) + simhash_trie.BANDS)
+    assert all(cluster[a] == cluster[b] for a, b in similar)
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "_uid long, text string")
+    clusters = spark.createDataFrame([(n, cluster[n], len(sets[n])) for n in range(300)], "id long, cluster long, size long")
+    for most, spread in ((2048, 1), (40, 8)):
+        monkeypatch.setattr(simhash_trie, "CHUNK_ROWS", most)
+        links = [tuple(r) for r in simhash_trie.similar_links(clusters, rows, 5, 42, 66).collect()]
+        assert set(map(frozenset, links)) <= set(map(frozenset, similar)) and len(links) < 300 * spread
+        assert parts_of(range(300), links) == wanted
+
+
+def test_a_forest_of_similar_sets_has_their_components():
+    dice = np.random.default_rng(10)
+    pool = dice.integers(0, 2**64, 400, dtype=np.uint64)
+    sets = [np.unique(dice.choice(pool[20 * (i % 7):20 * (i % 7) + 40], 40 - i % 5, replace=False)) for i in range(200)]
+    sets += [sets[0], np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)]
+    n = len(sets)
+    for split in (None, 120):
+        pairs = [(i, j) for j in range(n) for i in range(j) if similar_sets(sets[i], sets[j]) and (split is None or i < split <= j)]
+        found = simhash_trie.similar_forest(sets, split, 66)
+        assert set(found) <= set(pairs) and len(found) < n and parts_of(range(n), found) == parts_of(range(n), pairs)
+        assert (simhash_trie.similar_to(sets[0], sets) == [similar_sets(sets[0], x) for x in sets]).all()
