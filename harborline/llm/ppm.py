@@ -34,6 +34,7 @@ ORDER = 5                      # context bytes; a gram has one more and fits 48
 PAD, END = 0xFE, 0xFF          # bytes that UTF-8 never has: before a text, after it
 BLOCK_BYTES = 24 << 20
 PART_BYTES = 2 << 20           # texts turned into grams at once; a longer text is one part
+SUM_ROWS = 200_000             # grams of a block's parts summed at once
 
 
 def squeeze(data: bytes) -> bytes:
@@ -80,7 +81,8 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     line = np.frombuffer(bytes([PAD]) * ORDER + between.join(texts) + bytes([END]), dtype=np.uint8)
     packed = np.zeros(len(line) - ORDER, dtype=np.int64)
     for j in range(ORDER + 1):
-        packed = (packed << 8) | line[j:len(line) - ORDER + j]
+        packed <<= 8
+        packed |= line[j:len(line) - ORDER + j]
     return packed[line[ORDER:] != PAD], np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
 
 
@@ -90,22 +92,67 @@ def word_lists(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
     return np.fromiter(map(len, split), dtype=np.int64, count=len(split)), pa.array([w for s in split for w in s], pa.binary())
 
 
+def distinct_grams(gram: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct grams ascending, how many of each are from training documents); uses ``gram`` up."""
+    gram <<= 1   # a gram leaves room for the mark
+    gram |= train
+    gram.sort()
+    starts = np.flatnonzero(np.concatenate([[True], (gram[1:] >> 1) != (gram[:-1] >> 1)])) if len(gram) else np.zeros(0, np.int64)
+    n = np.add.reduceat((gram & 1).astype(np.int8), starts, dtype=np.int64) if len(gram) else gram
+    return gram[starts] >> 1, n
+
+
+def counted(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct grams ascending, sum of ``n`` of each)."""
+    if not len(gram):
+        return gram, n
+    order = np.argsort(gram, kind="stable")
+    gram, n = gram[order], n[order]
+    starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+    return gram[starts], np.add.reduceat(n, starts)
+
+
+def summed(found: list[tuple[np.ndarray, np.ndarray]]):
+    """``counted`` over several of its results, about SUM_ROWS entries at a time, in ascending ranges of grams."""
+    rows = sum(len(gram) for gram, _ in found)
+    if not rows:
+        return
+    # Every part gives evenly spaced grams; a border between ranges is one of them.
+    spaced = np.sort(np.concatenate([gram[::64] for gram, _ in found]))
+    borders = spaced[np.arange(1, -(-rows // SUM_ROWS)) * len(spaced) // -(-rows // SUM_ROWS)]
+    cuts = [np.concatenate([[0], np.searchsorted(gram, borders), [len(gram)]]) for gram, _ in found]
+    for i in range(len(borders) + 1):
+        gram, n = counted(*(np.concatenate([part[k][c[i]:c[i + 1]] for part, c in zip(found, cuts)]) for k in (0, 1)))
+        if len(gram):
+            yield gram, n
+
+
+def summed_words(words: list[pa.Table]) -> pa.Table:
+    # one thread: every further one would hold groups of its own
+    sums = pa.concat_tables(words).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return sums.rename_columns(["n" if c == "n_sum" else c for c in sums.column_names]).select(["word", "n"]).combine_chunks()
+
+
+def outgrown(rows: list[int]) -> bool:
+    """Whether the results since the last sum hold more entries than that sum, the first of the list."""
+    return sum(rows[1:]) > max(rows[0], SUM_ROWS)
+
+
 def block_keys(blocked: DataFrame) -> DataFrame:
     """(block, word or gram, n): distinct words and grams of each block, with their number in training documents."""
 
     def flush(block, words, found):
-        if found:
-            sums = pd.concat(found).groupby(level=0).sum()
-            k = len(sums)
+        for gram, n in summed(found):
+            k = len(gram)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, block)), pa.nulls(k, pa.binary()), pa.array(sums.index.to_numpy()), pa.array(sums.to_numpy())],
+                [pa.array(np.full(k, block)), pa.nulls(k, pa.binary()), pa.array(gram), pa.array(n)],
                 ["block", "word", "gram", "n"])
         if words:
-            sums = pa.concat_tables(words).group_by("word").aggregate([("n", "sum")]).combine_chunks()
+            sums = summed_words(words)
             for part in sums.to_batches(100_000):
                 k = part.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(k, block)), part.column("word"), pa.nulls(k, pa.int64()), part.column("n_sum")],
+                    [pa.array(np.full(k, block)), part.column("word"), pa.nulls(k, pa.int64()), part.column("n")],
                     ["block", "word", "gram", "n"])
 
     def run(batches):
@@ -122,14 +169,17 @@ def block_keys(blocked: DataFrame) -> DataFrame:
                 texts, train = [texts_of[i] for i in mine], train_of[mine]
                 for lo, hi in document_parts(texts):
                     gram, n = grams(texts[lo:hi])
-                    codes, distinct = pd.factorize(gram)
-                    weight = np.bincount(codes, weights=np.repeat(train[lo:hi], n), minlength=len(distinct)).astype(np.int64)
-                    found.append(pd.Series(weight, index=distinct))
+                    found.append(distinct_grams(gram, np.repeat(train[lo:hi].astype(bool), n)))
+                    del gram
+                    if outgrown([len(g) for g, _ in found]):
+                        found = [tuple(map(np.concatenate, zip(*summed(found))))]
                     n, flat = word_lists(texts[lo:hi])
                     if len(flat):
                         coded = flat.dictionary_encode()
                         weight = np.bincount(coded.indices.to_numpy(), weights=np.repeat(train[lo:hi], n), minlength=len(coded.dictionary))
                         words.append(pa.table({"word": coded.dictionary, "n": weight.astype(np.int64)}))
+                        if outgrown([w.num_rows for w in words]):
+                            words = [summed_words(words)]
         if current is not None:
             yield from flush(current, words, found)
 

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +67,34 @@ def test_ppm_against_dictionaries(spark, monkeypatch, block_bytes, train):
     assert ppm.score(frame(spark, []), F.lit(True)).collect() == []
 
 
+def test_ppm_block_sums_leave_in_bounded_batches(monkeypatch):
+    """A block of any size is summed and sent in slices, with the counts of plain counting."""
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(ppm, "stored", lambda run, label: run)
+    monkeypatch.setattr(ppm, "SUM_ROWS", 5_000, raising=False)
+    monkeypatch.setattr(ppm, "PART_BYTES", 20_000)
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 123, n, dtype=np.uint8)) + b" same words" for n in rng.integers(0, 4_000, 120)]
+    train, block = rng.random(120) < 0.7, np.repeat([1, 2, 5], 40)
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array(block[i:i + 25]), pa.array(train[i:i + 25]), pa.array(list(map(ppm.squeeze, texts[i:i + 25])), pa.binary())],
+        ["block", "train", "t"]) for i in range(0, 120, 25)]
+    sent = list(ppm.block_keys(Rows())(iter(batches)))
+    assert max(b.num_rows for b in sent) <= 10_000
+    want = Counter()
+    for t, learn, b in zip(texts, train, block):
+        for key in [*ppm.grams([t])[0].tolist(), *t.split()]:
+            want[b, key] += int(learn)
+    rows = [(r["block"], r["gram"] if r["word"] is None else r["word"], r["n"]) for b in sent for r in b.to_pylist()]
+    assert len(rows) == len(want) and {(b, k): n for b, k, n in rows} == dict(want)
+
+
 def test_ppm_probabilities_sum_to_one():
     model = PlainPpm([b"abracadabra", b"abba"])
     for context in (b"\xfe\xfeabr", b"zzzzz", b"racad"):
