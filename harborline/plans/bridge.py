@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harborline.functions.text import quote
-from harborline.operators.cleaning import money_orders
+from harborline.operators.cleaning import money_moved, money_orders
 from harborline.schemas import AD_PLATFORMS
 from harborline.sources import seeds
 
@@ -111,8 +111,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = money_orders(raw_orders(spark, sf_dir)).selectExpr(
+def _payments(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    """What transactions and entries are derived from; ``base`` is a written order_base of the raw orders."""
+    money = money_orders(raw_orders(spark, sf_dir)) if base is None else money_moved(base)
+    keyed = money.selectExpr(
         "order_id", "order_ts", "total_amount AS amount", "CAST(SUBSTRING_INDEX(order_id, '-', -1) AS BIGINT) AS k"
     )
     return keyed.selectExpr(
@@ -122,8 +124,8 @@ def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_gateway_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _payments(spark, sf_dir).selectExpr(
+def raw_gateway_txns(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    return _payments(spark, sf_dir, base).selectExpr(
         "'T-' || k AS txn_id", "'GW-' || order_id AS gateway_ref",
         "CAST(amount AS STRING) AS amount", "'THB' AS currency", "CAST(fee AS STRING) AS fee",
         "'captured' AS status", f"{_with_offset('created', 'FALSE')} AS created_at",
@@ -131,9 +133,9 @@ def raw_gateway_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_ledger_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_ledger_entries(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     # L is the regular entry, LD a second posting of it, LX one without a transaction
-    entries = _payments(spark, sf_dir).selectExpr("*", """EXPLODE(CASE
+    entries = _payments(spark, sf_dir, base).selectExpr("*", """EXPLODE(CASE
         WHEN b <= 14 THEN CAST(ARRAY() AS ARRAY<STRING>)
         WHEN b BETWEEN 98 AND 102 THEN ARRAY('L-', 'LD-')
         WHEN b BETWEEN 103 AND 112 THEN ARRAY('L-', 'LX-')

@@ -7,8 +7,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from harborline.operators import history, reconciliation as recon, skew
-from harborline.plans import deliveries, registry
+from harborline.operators import cleaning, history, reconciliation as recon, skew
+from harborline.plans import bridge, deliveries, registry
 from tests.conftest import SF_SMALL
 
 
@@ -89,3 +89,19 @@ def test_slices_count_only_the_groups_at_their_ends(spark):
     sliced = skew.ranked_sliced(rows.repartition(3), ["a", "b"], order, "n")
     plain = rows.selectExpr("*", "CAST(ROW_NUMBER() OVER (PARTITION BY a, b ORDER BY o) AS BIGINT) AS n")
     assert sorted(map(str, sliced.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_checksums_read_shared_tables_once(spark):
+    """Only the status history still reads the raw orders; the rest starts from tables written once."""
+    df = registry.queries()["table_checksums"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("/orders.parquet") == 1
+    assert plan.count("/lineitem.parquet") == 1
+    assert plan.count("/events.parquet") == 0
+
+
+def test_payments_from_a_written_base_are_the_same(spark):
+    base = cleaning.order_base(bridge.raw_orders(spark, SF_SMALL))
+    for derive in (bridge.raw_gateway_txns, bridge.raw_ledger_entries):
+        plain, shared = derive(spark, SF_SMALL), derive(spark, SF_SMALL, base)
+        assert plain.count() and plain.schema == shared.schema and plain.exceptAll(shared).isEmpty() and shared.exceptAll(plain).isEmpty()
