@@ -17,12 +17,13 @@ many as the result has.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -32,12 +33,93 @@ from harborline.session import materialize
 # Letters and all bytes of non-ASCII characters make terms; A-Z become a-z.
 TERM_TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
-HELD_TERMS = 300_000      # distinct (group, term) a map task counts before it writes them
-HELD_TEXTS = 1_000_000    # terms whose text a map task remembers to have written
+HELD_TERMS = 2_000_000    # counts of (group, term) a map task holds; it writes them if more than half are distinct
+HELD_TEXTS = 1_000_000    # terms a map task knows, with their text
 CHUNK_SOURCES = 64        # sources of a chunk, on average
 SLICE_TERMS = 1_000       # kept terms of a slice, on average
 
 
+class Terms:
+    """The terms a map task knows: their numbers, digests, and whether their text has been written."""
+
+    def __init__(self, mask: int):
+        self.mask = mask
+        self.number: dict[bytes, int] = {}
+        self.names: list[bytes] = []
+        self.digest, self.told = np.zeros(1 << 12, dtype=np.uint64), np.zeros(1 << 12, dtype=bool)
+
+    def numbers(self, found: list[bytes]) -> np.ndarray:
+        number = np.fromiter(map(self.number.get, found, repeat(-1)), dtype=np.int64, count=len(found))
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            first, new = len(self.names), [found[i] for i in missing]
+            number[missing] = np.arange(first, first + len(new))
+            self.number.update(zip(new, range(first, first + len(new))))
+            self.names += new
+            while len(self.names) > len(self.digest):
+                self.digest, self.told = (np.concatenate([a, np.zeros_like(a)]) for a in (self.digest, self.told))
+            self.digest[first:len(self.names)] = np.fromiter(
+                (xxhash.xxh64_intdigest(t) & self.mask for t in new), dtype=np.uint64, count=len(new))
+        return number
+
+
+def term_lists(texts: pa.Array) -> pa.Array:
+    """The terms of each text of a binary array without NULLs; empty ones may be among them."""
+    texts = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, dtype=np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, dtype=np.uint8)
+    clean = np.frombuffer(TERM_TABLE, dtype=np.uint8)[data]
+    return pc.ascii_split_whitespace(pa.Array.from_buffers(
+        pa.large_string(), len(texts), [None, pa.py_buffer(offsets - offsets[0]), pa.py_buffer(clean)]))
+
+
+def group_sums(key: np.ndarray, *values: np.ndarray) -> np.ndarray:
+    """Columns (key ascending, sum of each of the values)."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
+    return np.stack([key[starts], *[np.add.reduceat(v[order], starts) if len(key) else v for v in values]])
+
+
+def summed(held: list[np.ndarray]) -> np.ndarray:
+    return group_sums(*np.concatenate(held, axis=1)) if len(held) > 1 else held[0]
+
+
+def batch_counts(lists: pa.Array, group_of: np.ndarray, terms: Terms) -> np.ndarray:
+    """Columns (group << 32 | term number, occurrences, documents) of a batch of documents."""
+    coded = lists.flatten().dictionary_encode()
+    names = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+    number, width = terms.numbers(names), max(1, len(names))
+    pairs = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) * width + coded.indices.to_numpy()
+    pairs.sort()
+    starts = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, dtype=np.int64)
+    n = np.diff(np.append(starts, len(pairs)))
+    doc, code = np.divmod(pairs[starts], width)
+    real = code != pc.index(coded.dictionary, "").as_py()
+    return group_sums((group_of[doc[real]] << 32) | number[code[real]], n[real], np.ones(int(real.sum()), dtype=np.int64))
+
+
+def written(counts: np.ndarray, groups: dict, terms: Terms, every_text: bool) -> Iterator[pa.RecordBatch]:
+    langs, sources = (pa.array(names, pa.string()) for names in zip(*groups))
+    for lo in range(0, counts.shape[1], 100_000):   # rows of a batch
+        key, n, df = counts[:, lo:lo + 100_000]
+        group, number = pa.array(key >> 32), key & 0xFFFFFFFF
+        distinct, first, place = np.unique(number, return_index=True, return_inverse=True)
+        hidden = np.zeros(len(key), dtype=bool)
+        if not every_text:
+            hidden[:] = True
+            hidden[first] = terms.told[distinct]
+            told = [terms.names[i] if new else None for i, new in zip(distinct.tolist(), (~terms.told[distinct]).tolist())]
+            terms.told[distinct] = True
+        else:
+            told = [terms.names[i] for i in distinct.tolist()]
+        yield pa.RecordBatch.from_arrays([
+            langs.take(group), sources.take(group), pa.array(terms.digest[number].view(np.int64)), pa.array(n), pa.array(df),
+            pa.array(told, pa.binary()).cast(pa.string()).take(pa.array(place, mask=hidden))],
+            ["lang", "source", "digest", "n", "df", "term"])
+
+
 def tally(docs: DataFrame, lang: str, source: str, text: str, digest_bits: int = 64, every_text: bool = False) -> DataFrame:
     """(lang, source, digest, n, df, term): occurrences and documents, summed within runs of a map task.
 
@@ -45,33 +127,27 @@ def tally(docs: DataFrame, lang: str, source: str, text: str, digest_bits: int =
     """
     mask = (1 << digest_bits) - 1
 
-    def written(counts: dict, documents: dict, seen: set[bytes]) -> Iterator[pa.RecordBatch]:
-        for (lang_of, source_of), terms in counts.items():
-            found = list(terms)
-            texts = found if every_text else [None if t in seen else t for t in found]
-            if len(seen) > HELD_TEXTS:
-                seen.clear()
-            seen.update(found)
-            digests = np.fromiter((xxhash.xxh64_intdigest(t) & mask for t in found), dtype=np.uint64, count=len(found))
-            df = documents[lang_of, source_of]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang_of] * len(found), pa.string()), pa.array([source_of] * len(found), pa.string()),
-                pa.array(digests.view(np.int64)), pa.array(terms.values(), pa.int64()),
-                pa.array([df[t] for t in found], pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
-                ["lang", "source", "digest", "n", "df", "term"])
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, documents, seen = defaultdict(Counter), defaultdict(Counter), set()
+        groups: dict[tuple[str, str], int] = {}
+        terms = Terms(mask)
+        held: list[np.ndarray] = []   # columns (group and term, n, df)
+        rows = 0
         for batch in batches:
-            for lang_of, source_of, value in zip(*[batch.column(i).to_pylist() for i in range(3)]):
-                words = value.translate(TERM_TABLE).split()
-                counts[lang_of, source_of].update(words)
-                documents[lang_of, source_of].update(set(words))
-            if sum(map(len, counts.values())) > HELD_TERMS:
-                yield from written(counts, documents, seen)
-                counts.clear()
-                documents.clear()
-        yield from written(counts, documents, seen)
+            of_doc = np.fromiter((groups.setdefault(g, len(groups)) for g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())),
+                                 dtype=np.int64, count=batch.num_rows)
+            held.append(batch_counts(term_lists(batch.column(2)), of_doc, terms))
+            rows += held[-1].shape[1]
+            full = len(terms.names) > HELD_TEXTS
+            if rows > HELD_TERMS or full:
+                held = [summed(held)]
+                rows = held[0].shape[1]
+                if 2 * rows > HELD_TERMS or full:
+                    yield from written(held[0], groups, terms, every_text)
+                    held, rows = [], 0
+            if full:
+                terms = Terms(mask)
+        if held:
+            yield from written(summed(held), groups, terms, every_text)
 
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (lang, source)],
                        F.coalesce(F.col(text), F.lit("")).cast("binary"))

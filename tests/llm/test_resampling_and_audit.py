@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 from zlib import crc32
 
+import pyarrow as pa
 import pytest
 
 from harborline.llm import source_audit as audit
@@ -117,3 +118,50 @@ def test_audit_without_kept_terms(spark):
     got = audit.source_audit(frame(spark, rows), min_docs=10_000).collect()
     assert got and {(r.part, r.value) for r in got} == {("pair", 0)}
     assert audit.source_audit(frame(spark, [])).count() == 0
+
+
+class Batches:
+    """Stands for a table whose map task is called with given batches."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def tallied(rows, size):
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in part]), pa.array([r[1] for r in part]), pa.array([r[2].encode() for r in part], pa.binary())],
+        ["lang", "source", "text"]) for part in (rows[i:i + size] for i in range(0, len(rows), size))]
+    return pa.Table.from_batches(list(audit.tally(Batches(), "lang", "source", "text")(iter(batches))))
+
+
+def test_a_task_writes_a_term_of_a_group_once(spark):
+    """Also when many batches bring the same vocabulary: 300,000 terms held were too few for that."""
+    vocabulary = " ".join("".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(200_000))
+    found = tallied([("en", s, vocabulary) for s in "ab" * 3], 2)
+    assert found.num_rows == 400_000
+    assert set(found["n"].to_pylist()) == {3} and set(found["df"].to_pylist()) == {3}
+    assert found["term"].null_count == 200_000
+
+
+@pytest.mark.parametrize("held_terms,held_texts", [(2_000_000, 1_000_000), (10, 1_000_000), (40, 25)])
+def test_tally_equals_plain_counting(spark, monkeypatch, held_terms, held_texts):
+    monkeypatch.setattr(audit, "HELD_TERMS", held_terms)
+    monkeypatch.setattr(audit, "HELD_TEXTS", held_texts)
+    texts = ["", " ", "A a\tÉ é", "one-two one", "x1y2z", "\n\n", "日本 日本", "tail ", "<b>b</b>"] + [f"word{chr(97 + i)} A shared" for i in range(26)]
+    rows = [("en" if i % 3 else "", f"s{i % 2}", t) for i, t in enumerate(texts)]
+    n, df = Counter(), Counter()
+    for lang, source, text in rows:
+        terms = text.encode().translate(audit.TERM_TABLE).split()
+        n.update((lang, source, t) for t in terms)
+        df.update((lang, source, t) for t in set(terms))
+    found = tallied(rows, 4).to_pylist()
+    names = {r["digest"]: r["term"].encode() for r in found if r["term"] is not None}
+    got_n, got_df = Counter(), Counter()
+    for r in found:
+        key = r["lang"], r["source"], names[r["digest"]]
+        got_n[key] += r["n"]
+        got_df[key] += r["df"]
+    assert got_n == n and got_df == df
