@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, functions as F
 from harborline.llm.common import UID, running_sums, stored, with_uid, words_column
 from harborline.session import materialize
 
+SMALL_CATALOGUE = 100_000   # sources that are broadcast to their documents; beyond that both sides are shuffled
+
 
 def water_fill(sizes: list[int], weights: list[float], total: float, cap: float) -> list[float]:
     """Targets proportional to weights, none above cap * size, summing to total if the caps allow it."""
@@ -183,6 +185,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     catalogue = spark.createDataFrame(
         [(i, r.source, int(r.size), float(r.target)) for i, r in enumerate(plan.itertuples(index=False))],
         "s int, c_source string, source_size long, target double")
+    if len(plan) <= SMALL_CATALOGUE:
+        catalogue = F.broadcast(catalogue)   # its rows are on the driver anyway; unhinted, the documents' sizes go there as well
     numbered = sized.join(catalogue, F.col("source").eqNullSafe(F.col("c_source"))).drop("c_source")
     placed = materialize(
         running_sums(numbered, ["key", "tie", UID], {"first_word": "size"}, "s").withColumnRenamed(UID, "row"), "placed")
@@ -225,7 +229,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     inside = "coalesce(sum(drawn) over (partition by shard order by s rows between unbounded preceding and 1 preceding), 0L)"
     slots = first.withColumn("slot", F.expr(inside)).mapInPandas(
         to_slots, "shard long, slot long, s int, block long, epoch int, most long")
-    draws = slots.join(blocks, ["s", "block"]).withColumn("words", F.expr("least(words, most - place)")).where("words > 0").drop("most", "place")
+    # A row of ``first`` becomes hundreds of slots and one of ``placed`` many blocks; Spark sizes both sides by the rows
+    # before that, so left to itself it sends all slots through the driver as a broadcast.
+    draws = slots.hint("merge").join(blocks, ["s", "block"]).withColumn("words", F.expr("least(words, most - place)")).where("words > 0").drop("most", "place")
     documents = placed.select("row", "key", "source", "size", "source_size", "target", "first_word")
     return documents, draws
 

@@ -146,3 +146,38 @@ def test_draws_fill_shards(spark):
     assert all(n == 64 for s, n in shards.items() if s != max(shards))
     for r in draws.join(documents, "row").collect():
         assert 0 <= r["from_word"] and r["words"] > 0 and r["from_word"] + r["words"] <= r["size"]
+
+
+def test_slots_meet_blocks_without_the_driver(spark):
+    """Both sides of that join are many times the rows their size is estimated from, so neither may be broadcast."""
+    docs = frame(spark, awkward(many=300))
+    for limit in (None, "1g"):
+        if limit:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            _, draws = mixing.mix(docs, block_words=2, shard_slots=4096)
+            draws.collect()
+            plan = draws._jdf.queryExecution().executedPlan().toString()
+        finally:
+            if limit:
+                spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        joins = [x for x in plan.splitlines() if "Join" in x and "block" in x]
+        assert joins and all("SortMergeJoin" in x for x in joins)
+
+
+def test_documents_meet_the_catalogue_on_its_side(spark, monkeypatch):
+    """The short catalogue is broadcast, never the documents; a long one is shuffled, with equal results."""
+    docs, built = frame(spark, awkward(many=300)), []
+    real = mixing.running_sums
+    monkeypatch.setattr(mixing, "running_sums", lambda rows, *rest: built.append(rows) or real(rows, *rest))
+
+    def draw():
+        documents, draws = mixing.mix(docs, block_words=16, shard_slots=64)
+        return sorted(map(str, draws.drop("row").collect())), sorted(map(str, documents.drop("row").collect()))
+
+    short = draw()
+    plan = built[0]._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join" in x and "c_source" in x]
+    assert joins and all("BuildRight" in x for x in joins)
+    monkeypatch.setattr(mixing, "SMALL_CATALOGUE", 0)
+    assert draw() == short
