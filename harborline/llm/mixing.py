@@ -255,7 +255,8 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     _, draws = mix(flat, "key", "text", "source", row="row", **options)
     spans = draws.groupBy("row", "epoch").agg(
         F.sort_array(F.collect_list(F.struct("from_word", "words"))).alias("spans"), F.sum("words").alias("drawn"))
-    whole = rows.join(spans, F.col(UID) == F.col("row"))
+    # the size of a compressed file says little about its texts, so they are not broadcast either
+    whole = rows.join(spans.hint("merge"), F.col(UID) == F.col("row"))
     words = whole.withColumn("w", F.expr(words_column("_row`.`" + text)))
     drawn = "array_join(flatten(transform(spans, s -> slice(w, cast(s.from_word + 1 AS int), cast(s.words AS int)))), ' ')"
     replaced = F.when(F.col("drawn") == F.size("w"), F.col(f"_row.{text}")).otherwise(F.expr(drawn))

@@ -181,3 +181,13 @@ def test_documents_meet_the_catalogue_on_its_side(spark, monkeypatch):
     assert joins and all("BuildRight" in x for x in joins)
     monkeypatch.setattr(mixing, "SMALL_CATALOGUE", 0)
     assert draw() == short
+
+
+def test_mixed_texts_are_not_broadcast(spark):
+    """The pipeline's fourth stage: no join but that with the totals of partitions goes by the driver, even where estimates are small."""
+    docs = frame(spark, awkward(many=300))
+    mixed = mixing.mixed_documents(docs, block_words=2, shard_slots=4096)
+    mixed.collect()
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "_pid" not in x]
+    assert joins == []
