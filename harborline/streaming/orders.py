@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from harborline.plans import increments
 from harborline.schemas import LINEAGE, RAW_COLUMNS, text_schema
-from harborline.session import materialize
+from harborline.session import TIGHT, materialize
 from harborline.sources.published import Published
 
 BATCH = "stream_batch"   # manifest property: the last batch the tables contain
@@ -31,7 +31,7 @@ def apply_batch(tables: Published, batch: DataFrame, number: int, dimensions: in
     if int(target.base.properties.get(BATCH, -1)) >= number:
         return False
     # a micro-batch may be read anew by every action; its rows must not differ between them
-    rows = materialize(batch, "batch")
+    rows = materialize(batch, "batch", TIGHT)
     orders = increments.Change(rows)
     no_lines = tables.spark.createDataFrame([], text_schema(RAW_COLUMNS["order_items"]))
     if "order_base" not in target:
